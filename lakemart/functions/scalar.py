@@ -78,3 +78,16 @@ def safe_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
 
 def round2(c: ColumnOrName) -> Column:
     return F.round(_col(c), 2)
+
+
+def round_ratio(numerator: ColumnOrName, denominator: ColumnOrName, digits: int = 2) -> Column:
+    """``numerator / denominator`` rounded half away from zero to ``digits``, exactly.
+
+    Integer inputs only. Done in integer arithmetic, so the result does not depend
+    on how a double happens to represent a tie (0.145 is 0.14499... in binary).
+    NULL when the denominator is 0 or NULL.
+    """
+    n, d = _col(numerator).cast("long"), F.nullif(_col(denominator).cast("long"), F.lit(0))
+    scale = 10**digits
+    hundredths = (F.abs(n) * F.lit(2 * scale) + d) / (F.lit(2) * d)
+    return F.signum(n) * F.floor(hundredths) / F.lit(float(scale))

@@ -207,3 +207,126 @@ for _name, _filt in {"severe_delays": {}, "severe_delays_category_status": F_CAT
     register(_name, _delay_sql(**_filt))(
         lambda spark, d, _f=_filt: D.severe_delays(star(spark, d), P, **_f)
     )
+
+
+# ---- silver tables (T1-T9) and gold star tables (G1-G8) -------------------------------
+
+SILVER_SQL = {
+    "customers": "s_customers",
+    "orders": "s_orders",
+    "order_items": "s_items",
+    "payments": "s_payments",
+    "reviews": "s_reviews",
+    "products": "s_products",
+    "category_translation": "s_translation",
+    "sellers": "s_sellers",
+    "geolocation": "s_geolocation",
+}
+
+for _t, _cte in SILVER_SQL.items():
+    register(f"silver_{_t}", O.with_base(f"SELECT * FROM {_cte}"))(
+        lambda spark, d, _t=_t: lake(spark, d).silver[_t]
+    )
+
+GOLD_SQL = {
+    "dim_date": "SELECT * FROM dim_date",
+    "dim_customers": "SELECT * FROM dim_customers",
+    "dim_products": "SELECT * FROM dim_products",
+    "dim_sellers": "SELECT * FROM s_sellers",
+    "fact_sales": "SELECT * FROM fact_sales",
+    "fact_orders": "SELECT * FROM fact_orders",
+}
+
+for _t, _sql in GOLD_SQL.items():
+    register(f"gold_{_t}", O.with_base(_sql))(lambda spark, d, _t=_t: lake(spark, d).gold[_t])
+
+register(
+    "gold_ltv",
+    O.with_base("SELECT customer_unique_id, lifetime_orders, lifetime_value FROM ltv"),
+)(lambda spark, d: _ltv(spark, d))
+
+
+def _ltv(spark, d):
+    from lakemart.plans.gold import ltv
+
+    s = lake(spark, d).silver
+    return ltv(s["order_items"], s["orders"], s["customers"])
+
+
+register("gold_star", O.with_base(f"""
+SELECT s.order_id, s.order_item_id, s.product_id, s.seller_id, s.customer_id, s.date_key,
+       s.price, s.freight_value, o.order_status, o.delivery_days, o.total_payment_value,
+       o.avg_review_score, c.customer_unique_id, c.customer_state, c.customer_segment,
+       p.category_name, d.year, d.month
+{O.STAR_JOIN}"""))(lambda spark, d: star(spark, d))
+
+
+# ---- summary marts (M1-M11) ----------------------------------------------------------
+
+def marts(spark, d):
+    from lakemart.plans.marts import build_marts
+
+    return build_marts(lake(spark, d).silver, P)
+
+
+MART_SQL = {
+    "sales_mart": "SELECT * FROM sales_mart",
+    "dashboard_cube": """
+SELECT year, month, customer_state, category_english, order_status, COUNT(*) AS orders,
+       CAST(SUM(revenue) AS DOUBLE) AS revenue, CAST(SUM(payment_value) AS DOUBLE) AS payment_value,
+       ROUND(AVG(avg_review_score), 6) AS avg_review_score, AVG(delivery_days) AS avg_delivery_days
+FROM (SELECT year, month, customer_state, category_english, order_status, order_id,
+             SUM(revenue) AS revenue, MAX(payment_value) AS payment_value,
+             MAX(avg_review_score) AS avg_review_score, MAX(delivery_days) AS delivery_days
+      FROM sales_mart GROUP BY year, month, customer_state, category_english, order_status, order_id)
+GROUP BY year, month, customer_state, category_english, order_status""",
+    "sales_summary": """
+SELECT CAST(SUM(price) AS DOUBLE) AS total_revenue,
+       CAST(SUM(price) AS DOUBLE) / COUNT(*) AS avg_order_value,
+       COUNT(DISTINCT order_id) AS total_orders FROM sales_mart""",
+    "revenue_by_state": """
+SELECT customer_state, CAST(SUM(price) AS DOUBLE) AS total_revenue,
+       COUNT(DISTINCT order_id) AS total_orders FROM sales_mart GROUP BY customer_state""",
+    "top_customers": """
+SELECT customer_id, CAST(SUM(price) AS DOUBLE) AS lifetime_value,
+       COUNT(DISTINCT order_id) AS total_orders
+FROM sales_mart GROUP BY customer_id ORDER BY SUM(price) DESC, customer_id""",
+    "product_performance": """
+SELECT product_id, CAST(SUM(price) AS DOUBLE) AS total_revenue, COUNT(*) AS items_sold
+FROM sales_mart GROUP BY product_id""",
+    "monthly_sales": """
+SELECT year, month, CAST(SUM(price) AS DOUBLE) AS monthly_revenue
+FROM sales_mart GROUP BY year, month ORDER BY year, month""",
+    "category_performance": """
+SELECT category_english, CAST(SUM(price) AS DOUBLE) AS total_revenue, COUNT(*) AS items_sold,
+       COUNT(DISTINCT order_id) AS total_orders FROM sales_mart GROUP BY category_english""",
+    "payment_mix": """
+SELECT payment_type, CAST(SUM(payment_value) AS DOUBLE) AS total_payment_value, COUNT(*) AS payments
+FROM s_payments GROUP BY payment_type""",
+    "delivery_performance": """
+SELECT customer_state,
+       sign(SUM(dd)) * floor((abs(SUM(dd)) * 200 + COUNT(dd)) / (2 * NULLIF(COUNT(dd), 0))) / 100.0
+         AS avg_delivery_days,
+       COUNT(*) AS total_orders
+FROM (SELECT c.customer_state,
+             CAST(date_diff('day', CAST(o.order_purchase_timestamp AS DATE),
+                            CAST(o.order_delivered_customer_date AS DATE)) AS INTEGER) AS dd
+      FROM s_orders o JOIN s_customers c ON o.customer_id = c.customer_id)
+GROUP BY customer_state""",
+    "customer_segments": f"""
+SELECT l.customer_unique_id, l.lifetime_orders, CAST(l.lifetime_value AS DOUBLE) AS lifetime_value,
+       ROUND(r.avg_review_score, 6) AS avg_review_score,
+       CASE WHEN l.lifetime_value >= {P.high_value_ltv} THEN 'High Value'
+            WHEN l.lifetime_orders >= {P.repeat_orders} THEN 'Repeat'
+            ELSE 'Emerging' END AS customer_segment
+FROM ltv l LEFT JOIN (
+  SELECT c.customer_unique_id, AVG(rs.avg_review_score) AS avg_review_score
+  FROM review_summary rs JOIN s_orders o ON rs.order_id = o.order_id
+       JOIN s_customers c ON o.customer_id = c.customer_id
+  GROUP BY c.customer_unique_id) r ON l.customer_unique_id = r.customer_unique_id""",
+}
+
+for _t, _sql in MART_SQL.items():
+    register(f"mart_{_t}", O.with_base(O.SALES_MART_CTE + _sql))(
+        lambda spark, d, _t=_t: marts(spark, d)[_t]
+    )
