@@ -330,3 +330,88 @@ for _t, _sql in MART_SQL.items():
     register(f"mart_{_t}", O.with_base(O.SALES_MART_CTE + _sql))(
         lambda spark, d, _t=_t: marts(spark, d)[_t]
     )
+
+
+# ---- data-quality suites (V1-V5) ----------------------------------------------------
+
+SILVER_COLUMNS = {
+    "customers": O.CUSTOMER_COLS,
+    "orders": O.ORDER_COLS,
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+                    "price", "freight_value"],
+    "payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    "reviews": O.REVIEW_COLS,
+    "products": ["product_id", "product_category_name"],
+    "category_translation": ["product_category_name", "product_category_name_english"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng",
+                    "geolocation_city", "geolocation_state"],
+}
+
+GOLD_COLUMNS = {
+    "dim_date": ["date_key", "year", "month", "day", "day_of_week"],
+    "dim_customers": O.CUSTOMER_COLS + ["lifetime_orders", "lifetime_value", "customer_segment"],
+    "dim_products": ["product_id", "category_name"],
+    "dim_sellers": SILVER_COLUMNS["sellers"],
+    "fact_sales": ["order_id", "order_item_id", "product_id", "seller_id", "customer_id", "date_key",
+                   "price", "freight_value"],
+    "fact_orders": ["order_id", "customer_id", "date_key", "order_status", "delivery_days",
+                    "total_payment_value", "avg_review_score"],
+}
+
+MART_COLUMNS = {
+    "sales_mart": None,  # filled from marts.SALES_MART_COLUMNS below
+    "dashboard_cube": ["year", "month", "customer_state", "category_english", "order_status", "orders",
+                       "revenue", "payment_value", "avg_review_score", "avg_delivery_days"],
+    "sales_summary": ["total_revenue", "avg_order_value", "total_orders"],
+    "revenue_by_state": ["customer_state", "total_revenue", "total_orders"],
+    "top_customers": ["customer_id", "lifetime_value", "total_orders"],
+    "product_performance": ["product_id", "total_revenue", "items_sold"],
+    "monthly_sales": ["year", "month", "monthly_revenue"],
+    "category_performance": ["category_english", "total_revenue", "items_sold", "total_orders"],
+    "payment_mix": ["payment_type", "total_payment_value", "payments"],
+    "delivery_performance": ["customer_state", "avg_delivery_days", "total_orders"],
+    "customer_segments": ["customer_unique_id", "lifetime_orders", "lifetime_value", "avg_review_score",
+                          "customer_segment"],
+}
+
+
+def _quality_silver(spark, d):
+    from lakemart.operators.quality import validate_silver
+
+    return validate_silver(lake(spark, d).silver)
+
+
+def _quality_gold(spark, d):
+    from lakemart.operators.quality import validate_gold
+    from lakemart.plans.marts import build_marts
+
+    lk = lake(spark, d)
+    return validate_gold({**lk.gold, **build_marts(lk.silver, P)})
+
+
+def _quality_sql():
+    from lakemart.plans.marts import SALES_MART_COLUMNS
+    from lakemart.sources.schemas import GOLD_METRICS, SILVER_KEYS
+
+    MART_COLUMNS["sales_mart"] = list(SALES_MART_COLUMNS)
+    silver = "\nUNION ALL ".join(
+        O.profile_sql(SILVER_SQL[t], t, cols, SILVER_KEYS[t]) for t, cols in SILVER_COLUMNS.items()
+    )
+    gold_cte = {**{t: t for t in GOLD_COLUMNS}, "dim_sellers": "s_sellers"}
+    mart_ctes = "".join(
+        f", mart_{t} AS ({MART_SQL[t]})\n" for t in MART_COLUMNS if t != "sales_mart"
+    )
+    gold = "\nUNION ALL ".join(
+        [O.profile_sql(gold_cte[t], t, cols, None, GOLD_METRICS[t]) for t, cols in GOLD_COLUMNS.items()]
+        + [
+            O.profile_sql("sales_mart" if t == "sales_mart" else f"mart_{t}", t, cols, None, GOLD_METRICS[t])
+            for t, cols in MART_COLUMNS.items()
+        ]
+    )
+    return O.with_base(silver), O.with_base(O.SALES_MART_CTE + mart_ctes + gold)
+
+
+_QS, _QG = _quality_sql()
+register("quality_silver", _QS)(_quality_silver)
+register("quality_gold", _QG)(_quality_gold)
