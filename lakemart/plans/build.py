@@ -32,9 +32,13 @@ def build_silver_layer(spark: SparkSession, raw: Mapping[str, DataFrame], base:
 def build_gold_layer(
     spark: SparkSession, silver: Mapping[str, DataFrame], base: str, params: Params = Params()
 ) -> dict[str, DataFrame]:
-    plans = G.build_gold(silver, params)
-    write_tables(plans, base, "gold")
-    return {t: read_layer(spark, base, "gold", t) for t in plans}
+    """Facts first; dimensions that need a fact (LTV) read the stored fact."""
+    facts = G.build_facts(silver)
+    write_tables(facts, base, "gold")
+    stored = {t: read_layer(spark, base, "gold", t) for t in facts}
+    dims = G.build_dims(silver, stored, params)
+    write_tables(dims, base, "gold")
+    return {**{t: read_layer(spark, base, "gold", t) for t in dims}, **stored}
 
 
 def build_star(spark: SparkSession, gold: Mapping[str, DataFrame], base: str) -> DataFrame:
@@ -45,9 +49,15 @@ def build_star(spark: SparkSession, gold: Mapping[str, DataFrame], base: str) ->
 def build_mart_layer(
     spark: SparkSession, silver: Mapping[str, DataFrame], base: str, params: Params = Params()
 ) -> dict[str, DataFrame]:
-    plans = build_marts(silver, params)
+    """Write the wide item-grain sales_mart once; derive the others from it."""
+    from lakemart.plans.marts import sales_mart
+
+    write_layer(sales_mart(silver), base, "marts", "sales_mart")
+    stored = read_layer(spark, base, "marts", "sales_mart")
+    plans = build_marts(silver, params, mart=stored)
+    del plans["sales_mart"]
     write_tables(plans, base, "marts")
-    return {t: read_layer(spark, base, "marts", t) for t in plans}
+    return {"sales_mart": stored, **{t: read_layer(spark, base, "marts", t) for t in plans}}
 
 
 def build_lake(

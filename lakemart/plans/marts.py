@@ -175,7 +175,7 @@ def delivery_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def customer_segments(silver: Mapping[str, DataFrame], params: Params = Params()) -> DataFrame:
     """Person grain: orders, value, average review over their orders, segment."""
     s = silver
-    ltv = G.ltv(s["order_items"], s["orders"], s["customers"])
+    ltv = G.ltv(G.fact_sales(s["order_items"], s["orders"]), s["customers"])
     reviews = (
         G.review_summary(s["reviews"])
         .join(s["orders"].select("order_id", "customer_id"), "order_id")
@@ -192,8 +192,13 @@ def customer_segments(silver: Mapping[str, DataFrame], params: Params = Params()
     )
 
 
-def build_marts(silver: Mapping[str, DataFrame], params: Params = Params()) -> dict[str, DataFrame]:
-    mart = sales_mart(silver)
+def build_marts(
+    silver: Mapping[str, DataFrame],
+    params: Params = Params(),
+    mart: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """All eleven marts; pass a stored ``sales_mart`` to derive the rest from it."""
+    mart = sales_mart(silver) if mart is None else mart
     return {
         "sales_mart": mart,
         "dashboard_cube": dashboard_cube(mart),

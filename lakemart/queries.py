@@ -249,8 +249,8 @@ register(
 def _ltv(spark, d):
     from lakemart.plans.gold import ltv
 
-    s = lake(spark, d).silver
-    return ltv(s["order_items"], s["orders"], s["customers"])
+    lk = lake(spark, d)
+    return ltv(lk.gold["fact_sales"], lk.silver["customers"])
 
 
 register("gold_star", O.with_base(f"""
