@@ -415,3 +415,117 @@ def _quality_sql():
 _QS, _QG = _quality_sql()
 register("quality_silver", _QS)(_quality_silver)
 register("quality_gold", _QG)(_quality_gold)
+
+
+# ---- README star: surrogate keys, payment dimension, keyed facts (R1-R4) -------------
+
+def _keyed(spark, d, table):
+    from lakemart.plans.keyed import build_keyed_table
+    from lakemart.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)  # only sets a scratch folder when the session has none
+    lk = lake(spark, d)
+    return build_keyed_table(table, lk.silver, lk.gold)
+
+
+KEYED_CTES = """, dim_customer AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key FROM dim_customers),
+dim_product AS (SELECT *, ROW_NUMBER() OVER (ORDER BY product_id) AS product_key FROM dim_products),
+dim_seller AS (SELECT *, ROW_NUMBER() OVER (ORDER BY seller_id) AS seller_key FROM s_sellers),
+dim_payment AS (
+  SELECT payment_type, ROW_NUMBER() OVER (ORDER BY payment_type) AS payment_type_key
+  FROM (SELECT DISTINCT payment_type FROM s_payments))
+"""
+
+KEYED_SQL = {
+    "dim_customer": "SELECT * FROM dim_customer",
+    "dim_product": "SELECT * FROM dim_product",
+    "dim_seller": "SELECT * FROM dim_seller",
+    "dim_payment": "SELECT * FROM dim_payment",
+    "fact_payments": """
+SELECT p.order_id, p.payment_sequential, d.payment_type_key, p.payment_installments, p.payment_value
+FROM s_payments p JOIN dim_payment d ON p.payment_type = d.payment_type""",
+    "fact_order_items": """
+SELECT s.order_id, s.order_item_id, c.customer_key, p.product_key, se.seller_key, s.date_key,
+       s.price, s.freight_value, s.price + s.freight_value AS total_sales
+FROM fact_sales s
+LEFT JOIN dim_customer c ON s.customer_id = c.customer_id
+LEFT JOIN dim_product p ON s.product_id = p.product_id
+LEFT JOIN dim_seller se ON s.seller_id = se.seller_id""",
+}
+
+for _t, _sql in KEYED_SQL.items():
+    register(f"keyed_{_t}", O.with_base(KEYED_CTES + _sql))(
+        lambda spark, d, _t=_t: _keyed(spark, d, _t)
+    )
+
+
+# ---- SCD type 2 on customers (R6) ----------------------------------------------------
+# Scenario over the whole customer table: the first load holds the customers who
+# have ordered; a later feed moves every customer with an open order to a new
+# city, adds the customers never loaded, and lacks one state's customers (those
+# stay open and unchanged). The same feed applied twice must change nothing.
+
+SCD_TRACKED = ("customer_city", "customer_state")
+SCD_FIRST, SCD_SECOND = "2020-01-01", "2020-02-01"
+SCD_MISSING_STATE = "NATION_0"
+
+
+def scd_inputs(silver):
+    from pyspark.sql import functions as F
+
+    cust = silver["customers"].select("customer_id", *SCD_TRACKED)
+    orders = silver["orders"]
+    first = cust.join(orders.select("customer_id"), "customer_id", "left_semi")
+    moved = orders.where(F.col("order_status") == "O").select("customer_id")
+    feed = (
+        cust.where(F.col("customer_state") != SCD_MISSING_STATE)
+        .join(moved.withColumn("_moved", F.lit(True)).dropDuplicates(["customer_id"]), "customer_id", "left")
+        .select(
+            "customer_id",
+            F.when(F.col("_moved"), F.concat("customer_city", F.lit(" (moved)")))
+            .otherwise(F.col("customer_city")).alias("customer_city"),
+            "customer_state",
+        )
+    )
+    return first, feed
+
+
+def _scd(spark, d, runs=1):
+    from lakemart.operators.scd import scd2_merge
+
+    first, feed = scd_inputs(lake(spark, d).silver)
+    hist = scd2_merge(None, first, "customer_id", SCD_TRACKED, SCD_FIRST)
+    for _ in range(runs):
+        hist = scd2_merge(hist, feed, "customer_id", SCD_TRACKED, SCD_SECOND)
+    return hist
+
+
+SCD_SQL = f"""
+, first_load AS (
+  SELECT customer_id, customer_city, customer_state, DATE '{SCD_FIRST}' AS valid_from,
+         CAST(NULL AS DATE) AS valid_to, TRUE AS is_current
+  FROM s_customers WHERE customer_id IN (SELECT customer_id FROM s_orders)),
+feed AS (
+  SELECT customer_id,
+         CASE WHEN customer_id IN (SELECT customer_id FROM s_orders WHERE order_status = 'O')
+              THEN customer_city || ' (moved)' ELSE customer_city END AS customer_city,
+         customer_state
+  FROM s_customers WHERE customer_state <> '{SCD_MISSING_STATE}'),
+j AS (
+  SELECT o.*, n.customer_id AS n_id, n.customer_city AS n_city, n.customer_state AS n_state,
+         o.customer_id IS NOT NULL AS has_o, n.customer_id IS NOT NULL AS has_n,
+         (o.customer_id IS NOT NULL AND n.customer_id IS NOT NULL AND
+          (o.customer_city IS DISTINCT FROM n.customer_city OR
+           o.customer_state IS DISTINCT FROM n.customer_state)) AS changed
+  FROM first_load o FULL OUTER JOIN feed n ON o.customer_id = n.customer_id)
+SELECT customer_id, customer_city, customer_state, valid_from,
+       CASE WHEN changed THEN DATE '{SCD_SECOND}' ELSE valid_to END AS valid_to,
+       NOT changed AS is_current
+FROM j WHERE has_o
+UNION ALL
+SELECT n_id, n_city, n_state, DATE '{SCD_SECOND}', CAST(NULL AS DATE), TRUE
+FROM j WHERE has_n AND (NOT has_o OR changed)"""
+
+register("scd2_customers", O.with_base(SCD_SQL))(lambda spark, d: _scd(spark, d, runs=1))
+register("scd2_customers_rerun", O.with_base(SCD_SQL))(lambda spark, d: _scd(spark, d, runs=2))
