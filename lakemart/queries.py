@@ -529,3 +529,79 @@ FROM j WHERE has_n AND (NOT has_o OR changed)"""
 
 register("scd2_customers", O.with_base(SCD_SQL))(lambda spark, d: _scd(spark, d, runs=1))
 register("scd2_customers_rerun", O.with_base(SCD_SQL))(lambda spark, d: _scd(spark, d, runs=2))
+
+
+# ---- README views: seller performance, headline tiles, region distribution (R10, R11) --
+
+register("seller_performance", O.with_base(f"""
+SELECT s.seller_id, CAST({REV} AS DOUBLE) AS revenue, COUNT(*) AS items,
+       COUNT(DISTINCT s.order_id) AS orders
+{O.STAR_JOIN} GROUP BY s.seller_id"""))(lambda spark, d: D.seller_performance(star(spark, d)))
+
+register("headline_counts", O.with_base(f"""
+SELECT CAST({REV} AS DOUBLE) AS revenue, COUNT(DISTINCT s.order_id) AS orders,
+       COUNT(DISTINCT c.customer_unique_id) AS customers, COUNT(DISTINCT s.seller_id) AS sellers
+{O.STAR_JOIN}"""))(lambda spark, d: D.headline_counts(star(spark, d)))
+
+REGION_SQL = f"""
+SELECT customer_state, CAST(rev AS DOUBLE) AS revenue, orders,
+       ROUND(CAST(rev AS DOUBLE) * 100.0 / CAST(SUM(rev) OVER () AS DOUBLE), 4) AS revenue_share_pct
+FROM (SELECT c.customer_state, {REV} AS rev, COUNT(DISTINCT s.order_id) AS orders
+      {O.STAR_JOIN} GROUP BY c.customer_state)"""
+
+register("region_distribution", O.with_base(REGION_SQL))(
+    lambda spark, d: D.region_distribution(star(spark, d))
+)
+
+
+# ---- streaming: auto-load + continuously refreshed trend / region views (S10, S11, R7, R8)
+# The star rows of the driver tables arrive as three waves of files (finished,
+# open, then all other orders; every wave touches most months, so later waves
+# revise months already published). Each wave is auto-loaded exactly once and
+# the refresh stream recomputes the touched months of the cube.
+
+def _live_cube(spark, d):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
+    from lakemart.streaming.autoload import auto_load
+    from lakemart.streaming.live import start_refresh
+
+    ensure_checkpoint_dir(spark)
+    root = f"{checkpoint_dir(spark)}/lakemart-live-{uuid.uuid4().hex}"
+    incoming, landed, cube = f"{root}/incoming", f"{root}/landed", f"{root}/cube"
+    star(spark, d).select(
+        "order_id", "order_item_id", "price", "freight_value", "customer_state", "year", "month",
+        "order_status",
+    ).write.parquet(f"{root}/source")
+    rows = spark.read.parquet(f"{root}/source")  # stored once; the waves only filter it
+    status = F.coalesce(F.col("order_status"), F.lit(""))
+    waves = [status == "F", status == "O", ~status.isin("F", "O")]
+    schema = rows.drop("order_status").schema
+    for i, cond in enumerate(waves):
+        rows.where(cond).drop("order_status").write.mode("append").parquet(incoming)
+        load = auto_load(spark, incoming, landed, schema, f"{root}/ck_load")
+        load.awaitTermination()
+        refresh = start_refresh(
+            spark, spark.readStream.schema(schema).parquet(landed), landed, cube, f"{root}/ck_refresh"
+        )
+        refresh.awaitTermination()
+    return spark.read.parquet(cube)
+
+
+def _live_trend(spark, d):
+    from lakemart.streaming.live import revenue_trend
+
+    return revenue_trend(_live_cube(spark, d))
+
+
+def _live_region(spark, d):
+    from lakemart.streaming.live import region_distribution
+
+    return region_distribution(_live_cube(spark, d))
+
+
+register("live_revenue_trend", _trend_sql())(_live_trend)
+register("live_region_distribution", O.with_base(REGION_SQL))(_live_region)
