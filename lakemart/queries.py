@@ -605,3 +605,98 @@ def _live_region(spark, d):
 
 register("live_revenue_trend", _trend_sql())(_live_trend)
 register("live_region_distribution", O.with_base(REGION_SQL))(_live_region)
+
+
+# ---- CSV sources and raw -> bronze ingestion (S1, S2, S4, S5, S6) --------------------
+# The logical raw tables are published as CSV files under the catalogue's file
+# names, ingested to bronze (all text) and rebuilt from text through the lenient
+# silver conversions. Results must equal the typed Parquet path.
+
+def _csv_root(spark, d):
+    import uuid
+
+    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
+    from lakemart.sources.adapter import raw_tables
+    from lakemart.sources.files import write_csv
+    from lakemart.sources.schemas import RAW_FILES
+
+    ensure_checkpoint_dir(spark)
+    root = f"{checkpoint_dir(spark)}/lakemart-csv-{uuid.uuid4().hex}"
+    for name, df in raw_tables(spark, d).items():
+        write_csv(df, f"{root}/raw/{RAW_FILES[name]}")
+    return root
+
+
+def _csv_ingest(spark, d):
+    from lakemart.sources.ingest import ingest_raw
+
+    root = _csv_root(spark, d)
+    return root, ingest_raw(spark, f"{root}/raw", root)
+
+
+def _csv_report(spark, d):
+    return _csv_ingest(spark, d)[1].drop("path")
+
+
+def _csv_lake(spark, d):
+    from lakemart.sources.ingest import read_bronze
+
+    root, report = _csv_ingest(spark, d)
+    return Lake(read_bronze(spark, root), P)
+
+
+def _csv_bronze_quality(spark, d):
+    from lakemart.operators.quality import validate_tables
+    from lakemart.sources.ingest import read_bronze
+
+    root, _ = _csv_ingest(spark, d)
+    return validate_tables(read_bronze(spark, root))
+
+
+RAW_CTES = """, raw_items AS (
+  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
+         l_suppkey AS seller_id, l_shipdate AS shipping_limit_date,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+         CAST(ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)), 2)
+              AS DECIMAL(18,2)) AS freight_value
+  FROM lineitem),
+raw_products AS (
+  SELECT p_partkey AS product_id, p_brand AS product_category_name, length(p_name) AS product_name_lenght,
+         CAST(NULL AS INTEGER) AS product_description_lenght, CAST(NULL AS INTEGER) AS product_photos_qty,
+         p_size AS product_weight_g, CAST(NULL AS INTEGER) AS product_length_cm,
+         CAST(NULL AS INTEGER) AS product_height_cm, CAST(NULL AS INTEGER) AS product_width_cm
+  FROM part),
+raw_geolocation AS (
+  SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
+         CAST(n.n_regionkey AS DOUBLE) AS geolocation_lat, CAST(c.c_nationkey AS DOUBLE) AS geolocation_lng,
+         c.c_mktsegment AS geolocation_city, n.n_name AS geolocation_state
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
+"""
+
+RAW_CTE_OF = {
+    "customers": "raw_customers", "orders": "raw_orders", "order_items": "raw_items",
+    "payments": "s_payments", "reviews": "raw_reviews", "products": "raw_products",
+    "sellers": "s_sellers", "geolocation": "raw_geolocation", "category_translation": "s_translation",
+}
+
+
+def _csv_sql():
+    from lakemart.sources.schemas import RAW_SCHEMAS
+
+    report = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", COUNT(*) AS rows, 'written' AS status FROM {cte}"
+        for t, cte in RAW_CTE_OF.items()
+    )
+    quality = "\nUNION ALL ".join(
+        O.profile_sql(cte, t, list(RAW_SCHEMAS[t].names)) for t, cte in RAW_CTE_OF.items()
+    )
+    return O.with_base(RAW_CTES + report), O.with_base(RAW_CTES + quality)
+
+
+_CSV_REPORT_SQL, _CSV_QUALITY_SQL = _csv_sql()
+register("csv_ingest_report", _CSV_REPORT_SQL)(_csv_report)
+register("csv_bronze_quality", _CSV_QUALITY_SQL)(_csv_bronze_quality)
+register("csv_kpis", _kpi_sql())(lambda spark, d: D.kpis(_csv_lake(spark, d).star, P))
+register("csv_top_categories_state_year", _topcat_sql(**F_STATE_YEAR))(
+    lambda spark, d: D.top_categories(_csv_lake(spark, d).star, P, **F_STATE_YEAR)
+)

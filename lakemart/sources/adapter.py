@@ -132,11 +132,17 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_driver_table(spark, sf_dir, "part")
+    none = F.lit(None).cast("int")
     return p.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_brand").alias("product_category_name"),
         F.length("p_name").alias("product_name_lenght"),
+        none.alias("product_description_lenght"),
+        none.alias("product_photos_qty"),
         F.col("p_size").alias("product_weight_g"),
+        none.alias("product_length_cm"),
+        none.alias("product_height_cm"),
+        none.alias("product_width_cm"),
     )
 
 

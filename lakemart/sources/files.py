@@ -42,6 +42,12 @@ def read_csv(
     return reader.csv(path)
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """CSV with header (a folder of part files), quoting embedded newlines."""
+    df.write.mode(mode).options(header=True, escape='"').csv(path)
+    return path
+
+
 def read_layer(spark: SparkSession, base: str, layer: str, table: str) -> DataFrame:
     return spark.read.parquet(layer_path(base, layer, table))
 

@@ -9,7 +9,6 @@ entry, a fixed bound of nine).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,8 +21,7 @@ RESULT_SCHEMA = "table string, rows long, status string, path string"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
+    """Existence through the Hadoop file system (local, file:, s3a:, abfss: ...)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
