@@ -107,11 +107,16 @@ def check_path(
     fmt: str = "parquet",
     key: str | None = None,
     metrics: Sequence[str] = (),
+    schema_=None,
     **options,
 ) -> DataFrame:
     """Profile a stored table; a FAIL ``readable`` row when it cannot be read."""
     try:
-        df = spark.read.format(fmt).options(**options).load(path)
+        reader = spark.read.format(fmt).options(**options)
+        if schema_ is not None:
+            reader = reader.schema(schema_)
+        df = reader.load(path)
+        df.schema  # noqa: B018 - resolve now so a bad path fails here
     except AnalysisException as exc:  # missing path, unreadable format
         return unreadable(spark, table, str(exc).splitlines()[0])
     return profile(df, table, key, metrics)
@@ -142,3 +147,21 @@ def validate_gold(gold: Mapping[str, DataFrame]) -> DataFrame:
     from lakemart.sources.schemas import GOLD_METRICS
 
     return validate_tables(gold, metrics=GOLD_METRICS)
+
+
+def validate_bronze_files(spark: SparkSession, raw_dir: str, catalogue=None) -> DataFrame:
+    """Bronze suite over the raw files of the catalogue (CSV with header).
+
+    A missing or unreadable file gives one FAIL ``readable`` row for its table.
+    """
+    from lakemart.sources.schemas import CATALOGUE
+
+    catalogue = catalogue or CATALOGUE
+    out = None
+    for name, spec in catalogue.items():
+        p = check_path(
+            spark, f"{raw_dir.rstrip('/')}/{spec.file}", name, fmt="csv",
+            schema_=spec.schema, header=True, multiLine=spec.multiline, escape='"',
+        )
+        out = p if out is None else out.unionByName(p)
+    return out

@@ -115,9 +115,16 @@ def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
     return list(tables)
 
 
-def register_gold(spark: SparkSession, base: str, tables: Sequence[str] = GOLD_TABLES) -> list[str]:
-    """Temp views over the stored gold tables, named as the tables."""
-    return register_views({t: read_layer(spark, base, "gold", t) for t in tables})
+def register_gold(
+    spark: SparkSession, base: str, tables: Sequence[str] = GOLD_TABLES, with_star: bool = False
+) -> list[str]:
+    """Temp views over the stored gold tables, named as the tables.
+
+    ``with_star`` also registers the stored, joined ``star`` (item grain,
+    partitioned by year and month) as the analytics-ready view.
+    """
+    names = list(tables) + (["star"] if with_star else [])
+    return register_views({t: read_layer(spark, base, "gold", t) for t in names})
 
 
 def run_query(spark: SparkSession, sql: str, params: Mapping[str, object] | None = None) -> DataFrame:

@@ -89,3 +89,31 @@ def test_write_csv_roundtrip(spark, scratch):
     write_csv(df, f"{scratch}/out")
     back = read_csv(spark, f"{scratch}/out", df.schema, multiline=True).collect()
     assert [tuple(r) for r in back] == [("a", "x\ny")]
+
+
+def test_bronze_file_suite(spark, scratch):
+    from lakemart.operators.quality import validate_bronze_files
+
+    raw = f"{scratch}/raw"
+    _write(f"{raw}/{CATALOGUE['reviews'].file}", REVIEWS_CSV)
+    out = validate_bronze_files(spark, raw).collect()
+    by = {(r.table, r.check, r.column): r.status for r in out}
+    assert by[("reviews", "rows", None)] == "PASS"
+    assert by[("reviews", "nulls", "review_comment_title")] == "WARN"
+    orders = [(check, status) for (table, check, _), status in by.items() if table == "orders"]
+    assert orders == [("readable", "FAIL")]  # missing file
+
+
+def test_publish_register_and_parameterised_sql(spark, scratch):
+    from lakemart.sources.files import cached, publish, register_views, run_query
+
+    src = f"{scratch}/src"
+    spark.createDataFrame([("SP", 10.0), ("RJ", 5.0), ("SP", 1.0)], "state string, v double").write.parquet(src)
+    publish(spark, src, f"{scratch}/lake/gold/t")
+    df = cached(spark.read.parquet(f"{scratch}/lake/gold/t"))
+    register_views({"t": df})
+    out = run_query(spark, "SELECT SUM(v) AS s FROM t WHERE state = :state", {"state": "SP"}).collect()
+    assert out[0].s == 11.0
+    # a value that looks like SQL stays a value
+    assert run_query(spark, "SELECT COUNT(*) AS n FROM t WHERE state = :state", {"state": "SP' OR '1'='1"}).first().n == 0
+    df.unpersist()
