@@ -15,8 +15,8 @@ task. Instead:
    position comes from ``monotonically_increasing_id`` (partition id in the
    upper bits, row position in the lower 33 bits).
 
-Ties in the natural key get distinct consecutive numbers; for a dimension the
-natural key is unique.
+Ties in the natural key get distinct consecutive numbers, ordered by the other
+columns; for a dimension the natural key is unique.
 """
 
 from __future__ import annotations
@@ -42,7 +42,10 @@ def with_surrogate_key(
     spark = df.sparkSession
     checkpoint_dir(spark)  # fail early when no shared folder is configured
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    # the other columns break ties, so a repeated key value cannot pile up in one
+    # range and equal keys are numbered in a fixed order
+    order = keys + [c for c in df.columns if c not in keys]
+    laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
 
     tagged = laid_out.select(
         "*",

@@ -582,7 +582,9 @@ def _live_cube(spark, d):
     schema = rows.drop("order_status").schema
     for i, cond in enumerate(waves):
         rows.where(cond).drop("order_status").write.mode("append").parquet(incoming)
-        load = auto_load(spark, incoming, landed, schema, f"{root}/ck_load")
+        load = auto_load(
+            spark, incoming, landed, schema, f"{root}/ck_load", partition_by=("year", "month")
+        )
         load.awaitTermination()
         refresh = start_refresh(
             spark, spark.readStream.schema(schema).parquet(landed), landed, cube, f"{root}/ck_refresh"

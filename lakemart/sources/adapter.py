@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.sources.files import spread
 from lakemart.sources.schemas import MONEY
 
 DRIVER_TABLES = (
@@ -45,7 +46,8 @@ DELIVERY_SPREAD_DAYS = 40
 
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; spread over the cluster if its scan is under-split."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _zip(col: str):

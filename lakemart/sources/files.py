@@ -19,6 +19,23 @@ def layer_path(base: str, layer: str, table: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{table}"
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split input over the cluster once, at the read boundary.
+
+    A scan has as many tasks as splits; one large Parquet row group or one
+    multi-line CSV file is a single split, and every stage before the first
+    shuffle would then run as one task. When the scan has fewer partitions than
+    the cluster's default parallelism, rows are redistributed round-robin (no
+    key, so no skew). A normally split input at scale is returned unchanged:
+    no shuffle is added.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_raw(spark: SparkSession, path: str, **options) -> DataFrame:
     """CSV with header, every column as text (no inference)."""
     return spark.read.options(header=True, **options).csv(path)

@@ -8,9 +8,9 @@ State kept: a ``(year, month, customer_state)`` cube with revenue, items and
 distinct orders, stored partitioned by ``year, month``. Each micro-batch:
 
 1. finds the months it touches (one row per month: a bounded, small set),
-2. recomputes those months' cube rows from the landed table (a left-semi join on
-   the partition columns with the broadcast month list, so dynamic partition
-   pruning reads only those months),
+2. recomputes those months' cube rows from the landed table, read with a literal
+   partition filter on exactly those months (only their folders are listed and
+   read),
 3. overwrites exactly those month partitions (dynamic partition overwrite).
 
 Distinct order counts stay exact, which a streaming aggregate cannot give
@@ -43,10 +43,38 @@ def cube_of(items: DataFrame) -> DataFrame:
     )
 
 
+def touched_months(batch: DataFrame) -> list[tuple[int, int]]:
+    """The (year, month) partition keys of a micro-batch.
+
+    This is partition metadata, bounded by the calendar (12 per year of data),
+    not data rows; it becomes a literal partition filter, which Spark always
+    prunes on (a join with a small key list gets no dynamic pruning).
+    """
+    keys = [(r.year, r.month) for r in batch.select("year", "month").distinct().collect()]
+    return sorted(keys, key=lambda k: (k[0] is None, k[0] or 0, k[1] is None, k[1] or 0))
+
+
+def months_filter(months: list[tuple[int, int]]):
+    by_year: dict[int, list[int]] = {}
+    for y, m in months:
+        by_year.setdefault(y, []).append(m)
+    cond = F.lit(False)
+    for y, ms in sorted(by_year.items(), key=lambda kv: (kv[0] is None, kv[0] or 0)):
+        year_cond = F.col("year").isNull() if y is None else F.col("year") == F.lit(y)
+        known = [m for m in ms if m is not None]
+        month_cond = F.col("month").isin(known) if known else F.lit(False)
+        if None in ms:
+            month_cond = month_cond | F.col("month").isNull()
+        cond = cond | (year_cond & month_cond)
+    return cond
+
+
 def refresh_months(spark: SparkSession, batch: DataFrame, landed: str, cube_path: str) -> None:
     """Recompute and overwrite the cube partitions of the months ``batch`` touches."""
-    touched = batch.select("year", "month").distinct()
-    items = spark.read.parquet(landed).join(F.broadcast(touched), ["year", "month"], "left_semi")
+    months = touched_months(batch)
+    if not months:
+        return
+    items = spark.read.parquet(landed).where(months_filter(months))
     (
         cube_of(items)
         .write.mode("overwrite")
