@@ -66,7 +66,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(layer_path(base, layer, table))
+    """A stored layer table (spread when it comes back as fewer splits than cores)."""
+    return spread(spark.read.parquet(layer_path(base, layer, table)))
 
 
 def write_layer(
@@ -77,8 +78,17 @@ def write_layer(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> str:
-    """Parquet sink, one directory per table (full overwrite by default)."""
+    """Parquet sink, one directory per table (full overwrite by default).
+
+    A partitioned write is preceded by a REBALANCE on the partition columns: rows
+    of one partition value meet in few tasks, so each task writes few folders
+    (without it every task writes a file into every folder: tasks x values small
+    files). AQE splits a partition value that is too large across several tasks
+    and merges small ones, so a hot value does not become one task.
+    """
     path = layer_path(base, layer, table)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
