@@ -29,11 +29,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     key, so no skew). A normally split input at scale is returned unchanged:
     no shuffle is added.
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def read_raw(spark: SparkSession, path: str, **options) -> DataFrame:
