@@ -702,3 +702,23 @@ register("csv_kpis", _kpi_sql())(lambda spark, d: D.kpis(_csv_lake(spark, d).sta
 register("csv_top_categories_state_year", _topcat_sql(**F_STATE_YEAR))(
     lambda spark, d: D.top_categories(_csv_lake(spark, d).star, P, **F_STATE_YEAR)
 )
+
+
+# ---- bulk load of staged gold files into raw landing tables (S10, R5) ----------------
+
+def _raw_landing(spark, d):
+    import uuid
+
+    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
+    from lakemart.streaming.autoload import load_raw_landing
+
+    ensure_checkpoint_dir(spark)
+    root = f"{checkpoint_dir(spark)}/lakemart-landing-{uuid.uuid4().hex}"
+    lake(spark, d).gold["fact_orders"].write.parquet(f"{root}/stage/fact_orders")
+    tables = {"raw_fact_orders": "fact_orders"}
+    load_raw_landing(spark, f"{root}/stage", root, tables)
+    load_raw_landing(spark, f"{root}/stage", root, tables)  # a second run loads nothing new
+    return spark.read.parquet(f"{root}/raw/raw_fact_orders")
+
+
+register("raw_landing_fact_orders", O.with_base("SELECT * FROM fact_orders"))(_raw_landing)

@@ -64,3 +64,38 @@ def copy_into(
     if q.exception() is not None:
         raise q.exception()
     return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+
+
+# Raw landing tables of the warehouse load (README): landing name -> staged gold table.
+RAW_LANDING = {
+    "raw_dim_customer": "dim_customers",
+    "raw_dim_product": "dim_products",
+    "raw_dim_seller": "dim_sellers",
+    "raw_dim_date": "dim_date",
+    "raw_fact_order_items": "fact_sales",
+    "raw_fact_orders": "fact_orders",
+}
+
+
+def load_raw_landing(
+    spark: SparkSession,
+    stage: str,
+    base: str,
+    tables: dict[str, str] | None = None,
+) -> dict[str, int]:
+    """Bulk-load staged gold Parquet into the raw landing tables, once per file.
+
+    ``<stage>/<gold table>`` -> ``<base>/raw/<landing table>``; each table keeps its
+    own stream checkpoint under ``<base>/_checkpoints/raw/``. Returns rows loaded per
+    table (0 when nothing new was staged).
+    """
+    tables = tables or RAW_LANDING
+    loaded = {}
+    for landing, staged in tables.items():
+        src = f"{stage.rstrip('/')}/{staged}"
+        schema = spark.read.parquet(src).schema
+        loaded[landing] = copy_into(
+            spark, src, f"{base.rstrip('/')}/raw/{landing}", schema,
+            f"{base.rstrip('/')}/_checkpoints/raw/{landing}",
+        )
+    return loaded
