@@ -223,13 +223,33 @@ def seller_performance(star: DataFrame, **filt) -> DataFrame:
 
 
 def headline_counts(star: DataFrame, **filt) -> DataFrame:
-    """Revenue, orders, customers and sellers tiles in one row."""
+    """Revenue, orders, customers and sellers tiles in one row.
+
+    No multi-distinct Expand: orders and persons come from the order -> person
+    pre-aggregation, sellers from their own distinct; the two one-row results
+    are stacked and folded into one row (no join).
+    """
     s = _filtered(star, **filt)
-    return s.agg(
-        S.as_double(F.sum(_revenue())).alias("revenue"),
-        F.countDistinct("order_id").alias("orders"),
-        F.countDistinct("customer_unique_id").alias("customers"),
-        F.countDistinct("seller_id").alias("sellers"),
+    per_order = s.groupBy("order_id", "customer_unique_id").agg(F.sum(_revenue()).alias("rev"))
+    per_person = per_order.groupBy("customer_unique_id").agg(
+        F.sum("rev").alias("rev"), F.count(F.lit(1)).alias("n")
+    )
+    a = per_person.agg(
+        F.sum("rev").alias("revenue"),
+        F.sum("n").alias("orders"),
+        F.count_if(F.col("customer_unique_id").isNotNull()).alias("customers"),
+    )
+    b = (
+        s.where(F.col("seller_id").isNotNull())
+        .select("seller_id").distinct()
+        .agg(F.count(F.lit(1)).alias("sellers"))
+    )
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.agg(
+        S.as_double(F.max("revenue")).alias("revenue"),
+        F.coalesce(F.max("orders"), F.lit(0)).cast("bigint").alias("orders"),
+        F.coalesce(F.max("customers"), F.lit(0)).cast("bigint").alias("customers"),
+        F.coalesce(F.max("sellers"), F.lit(0)).cast("bigint").alias("sellers"),
     )
 
 
