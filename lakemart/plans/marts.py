@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import scalar as S
 from lakemart.params import Params
 from lakemart.plans import gold as G
+from lakemart.sources.schemas import MONEY_TOTAL
 
 SALES_MART_COLUMNS = (
     "order_id", "order_item_id", "product_id", "seller_id", "customer_id",
@@ -34,7 +35,7 @@ SALES_MART_COLUMNS = (
 
 def _payments_by_order(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("payment_value"),
+        F.sum("payment_value").cast(MONEY_TOTAL).alias("payment_value"),
         F.max("payment_installments").alias("payment_installments"),
         F.count(F.lit(1)).alias("payment_count"),
     )

@@ -17,6 +17,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+# Totals of money use the widest decimal (what SQL engines give SUM of money), so a
+# total cannot overflow at any data volume.
+MONEY_TOTAL = T.DecimalType(38, 2)
 
 S = T.StringType()
 
