@@ -117,3 +117,22 @@ def test_publish_register_and_parameterised_sql(spark, scratch):
     # a value that looks like SQL stays a value
     assert run_query(spark, "SELECT COUNT(*) AS n FROM t WHERE state = :state", {"state": "SP' OR '1'='1"}).first().n == 0
     df.unpersist()
+
+
+def test_command_line_steps(spark, scratch):
+    from lakemart.__main__ import main
+    from lakemart.sources.adapter import raw_tables
+
+    raw = f"{scratch}/raw"
+    for name, df in raw_tables(spark, "/root/testdata/sf0.001").items():
+        write_csv(df, f"{raw}/{CATALOGUE[name].file}")
+    base = f"{scratch}/lake"
+    for argv in (
+        ["ingest", "--raw", raw, "--base", base],
+        ["silver", "--base", base],
+        ["gold", "--base", base, "--marts"],
+        ["validate", "--base", base, "--layer", "gold"],
+    ):
+        assert main(argv) == 0
+    assert spark.read.parquet(f"{base}/gold/star").count() > 0
+    assert spark.read.parquet(f"{base}/quality/gold").where("check = 'rows'").count() == 6
