@@ -19,22 +19,48 @@ def layer_path(base: str, layer: str, table: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{table}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+SMALL_INPUT_BYTES_PER_CORE = 16 * 1024 * 1024
+
+
+def _input_bytes(df: DataFrame) -> int | None:
+    """Size estimate of a scan from Spark's plan statistics (file sizes already
+    known from the file listing; runs no job)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, under_split_ratio: int = 4) -> DataFrame:
     """Spread an under-split input over the cluster once, at the read boundary.
 
     A scan has as many tasks as splits; one large Parquet row group or one
-    multi-line CSV file is a single split, and every stage before the first
-    shuffle would then run as one task. When the scan has fewer partitions than
-    the cluster's default parallelism, rows are redistributed round-robin (no
-    key, so no skew). A normally split input at scale is returned unchanged:
-    no shuffle is added.
+    unsplittable file (multi-line CSV, gzip) is a single split, and every stage
+    before the first shuffle would then run as one task. Rows are redistributed
+    round-robin (no key, so no skew; Spark sorts before a round-robin repartition,
+    so a retried task gets the same rows) when
+
+    - the scan has at most 1/``under_split_ratio`` as many splits as the cluster
+      has cores (severely under-split), or
+    - it has fewer splits than cores and is small in absolute terms (at most
+      16 MB per core), so the extra shuffle is cheap.
+
+    A normally split large input (thousands of 128 MB splits) is returned
+    unchanged: only the stages up to the first shuffle would gain, which is not
+    worth shuffling it.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
         return df
-    return df if splits >= target else df.repartition(target)
+    if splits * under_split_ratio <= target:
+        return df.repartition(target)
+    if splits < target:
+        size = _input_bytes(df)
+        if size is not None and size <= target * SMALL_INPUT_BYTES_PER_CORE:
+            return df.repartition(target)
+    return df
 
 
 def read_raw(spark: SparkSession, path: str, **options) -> DataFrame:
