@@ -12,7 +12,6 @@ import pytest
 
 from lakemart.params import Params
 from lakemart.plans import dashboard as D
-from lakemart.plans import gold as G
 from lakemart.plans.lake import Lake
 
 T = dt.datetime
