@@ -23,6 +23,16 @@ from lakemart.sources.files import read_layer, write_layer, write_tables
 STAR_PARTITIONS = ("year", "month")
 
 
+def analyse(plans: Mapping[str, DataFrame]) -> None:
+    """Resolve every plan (names, types) without running a job.
+
+    Called before the first write, so a wrong column or type fails the build
+    while the lake is still untouched instead of leaving half a layer written.
+    """
+    for df in plans.values():
+        df.schema  # noqa: B018
+
+
 def build_silver_layer(spark: SparkSession, raw: Mapping[str, DataFrame], base: str) -> dict[str, DataFrame]:
     plans = build_silver(raw)
     write_tables(plans, base, "silver")
@@ -33,6 +43,8 @@ def build_gold_layer(
     spark: SparkSession, silver: Mapping[str, DataFrame], base: str, params: Params = Params()
 ) -> dict[str, DataFrame]:
     """Facts first; dimensions that need a fact (LTV) read the stored fact."""
+    lazy = G.build_gold(silver, params)
+    analyse({**lazy, "star": G.star(lazy)})
     facts = G.build_facts(silver)
     write_tables(facts, base, "gold")
     stored = {t: read_layer(spark, base, "gold", t) for t in facts}
@@ -67,7 +79,15 @@ def build_lake(
     params: Params = Params(),
     marts: bool = False,
 ) -> dict[str, DataFrame]:
-    """raw -> silver -> gold (+ star, + marts); returns the stored tables."""
+    """raw -> silver -> gold (+ star, + marts); returns the stored tables.
+
+    All plans of all layers are analysed before anything is written.
+    """
+    lazy_silver = build_silver(raw)
+    lazy_gold = G.build_gold(lazy_silver, params)
+    analyse({**lazy_silver, **lazy_gold, "star": G.star(lazy_gold)})
+    if marts:
+        analyse(build_marts(lazy_silver, params))
     silver = build_silver_layer(spark, raw, base)
     gold = build_gold_layer(spark, silver, base, params)
     out = {**{f"silver.{k}": v for k, v in silver.items()}, **gold}

@@ -83,3 +83,18 @@ def test_round_ratio_is_exact_half_away_from_zero(spark, pairs):
         return (1 if n > 0 else -1 if n < 0 else 0) * r / 100
 
     assert got == [expected(n, d) for n, d in pairs]
+
+
+def test_failed_analysis_writes_nothing(spark, scratch):
+    from pyspark.errors import AnalysisException
+
+    from lakemart.plans.build import build_lake
+    from lakemart.sources.adapter import raw_tables
+
+    raw = raw_tables(spark, SF001)
+    raw["payments"] = raw["payments"].drop("payment_value")  # gold cannot resolve
+    with pytest.raises(AnalysisException):
+        build_lake(spark, raw, f"{scratch}/lake", P)
+    import os
+
+    assert not os.path.exists(f"{scratch}/lake")
