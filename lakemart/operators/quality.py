@@ -14,8 +14,10 @@ Result rows: ``(table, check, column, status, value, pct)``
   readable    FAIL when the table cannot be read at all
 
 Scale: the reference runs one job per check and table (count, distinct, nulls,
-one per metric). ``profile`` computes every check of a table in one aggregate
-(the key's distinct count included), and a layer suite is one union of those.
+one per metric). ``profile`` computes the row count, every null count and every
+metric range in one global aggregate (map-side partials, no key shuffle), plus
+the key check as a narrow grouped count; a layer suite is one union of those,
+run as one job.
 """
 
 from __future__ import annotations
@@ -55,11 +57,6 @@ def profile(
     aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
     for j, m in enumerate(metrics):
         aggs += [F.min(m).cast("double").alias(f"mn{j}"), F.max(m).cast("double").alias(f"mx{j}")]
-    if key:
-        aggs += [
-            F.count_distinct(F.col(key)).alias("kd"),
-            F.max(F.col(key).isNull().cast("int")).alias("kn"),
-        ]
     stats = df.agg(*aggs)
 
     rows = F.col("rows")
@@ -75,15 +72,6 @@ def profile(
             F.when(n > 0, _row(table, "nulls", c, "WARN", n, round_ratio(n * 100, rows, 2)))
         )
     checks.append(F.when(~any_null, _row(table, "nulls", None, "PASS", 0, 0.0)))
-    if key:
-        distinct = F.col("kd") + F.coalesce(F.col("kn"), F.lit(0))
-        checks.append(
-            _row(
-                table, "key_unique", key,
-                F.when(distinct == rows, "PASS").otherwise("WARN"),
-                rows - distinct,
-            )
-        )
     for j, m in enumerate(metrics):
         mn, mx = F.col(f"mn{j}"), F.col(f"mx{j}")
         checks.append(_row(table, "min", m, F.when(mn < 0, "FAIL").otherwise("PASS"), mn))
@@ -91,7 +79,27 @@ def profile(
 
     exploded = stats.select(F.col("rows"), F.explode(F.array(*checks)).alias("r"))
     kept = exploded.where(F.col("r").isNotNull() & ((F.col("rows") > 0) | (F.col("r.check") == "rows")))
-    return kept.select("r.*")
+    out = kept.select("r.*")
+    if key:
+        out = out.unionByName(_key_check(df, table, key))
+    return out
+
+
+def _key_check(df: DataFrame, table: str, key: str) -> DataFrame:
+    """Distinct key values (a NULL key is one value) against rows.
+
+    Its own narrow branch: rows are grouped by the key alone (map-side combined
+    into one count per key and partition), so only ``(key, count)`` pairs are
+    shuffled, not the other checks' counters.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+    totals = per_key.agg(F.count(F.lit(1)).alias("distinct"), F.sum("c").alias("rows"))
+    check = _row(
+        table, "key_unique", key,
+        F.when(F.col("distinct") == F.col("rows"), "PASS").otherwise("WARN"),
+        F.col("rows") - F.col("distinct"),
+    )
+    return totals.where(F.col("rows") > 0).select(check.alias("r")).select("r.*")
 
 
 def unreadable(spark: SparkSession, table: str, error: str) -> DataFrame:
