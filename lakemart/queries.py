@@ -580,7 +580,7 @@ def _live_cube(spark, d):
     status = F.coalesce(F.col("order_status"), F.lit(""))
     waves = [status == "F", status == "O", ~status.isin("F", "O")]
     schema = rows.drop("order_status").schema
-    for i, cond in enumerate(waves):
+    for cond in waves:
         rows.where(cond).drop("order_status").write.mode("append").parquet(incoming)
         load = auto_load(
             spark, incoming, landed, schema, f"{root}/ck_load", partition_by=("year", "month")
