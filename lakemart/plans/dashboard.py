@@ -270,3 +270,67 @@ def region_distribution(star: DataFrame, **filt) -> DataFrame:
         "orders",
         F.round(S.safe_pct("rev", total), 4).alias("revenue_share_pct"),
     )
+
+
+class Dashboard:
+    """All dashboard questions over a stored gold layer.
+
+    Reads ``<base>/gold/star`` (partitioned by year, month) and the gold tables
+    behind the filter lists. ``cache=True`` keeps the star in executor memory and
+    disk for repeated questions (the reference caches query results); leave it off
+    when the star is larger than the cluster's storage memory, then every question
+    is a pruned scan of the stored star. Filters: state, year, category, status
+    (``None`` or ``"All"`` = no condition).
+    """
+
+    def __init__(self, spark, base: str, params: Params = Params(), cache: bool = False):
+        from lakemart.sources.files import GOLD_TABLES, cached, read_layer
+
+        self.params = params
+        self.gold = {t: read_layer(spark, base, "gold", t) for t in GOLD_TABLES}
+        star = read_layer(spark, base, "gold", "star")
+        self.star = cached(star) if cache else star
+
+    def filters(self) -> dict[str, DataFrame]:
+        return {
+            "states": filter_states(self.gold),
+            "years": filter_years(self.gold),
+            "categories": filter_categories(self.gold),
+            "statuses": filter_statuses(self.gold),
+        }
+
+    def kpis(self, **filt) -> DataFrame:
+        return kpis(self.star, self.params, **filt)
+
+    def monthly_trend(self, **filt) -> DataFrame:
+        return monthly_trend(self.star, **filt)
+
+    def year_over_year(self, **filt) -> DataFrame:
+        return year_over_year(self.star, **filt)
+
+    def top_categories(self, **filt) -> DataFrame:
+        return top_categories(self.star, self.params, **filt)
+
+    def segments(self, **filt) -> DataFrame:
+        return segments(self.star, **filt)
+
+    def funnel(self, **filt) -> DataFrame:
+        return funnel(self.star, **filt)
+
+    def freight_outliers(self, **filt) -> DataFrame:
+        return freight_outliers(self.star, self.params, **filt)
+
+    def severe_delays(self, **filt) -> DataFrame:
+        return severe_delays(self.star, self.params, **filt)
+
+    def seller_performance(self, **filt) -> DataFrame:
+        return seller_performance(self.star, **filt)
+
+    def headline_counts(self, **filt) -> DataFrame:
+        return headline_counts(self.star, **filt)
+
+    def region_distribution(self, **filt) -> DataFrame:
+        return region_distribution(self.star, **filt)
+
+    def close(self) -> None:
+        self.star.unpersist()

@@ -98,3 +98,21 @@ def test_failed_analysis_writes_nothing(spark, scratch):
     import os
 
     assert not os.path.exists(f"{scratch}/lake")
+
+
+def test_dashboard_over_stored_gold_equals_lazy_plan(spark, scratch, lake):
+    from lakemart.plans.build import build_lake
+    from lakemart.plans.dashboard import Dashboard
+    from lakemart.sources.adapter import raw_tables
+
+    build_lake(spark, raw_tables(spark, SF001), f"{scratch}/lake", P)
+    dash = Dashboard(spark, f"{scratch}/lake", P, cache=True)
+    try:
+        filt = {"state": "NATION_7", "year": 1997}
+        assert dash.kpis(**filt).collect() == D.kpis(lake.star, P, **filt).collect()
+        assert dash.top_categories().collect() == D.top_categories(lake.star, P).collect()
+        assert [r.year for r in dash.filters()["years"].collect()] == sorted(
+            {r.year for r in lake.gold["dim_date"].collect()}, reverse=True
+        )
+    finally:
+        dash.close()
