@@ -40,16 +40,10 @@ def date_key(ts: ColumnOrName) -> Column:
     return F.date_format(_col(ts), "yyyy-MM-dd")
 
 
-def year_of(ts: ColumnOrName) -> Column:
-    return F.date_format(_col(ts), "yyyy").cast("int")
 
 
-def month_of(ts: ColumnOrName) -> Column:
-    return F.date_format(_col(ts), "MM").cast("int")
 
 
-def day_of(ts: ColumnOrName) -> Column:
-    return F.date_format(_col(ts), "dd").cast("int")
 
 
 def weekday_short(ts: ColumnOrName) -> Column:
@@ -76,8 +70,6 @@ def safe_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
     return _col(numerator).cast("double") / F.nullif(_col(denominator), F.lit(0)).cast("double")
 
 
-def round2(c: ColumnOrName) -> Column:
-    return F.round(_col(c), 2)
 
 
 def round_ratio(numerator: ColumnOrName, denominator: ColumnOrName, digits: int = 2) -> Column:

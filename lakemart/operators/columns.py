@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.functions.scalar import lenient_timestamp
+
 _TS_TYPES = (T.TimestampType, T.TimestampNTZType)
 
 
@@ -34,7 +36,7 @@ def _convert(df: DataFrame, name: str, target: T.DataType):
         if isinstance(source, _TS_TYPES):
             return col
         if isinstance(source, (T.StringType, T.VarcharType, T.CharType)):
-            return F.try_to_timestamp(col)
+            return lenient_timestamp(col)
         return col.try_cast(target)
     if source == target:
         return col

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from lakemart.functions import scalar as S
 from lakemart.functions.predicates import (
     freight_outlier,
+    in_segments,
     severe_delay,
     star_filter,
     year_lifted,
@@ -96,7 +97,7 @@ def kpis(star: DataFrame, params: Params = Params(), **filt) -> DataFrame:
         F.sum("s_rv").alias("s_rv"),
     )
     person = F.col("customer_unique_id").isNotNull()
-    repeat = person & F.col("customer_segment").isin(*REPEAT_SEGMENTS)
+    repeat = person & in_segments(REPEAT_SEGMENTS)
     total = per_person.agg(
         F.sum("revenue").alias("revenue"),
         F.sum("n_orders").alias("n_orders"),
