@@ -69,9 +69,17 @@ def main(argv=None) -> int:
         elif ns.layer == "silver":
             result = Q.validate_silver({t: read_layer(spark, ns.base, "silver", t) for t in CATALOGUE})
         else:
-            from lakemart.sources.files import GOLD_TABLES
+            from lakemart.sources.files import GOLD_TABLES, layer_path, path_exists
 
-            result = Q.validate_gold({t: read_layer(spark, ns.base, "gold", t) for t in GOLD_TABLES})
+            tables = {t: read_layer(spark, ns.base, "gold", t) for t in (*GOLD_TABLES, "star")}
+            marts_root = layer_path(ns.base, "marts", "")
+            if path_exists(spark, marts_root):
+                from lakemart.sources.schemas import GOLD_METRICS
+
+                for t in GOLD_METRICS:
+                    if path_exists(spark, layer_path(ns.base, "marts", t)):
+                        tables[t] = read_layer(spark, ns.base, "marts", t)
+            result = Q.validate_gold(tables)
         path = write_layer(result, ns.base, "quality", ns.layer)
         stored = spark.read.parquet(path)
         stored.where(F.col("status") != "PASS").show(200, truncate=False)

@@ -19,6 +19,14 @@ def layer_path(base: str, layer: str, table: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{table}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence through the Hadoop file system (local, file:, s3a:, abfss: ...)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
 SMALL_INPUT_BYTES_PER_CORE = 16 * 1024 * 1024
 
 

@@ -14,20 +14,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.sources.files import layer_path, read_csv
+from lakemart.sources.files import layer_path, path_exists, read_csv
 from lakemart.sources.schemas import CATALOGUE, DatasetSpec
 
 RESULT_SCHEMA = "table string, rows long, status string, path string"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence through the Hadoop file system (local, file:, s3a:, abfss: ...)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def ingest_raw(
     spark: SparkSession,
     raw: str,
@@ -38,7 +30,7 @@ def ingest_raw(
     results = []
     for name, spec in catalogue.items():
         src = f"{raw.rstrip('/')}/{spec.file}"
-        if not _exists(spark, src):
+        if not path_exists(spark, src):
             results.append((name, None, "skipped: file not found", src))
             continue
         obs = Observation(f"ingest_{name}")
@@ -53,6 +45,6 @@ def read_bronze(spark: SparkSession, base: str, tables=tuple(CATALOGUE)) -> dict
     out = {}
     for t in tables:
         path = layer_path(base, "bronze", t)
-        if _exists(spark, path):
+        if path_exists(spark, path):
             out[t] = spark.read.parquet(path)
     return out

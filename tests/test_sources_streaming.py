@@ -135,4 +135,5 @@ def test_command_line_steps(spark, scratch):
     ):
         assert main(argv) == 0
     assert spark.read.parquet(f"{base}/gold/star").count() > 0
-    assert spark.read.parquet(f"{base}/quality/gold").where("check = 'rows'").count() == 6
+    # six star-schema tables, the joined star and the eleven marts
+    assert spark.read.parquet(f"{base}/quality/gold").where("check = 'rows'").count() == 18
