@@ -102,3 +102,45 @@ def test_clean_products_keeps_two_columns_no_dedup(spark):
     raw = spark.createDataFrame([("p1", "a", "1"), ("p1", "b", "2")], "product_id string, product_category_name string, x string")
     out = SV.clean_products(raw)
     assert out.columns == ["product_id", "product_category_name"] and out.count() == 2
+
+
+def test_clean_customers_dedup_then_fill(spark):
+    raw = spark.createDataFrame(
+        [("c1", "p1", "01000", None, "SP"), ("c1", "p1", "01000", "rio", "RJ"), ("c2", "p2", "02000", "x", None)],
+        "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
+        "customer_city string, customer_state string",
+    )
+    out = {r.customer_id: (r.customer_city, r.customer_state) for r in SV.clean_customers(raw).collect()}
+    # survivor is the first row in column order (NULL city sorts first), then filled
+    assert out == {"c1": ("unknown", "SP"), "c2": ("x", "unknown")}
+
+
+def test_clean_orders_parses_two_timestamps_and_dedups(spark):
+    raw = spark.createDataFrame(
+        [
+            ("o1", "c1", "delivered", "2018-01-01 10:00:00", "x", "y", "2018-01-03 09:00:00", "z"),
+            ("o1", "c1", "delivered", "2018-01-01 10:00:00", "x", "y", "bad", "z"),
+            ("o2", "c2", "shipped", "not a date", None, None, None, None),
+        ],
+        ", ".join(f"{c} string" for c in [
+            "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+            "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
+        ]),
+    )
+    out = {r.order_id: r for r in SV.clean_orders(raw).collect()}
+    assert len(out) == 2
+    assert out["o2"].order_purchase_timestamp is None
+    assert out["o1"].order_approved_at == "x"  # other dates stay as read
+    # parsed before dedup: the unparsable delivered date is NULL, which sorts first
+    assert out["o1"].order_delivered_customer_date is None
+
+
+def test_clean_order_items_casts_and_filters(spark):
+    raw = spark.createDataFrame(
+        [("o1", "1", "p", "s", None, "10.5", "1"), ("o1", "2", "p", "s", None, "-1", "1"),
+         ("o2", "x", "p", "s", None, "abc", "2")],
+        "order_id string, order_item_id string, product_id string, seller_id string, "
+        "shipping_limit_date string, price string, freight_value string",
+    )
+    out = SV.clean_order_items(raw).collect()
+    assert [(r.order_item_id, float(r.price)) for r in out] == [(1, 10.5)]
