@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.sources.files import layer_path, path_exists, read_csv
+from lakemart.sources.files import layer_path, path_exists, read_csv, spread
 from lakemart.sources.schemas import CATALOGUE, DatasetSpec
 
 RESULT_SCHEMA = "table string, rows long, status string, path string"
@@ -34,7 +34,9 @@ def ingest_raw(
             results.append((name, None, "skipped: file not found", src))
             continue
         obs = Observation(f"ingest_{name}")
-        df = read_csv(spark, src, spec.schema, multiline=spec.multiline, **spec.options)
+        # a multi-line CSV file is one split (parsed by one task); spreading the parsed
+        # rows lets the Parquet encoding and the write run on every core
+        df = spread(read_csv(spark, src, spec.schema, multiline=spec.multiline, **spec.options))
         dst = layer_path(base, "bronze", name)
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(dst)
         results.append((name, int(obs.get["rows"]), "written", dst))
