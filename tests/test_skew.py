@@ -94,3 +94,18 @@ def test_hot_key_dedup_combines_before_shuffle(spark):
     assert plan.index("partial_min") > plan.index("Exchange hashpartitioning(review_id")
     rows = {r.review_id: r.score for r in out.collect()}
     assert len(rows) == 1 + (n - n // 3) and rows["HOT"] == 0
+
+
+def test_results_do_not_depend_on_aqe(spark):
+    """AQE only changes how the plans run, never what they return."""
+    from tests.conftest import SF001
+
+    lake = Lake(raw_tables(spark, SF001), P)
+    with_aqe = D.kpis(lake.star, P).collect()
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        without = D.kpis(Lake(raw_tables(spark, SF001), P).star, P).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert with_aqe == without
