@@ -102,7 +102,7 @@ def sales_summary(mart: DataFrame) -> DataFrame:
     """Total item revenue, average per item (as the logged value is) and orders."""
     return mart.agg(
         S.as_double(F.sum("price")).alias("total_revenue"),
-        (S.as_double(F.sum("price")) / F.count(F.lit(1))).alias("avg_order_value"),
+        S.safe_ratio(S.as_double(F.sum("price")), F.count(F.lit(1))).alias("avg_order_value"),
         F.countDistinct("order_id").alias("total_orders"),
     )
 
@@ -154,17 +154,21 @@ def payment_mix(payments: DataFrame) -> DataFrame:
 
 
 def delivery_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per customer state: average delivery days over delivered orders (2 digits)."""
-    o = orders.select(
+    """Per customer state: average delivery days over delivered orders (2 digits).
+
+    Orders are summed per customer before the customers join (map-side combined),
+    so the join sees one row per customer whatever a single customer's share.
+    """
+    per_customer = orders.select(
         "customer_id",
         S.calendar_days("order_delivered_customer_date", "order_purchase_timestamp").alias("dd"),
+    ).groupBy("customer_id").agg(
+        F.sum("dd").alias("s"), F.count("dd").alias("n"), F.count(F.lit(1)).alias("o")
     )
-    per_state = o.join(customers.select("customer_id", "customer_state"), "customer_id").groupBy(
-        "customer_state"
-    ).agg(
-        F.sum("dd").alias("s"),
-        F.count("dd").alias("n"),
-        F.count(F.lit(1)).alias("total_orders"),
+    per_state = per_customer.join(
+        customers.select("customer_id", "customer_state"), "customer_id"
+    ).groupBy("customer_state").agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("o").alias("total_orders")
     )
     return per_state.select(
         "customer_state",
@@ -174,15 +178,23 @@ def delivery_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def customer_segments(silver: Mapping[str, DataFrame], params: Params = Params()) -> DataFrame:
-    """Person grain: orders, value, average review over their orders, segment."""
+    """Person grain: orders, value, average review over their orders, segment.
+
+    Review averages are summed per customer before the customers join (the same
+    pre-aggregation as the lifetime value), so no hot customer reaches a join.
+    """
     s = silver
     ltv = G.ltv(G.fact_sales(s["order_items"], s["orders"]), s["customers"])
-    reviews = (
+    per_customer = (
         G.review_summary(s["reviews"])
         .join(s["orders"].select("order_id", "customer_id"), "order_id")
-        .join(s["customers"].select("customer_id", "customer_unique_id"), "customer_id")
+        .groupBy("customer_id")
+        .agg(F.sum("avg_review_score").alias("rs"), F.count("avg_review_score").alias("rn"))
+    )
+    reviews = (
+        per_customer.join(s["customers"].select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id")
-        .agg(F.avg("avg_review_score").alias("avg_review_score"))
+        .agg(S.safe_ratio(F.sum("rs"), F.sum("rn")).alias("avg_review_score"))
     )
     return ltv.join(reviews, "customer_unique_id", "left").select(
         "customer_unique_id",

@@ -182,3 +182,15 @@ def test_funnel_and_anomalies(lake):
     assert fr.high_freight_items == 1  # o2: 200 > 150
     late = D.severe_delays(lake.star, Params(severe_delay_days=5)).collect()[0]
     assert (late.severe_delay_items, late.severe_delay_orders) == (2, 2)
+
+
+def test_customer_segments_with_only_null_review_scores(spark, silver):
+    from lakemart.plans.marts import customer_segments
+
+    reviews = spark.createDataFrame(
+        [("r1", "o6", None, "", "", None, None)],
+        "review_id string, order_id string, review_score int, review_comment_title string, "
+        "review_comment_message string, review_creation_date timestamp, review_answer_timestamp timestamp",
+    )
+    rows = {r.customer_unique_id: r for r in customer_segments({**silver, "reviews": reviews}).collect()}
+    assert rows["p5"].avg_review_score is None and rows["p5"].customer_segment == "Repeat"
