@@ -95,3 +95,14 @@ def test_surrogate_keys_dense_in_key_order(spark):
     assert sorted(r.sk for r in out) == list(range(1, 1001))
     by_key = sorted(out, key=lambda r: r.k)
     assert [r.sk for r in by_key] == list(range(1, 1001))
+
+
+def test_surrogate_keys_with_repeated_keys_are_dense_and_repeatable(spark):
+    # a third of the rows share one key value; ties are numbered by the other columns
+    df = spark.range(0, 3000).selectExpr(
+        "IF(id % 3 = 0, 'HOT', CAST(id AS STRING)) AS k", "id % 17 AS v", "id"
+    ).repartition(7)
+    first = {r.id: r.sk for r in with_surrogate_key(df, "k", "sk", num_partitions=5).collect()}
+    again = {r.id: r.sk for r in with_surrogate_key(df, "k", "sk", num_partitions=5).collect()}
+    assert sorted(first.values()) == list(range(1, 3001))
+    assert first == again
