@@ -17,23 +17,46 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def orderable(dtype: T.DataType) -> bool:
+    """Whether Spark can compare values of this type (maps cannot)."""
+    if isinstance(dtype, T.MapType):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(orderable(f.dataType) for f in dtype.fields)
+    return True
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per ``keys``: the smallest by ``order_by`` then all other columns.
 
-    Ordering is ascending with NULLs first (Spark's struct order).
+    Ordering is ascending with NULLs first (Spark's struct order). Columns Spark
+    cannot order (maps) are carried along with the chosen row.
     """
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    packed = order_by + rest
-    if not packed:
+    packed = [c for c in order_by + rest if orderable(df.schema[c].dataType)]
+    carried = [c for c in order_by + rest if c not in packed]  # e.g. maps: follow their row
+    if not packed and not carried:
         return df.select(*keys).distinct()
     # positional field names avoid clashes with the key columns
     fields = [F.col(c).alias(f"_f{i}") for i, c in enumerate(packed)]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
-    out = best.select(*keys, *[F.col(f"_best._f{i}").alias(c) for i, c in enumerate(packed)])
+    order = F.struct(*fields) if fields else F.lit(0)
+    aggs = [F.min(order).alias("_best")]
+    if carried:
+        extra = F.struct(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(carried)])
+        aggs.append(F.min_by(extra, order).alias("_rest"))
+    best = df.groupBy(*keys).agg(*aggs)
+    out = best.select(
+        *keys,
+        *[F.col(f"_best._f{i}").alias(c) for i, c in enumerate(packed)],
+        *[F.col(f"_rest._g{i}").alias(c) for i, c in enumerate(carried)],
+    )
     return out.select(*df.columns)
 
 

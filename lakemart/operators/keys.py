@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.operators.dedup import orderable
 from lakemart.session import checkpoint_dir
 
 _POS_MASK = (1 << 33) - 1
@@ -44,7 +45,7 @@ def with_surrogate_key(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # the other columns break ties, so a repeated key value cannot pile up in one
     # range and equal keys are numbered in a fixed order
-    order = keys + [c for c in df.columns if c not in keys]
+    order = keys + [c for c in df.columns if c not in keys and orderable(df.schema[c].dataType)]
     laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
 
     tagged = laid_out.select(

@@ -144,3 +144,11 @@ def test_clean_order_items_casts_and_filters(spark):
     )
     out = SV.clean_order_items(raw).collect()
     assert [(r.order_item_id, float(r.price)) for r in out] == [(1, 10.5)]
+
+
+def test_dedup_carries_map_columns(spark):
+    df = spark.createDataFrame(
+        [("k", 2, {"a": 1}), ("k", 1, {"b": 2}), ("j", 5, None)], "key string, n int, props map<string,int>"
+    )
+    out = {r.key: (r.n, r.props) for r in dedup(df, ["key"]).collect()}
+    assert out == {"k": (1, {"b": 2}), "j": (5, None)}
