@@ -1,6 +1,6 @@
 """Scans and sinks of the layered lake (raw CSV, Parquet layers, SQL views).
 
-The lake base is a URI (local path, ``s3a://``, ``abfss://`` ...); every table is
+The lake base is a URI (local path, ``s3a://``, ``hdfs://`` ...); every table is
 one directory ``<base>/<layer>/<table>``. Reads use declared schemas, so no
 inference pass runs before a job.
 """
@@ -20,7 +20,7 @@ def layer_path(base: str, layer: str, table: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence through the Hadoop file system (local, file:, s3a:, abfss: ...)."""
+    """Existence through the Hadoop file system (local, file:, s3a:, hdfs: ...)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
