@@ -132,11 +132,17 @@ def test_command_line_steps(spark, scratch):
         ["silver", "--base", base],
         ["gold", "--base", base, "--marts"],
         ["validate", "--base", base, "--layer", "gold"],
+        ["validate", "--base", base, "--layer", "silver"],
+        ["validate", "--base", base, "--layer", "bronze", "--raw", raw],
     ):
         assert main(argv) == 0
     assert spark.read.parquet(f"{base}/gold/star").count() > 0
     # six star-schema tables, the joined star and the eleven marts
     assert spark.read.parquet(f"{base}/quality/gold").where("check = 'rows'").count() == 18
+    silver_q = spark.read.parquet(f"{base}/quality/silver")
+    assert silver_q.where("check = 'key_unique'").count() == 6  # tables with a key
+    bronze_q = spark.read.parquet(f"{base}/quality/bronze")
+    assert bronze_q.where("check = 'rows' AND status = 'PASS'").count() == 9
 
 
 def test_refresh_replay_is_idempotent(spark, scratch):
