@@ -722,3 +722,29 @@ def _raw_landing(spark, d):
 
 
 register("raw_landing_fact_orders", O.with_base("SELECT * FROM fact_orders"))(_raw_landing)
+
+
+# ---- the stored-layer path: build the lake into storage, query the stored star ------
+# raw -> silver -> gold -> star written layer by layer (read back between layers),
+# then the dashboard reads the stored, year/month-partitioned star (pruned scan).
+
+def _stored_dashboard(spark, d):
+    import uuid
+
+    from lakemart.plans.build import build_lake
+    from lakemart.plans.dashboard import Dashboard
+    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
+    from lakemart.sources.adapter import raw_tables
+
+    ensure_checkpoint_dir(spark)
+    base = f"{checkpoint_dir(spark)}/lakemart-stored-{uuid.uuid4().hex}"
+    build_lake(spark, raw_tables(spark, d), base, P)
+    return Dashboard(spark, base, P)
+
+
+register("stored_kpis_state_year", _kpi_sql(**F_STATE_YEAR))(
+    lambda spark, d: _stored_dashboard(spark, d).kpis(**F_STATE_YEAR)
+)
+register("stored_monthly_trend_category_status", _trend_sql(**F_CAT_STATUS))(
+    lambda spark, d: _stored_dashboard(spark, d).monthly_trend(**F_CAT_STATUS)
+)
