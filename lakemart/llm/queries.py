@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, packing
+from . import byte_bpe, language, packing
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +19,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(cut, spark)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    learnt = language.in_training()
+    model = language.fit(documents, learnt)
+    return language.identified(documents, language.share_model(model, spark), ~learnt)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return byte_bpe.digests(documents, BYTE_RANKS, public_tokenizers.PATTERN)
@@ -26,6 +33,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
 }
 
