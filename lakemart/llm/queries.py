@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language, packing, suffix_dedup
+from . import byte_bpe, language, packing, simhash, suffix_dedup
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(documents, BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"), spark)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"), spark)
 
@@ -39,6 +43,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_simhash": op4_simhash,
     "op8_suffix_dedup": op8_suffix_dedup,
 }
 
