@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language, packing, simhash, suffix_dedup
+from . import byte_bpe, fingerprint, language, packing, simhash, suffix_dedup
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -39,12 +39,17 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"), spark)
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edits(table(spark, sf_dir, "documents"), spark)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_fingerprint": op9_fingerprint,
 }
 
 #: None of the operators can be stated in SQL; tests/llm holds each one against a
