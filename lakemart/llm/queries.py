@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, language, packing, simhash, suffix_dedup
+from . import byte_bpe, fingerprint, language, packing, simhash, suffix_dedup, topk
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"), spark)
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), spark)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"), spark)
 
@@ -48,6 +52,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
+    "op5_topk": op5_topk,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprint": op9_fingerprint,
 }
