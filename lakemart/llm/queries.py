@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, language, packing, simhash, suffix_dedup, topk
+from . import byte_bpe, fingerprint, language, packing, secrets, simhash, suffix_dedup, topk
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +39,10 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), spark)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"), spark)
 
@@ -53,6 +57,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
     "op5_topk": op5_topk,
+    "op7_secrets": op7_secrets,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprint": op9_fingerprint,
 }
