@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, language, packing, secrets, simhash, suffix_dedup, topk
+from . import byte_bpe, fingerprint, language, packing, pii, secrets, simhash, suffix_dedup, topk
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +39,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), spark)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pii.personal_data(documents, spark.sparkContext.broadcast(pii.learned(documents)))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
     "op5_topk": op5_topk,
+    "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprint": op9_fingerprint,
