@@ -417,22 +417,23 @@ def _parsed(texts: DataFrame, n: int, buckets: int) -> DataFrame:
 
 
 def _judged(
-    df: DataFrame, spark: SparkSession, n: int, id_col: str, text_col: str
+    df: DataFrame, spark: SparkSession, n: int, id_col: str, text_col: str, others: list[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows with what the steps need, and the spans of repeated strings by part."""
-    width = shuffle_width(spark)
-    parts, buckets = 4 * width, 2 * width
+    """The rows with what the steps need (and the other columns asked for), and the spans
+    of repeated strings by part. All steps read the rows from one exchange."""
+    # a part sends a row to each bucket, so both are as many as the shuffle's partitions
+    parts = buckets = shuffle_width(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST))
     h = F.pmod(F.xxhash64(doc, text), F.lit(1 << 32))
-    texts = df.withColumns({"__text": text, "__doc": doc, "__h": h}).withColumn(
-        "__part", F.pmod("__h", F.lit(parts)).cast("int")
+    named = df.select(
+        text.alias("__text"), doc.alias("__doc"), h.alias("__h"), F.col(text_col).isNull().alias("__none"), *others
     )
+    texts = named.withColumn("__part", F.pmod("__h", F.lit(parts)).cast("int"))
     spans = _resolved(_parsed(texts, n, buckets), False, parts)
     for run_length in (RUN, 1):
-        needed = texts.select("__part", "__doc", "__h", "__text", *df.columns)
-        spans = _resolved(_again(needed, spans, n, run_length, buckets), run_length == 1, parts)
-    return texts.select("__part", "__doc", "__h", "__text", *df.columns), spans
+        spans = _resolved(_again(texts, spans, n, run_length, buckets), run_length == 1, parts)
+    return texts, spans
 
 
 def _removed(part: Part, i: int, n: int) -> tuple[bytes, int, int]:
@@ -462,7 +463,7 @@ def digests(df: DataFrame, spark: SparkSession, n: int = N, id_col: str = "doc_i
         ids = pa.array(part.doc, mask=part.doc == _FIRST)
         return pa.Table.from_batches([rows(DIGESTS, {"doc_id": ids, **out})])
 
-    texts, spans = _judged(df.select(id_col, text_col), spark, n, id_col, text_col)
+    texts, spans = _judged(df, spark, n, id_col, text_col, [])
     return texts.groupBy("__part").cogroup(spans.groupBy("part")).applyInArrow(run, DIGESTS)
 
 
@@ -470,16 +471,16 @@ def deduplicated(df: DataFrame, spark: SparkSession, n: int = N, id_col: str = "
     """``df`` with the repeats taken out of its texts; a character that loses some of its
     bytes goes. Null texts stay null."""
     schema = df.schema
+    others = [c for c in df.columns if c != text_col]
     at = df.columns.index(text_col)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         part = Part(left, right)
         texts = [
-            None if null else _removed(part, i, n)[0].decode(errors="ignore")
-            for i, null in enumerate(left[text_col].is_null().to_pylist())
+            None if none else _removed(part, i, n)[0].decode(errors="ignore")
+            for i, none in enumerate(left["__none"].to_pylist())
         ]
-        out = part.table.drop_columns(["__part", "__doc", "__h", "__text"])
-        return out.set_column(at, text_col, pa.array(texts, pa.string()))
+        return part.table.select(others).add_column(at, text_col, pa.array(texts, pa.string()))
 
-    texts, spans = _judged(df, spark, n, id_col, text_col)
+    texts, spans = _judged(df, spark, n, id_col, text_col, others)
     return texts.groupBy("__part").cogroup(spans.groupBy("part")).applyInArrow(run, schema)
