@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, language, packing, pii, secrets, simhash, suffix_dedup, topk
+from . import byte_bpe, fingerprint, html_text, language, packing, pii, secrets, simhash, suffix_dedup, topk
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +56,11 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edits(table(spark, sf_dir, "documents"), spark)
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.main_text(pages, spark.sparkContext.broadcast(html_text.learned(pages)))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -66,6 +71,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secrets": op7_secrets,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprint": op9_fingerprint,
+    "op10_html_text": op10_html_text,
 }
 
 #: None of the operators can be stated in SQL; tests/llm holds each one against a
