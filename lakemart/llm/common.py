@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,25 @@ def settled(df: DataFrame, spark: SparkSession) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """A folder of its own in the shared checkpoint folder, for tables between steps. Only
+    the last one written is kept: the one before goes when the next is complete."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/steps-{uuid.uuid4().hex}"
+        self.last: str | None = None
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        if self.last:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(self.last)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.last = path
+        return self.spark.read.parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,8 +73,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprint": op9_fingerprint,
     "op10_html_text": op10_html_text,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: None of the operators can be stated in SQL; tests/llm holds each one against a
 #: brute-force version.
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
