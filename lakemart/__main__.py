@@ -3,11 +3,15 @@
     python -m lakemart ingest   --raw RAW_URI --base LAKE_URI
     python -m lakemart silver   --base LAKE_URI
     python -m lakemart gold     --base LAKE_URI [--marts]
+    python -m lakemart keyed    --base LAKE_URI
+    python -m lakemart history  --base LAKE_URI --as-of DATE
     python -m lakemart validate --base LAKE_URI --layer {bronze,silver,gold} [--raw RAW_URI]
 
 Each step reads the previous layer from storage and writes its own, so steps can
 run as separate jobs (and a failed step is re-run alone). ``validate`` writes the
-quality table to ``<base>/quality/<layer>`` and prints the non-passing rows.
+quality table to ``<base>/quality/<layer>`` and prints the number of non-passing rows
+and the first ``--show`` of them. ``keyed`` stores the star with surrogate keys;
+``history`` merges silver's customers into their history (SCD type 2) as of a day.
 Segment thresholds and the delivered status are options (reference defaults).
 """
 
@@ -31,11 +35,13 @@ def _params(ns) -> Params:
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="lakemart")
-    ap.add_argument("step", choices=["ingest", "silver", "gold", "validate"])
+    ap.add_argument("step", choices=["ingest", "silver", "gold", "keyed", "history", "validate"])
     ap.add_argument("--base", required=True, help="lake root URI")
     ap.add_argument("--raw", help="folder of the raw CSV files")
     ap.add_argument("--layer", choices=["bronze", "silver", "gold"], default="silver")
     ap.add_argument("--marts", action="store_true", help="also build the summary marts")
+    ap.add_argument("--as-of", help="day of the feed, for history")
+    ap.add_argument("--show", type=int, default=200, help="rows that validate prints")
     ap.add_argument("--high-value-ltv", type=float, default=Params.high_value_ltv)
     ap.add_argument("--repeat-orders", type=int, default=Params.repeat_orders)
     ap.add_argument("--delivered-status", default=Params.delivered_status)
@@ -43,7 +49,8 @@ def main(argv=None) -> int:
 
     spark = SparkSession.builder.appName(f"lakemart-{ns.step}").getOrCreate()
     from lakemart.plans import build as B
-    from lakemart.sources.files import read_layer, write_layer
+    from lakemart.session import ensure_checkpoint_dir
+    from lakemart.sources.files import GOLD_TABLES, read_layer, write_layer
     from lakemart.sources.ingest import ingest_raw, read_bronze
     from lakemart.sources.schemas import CATALOGUE
 
@@ -58,7 +65,20 @@ def main(argv=None) -> int:
         gold = B.build_gold_layer(spark, silver, ns.base, _params(ns))
         B.build_star(spark, gold, ns.base)
         if ns.marts:
-            B.build_mart_layer(spark, silver, ns.base, _params(ns))
+            B.build_mart_layer(spark, silver, ns.base, _params(ns), gold)
+    elif ns.step == "keyed":
+        silver = {t: read_layer(spark, ns.base, "silver", t) for t in CATALOGUE}
+        gold = {t: read_layer(spark, ns.base, "gold", t) for t in GOLD_TABLES}
+        ensure_checkpoint_dir(spark)
+        B.build_keyed_layer(spark, silver, gold, ns.base)
+    elif ns.step == "history":
+        if not ns.as_of:
+            ap.error("history needs --as-of")
+        from lakemart.operators.scd import store_merge
+
+        feed = read_layer(spark, ns.base, "silver", "customers")
+        tracked = ("customer_city", "customer_state")
+        store_merge(spark, ns.base, "customers", feed, "customer_id", tracked, ns.as_of)
     else:
         from lakemart.operators import quality as Q
 
@@ -66,23 +86,13 @@ def main(argv=None) -> int:
             if not ns.raw:
                 ap.error("validate --layer bronze needs --raw")
             result = Q.validate_bronze_files(spark, ns.raw)
-        elif ns.layer == "silver":
-            result = Q.validate_silver({t: read_layer(spark, ns.base, "silver", t) for t in CATALOGUE})
         else:
-            from lakemart.sources.files import GOLD_TABLES, layer_path, path_exists
-
-            tables = {t: read_layer(spark, ns.base, "gold", t) for t in (*GOLD_TABLES, "star")}
-            marts_root = layer_path(ns.base, "marts", "")
-            if path_exists(spark, marts_root):
-                from lakemart.sources.schemas import GOLD_METRICS
-
-                for t in GOLD_METRICS:
-                    if path_exists(spark, layer_path(ns.base, "marts", t)):
-                        tables[t] = read_layer(spark, ns.base, "marts", t)
-            result = Q.validate_gold(tables)
+            result = Q.validate_stored(spark, ns.base, ns.layer)
         path = write_layer(result, ns.base, "quality", ns.layer)
         stored = spark.read.parquet(path)
-        stored.where(F.col("status") != "PASS").show(200, truncate=False)
+        failing = stored.where(F.col("status") != "PASS")
+        print(f"{failing.count()} rows do not pass")
+        failing.show(ns.show, truncate=False)
     return 0
 
 

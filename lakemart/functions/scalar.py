@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.sources.schemas import MONEY
-
 ColumnOrName = Column | str
 
 
@@ -26,10 +24,6 @@ def lenient_cast(c: ColumnOrName, dtype: T.DataType | str) -> Column:
     return _col(c).try_cast(dtype)
 
 
-def money(c: ColumnOrName) -> Column:
-    return lenient_cast(c, MONEY)
-
-
 def as_double(c: ColumnOrName) -> Column:
     """Final conversion of an exact (decimal) result to double."""
     return _col(c).cast("double")
@@ -71,7 +65,6 @@ def safe_ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
 
 
 
-
 def round_ratio(numerator: ColumnOrName, denominator: ColumnOrName, digits: int = 2) -> Column:
     """``numerator / denominator`` rounded half away from zero to ``digits``, exactly.
 

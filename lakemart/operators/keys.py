@@ -56,7 +56,7 @@ def with_surrogate_key(
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    numbered = tagged.join(F.broadcast(offsets), "_pid")
+    numbered = tagged.join(F.broadcast(offsets), "_pid")  # n rows, one a partition
     return numbered.select(
         *df.columns, (F.col("_off") + F.col("_pos") + F.lit(1)).cast("bigint").alias(name)
     )

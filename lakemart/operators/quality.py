@@ -16,17 +16,18 @@ Result rows: ``(table, check, column, status, value, pct)``
 Scale: the reference runs one job per check and table (count, distinct, nulls,
 one per metric). ``profile`` computes the row count, every null count and every
 metric range in one global aggregate (map-side partials, no key shuffle), plus
-the key check as a narrow grouped count; a layer suite is one union of those,
-run as one job.
+the key check as a narrow grouped count. A suite over plans is one union of those;
+over stored tables each table is a job of its own, so that a damaged one fails alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from lakemart.functions.scalar import round_ratio
 
@@ -102,10 +103,9 @@ def _key_check(df: DataFrame, table: str, key: str) -> DataFrame:
     return totals.where(F.col("rows") > 0).select(check.alias("r")).select("r.*")
 
 
-def unreadable(spark: SparkSession, table: str, error: str) -> DataFrame:
-    return spark.createDataFrame(
-        [(table, "readable", None, "FAIL", None, None)], RESULT_SCHEMA
-    ).withColumn("column", F.lit(error[:200]))
+def unreadable(table: str, error: Exception) -> tuple:
+    """The row of a table that cannot be read; ``column`` says why, in full."""
+    return (table, "readable", str(error), "FAIL", None, None)
 
 
 def check_path(
@@ -115,19 +115,34 @@ def check_path(
     fmt: str = "parquet",
     key: str | None = None,
     metrics: Sequence[str] = (),
-    schema_=None,
-    **options,
-) -> DataFrame:
-    """Profile a stored table; a FAIL ``readable`` row when it cannot be read."""
+    reader: Callable[[SparkSession, str], DataFrame] | None = None,
+) -> list[tuple]:
+    """The checks of a stored table, run as a job of its own: a table that is absent or
+    damaged gives a FAIL ``readable`` row, and hinders no other. (A few rows a column.)"""
     try:
-        reader = spark.read.format(fmt).options(**options)
-        if schema_ is not None:
-            reader = reader.schema(schema_)
-        df = reader.load(path)
-        df.schema  # noqa: B018 - resolve now so a bad path fails here
-    except AnalysisException as exc:  # missing path, unreadable format
-        return unreadable(spark, table, str(exc).splitlines()[0])
-    return profile(df, table, key, metrics)
+        df = reader(spark, path) if reader else spark.read.format(fmt).load(path)
+        return [tuple(r) for r in profile(df, table, key, metrics).collect()]
+    except (PySparkException, Py4JError, ValueError) as exc:
+        return [unreadable(table, exc)]
+
+
+def check_layer(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    keys: Mapping[str, str | None] | None = None,
+    metrics: Mapping[str, Sequence[str]] | None = None,
+    readers: Mapping[str, Callable[[SparkSession, str], DataFrame]] | None = None,
+) -> DataFrame:
+    """Suite over stored tables (name -> path), each one isolated from the others."""
+    keys, metrics, readers = keys or {}, metrics or {}, readers or {}
+    found = [
+        row
+        for name, path in paths.items()
+        for row in check_path(
+            spark, path, name, key=keys.get(name), metrics=metrics.get(name, ()), reader=readers.get(name)
+        )
+    ]
+    return spark.createDataFrame(found, RESULT_SCHEMA)
 
 
 def validate_tables(
@@ -135,9 +150,12 @@ def validate_tables(
     keys: Mapping[str, str | None] | None = None,
     metrics: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Suite over a layer: union of per-table profiles (one Spark job)."""
+    """Suite over a layer of plans: union of per-table profiles (one Spark job). Stored
+    tables that may be damaged are for ``check_layer``."""
     keys = keys or {}
     metrics = metrics or {}
+    if not tables:
+        return SparkSession.getActiveSession().createDataFrame([], RESULT_SCHEMA)
     out = None
     for name, df in tables.items():
         p = profile(df, name, keys.get(name), metrics.get(name, ()))
@@ -157,19 +175,34 @@ def validate_gold(gold: Mapping[str, DataFrame]) -> DataFrame:
     return validate_tables(gold, metrics=GOLD_METRICS)
 
 
+def validate_stored(spark: SparkSession, base: str, layer: str) -> DataFrame:
+    """Suite over a stored layer. Gold: the star's tables, and the marts if there are any."""
+    from lakemart.sources.files import GOLD_TABLES, layer_path, path_exists
+    from lakemart.sources.schemas import CATALOGUE, GOLD_METRICS, SILVER_KEYS
+
+    if layer == "silver":
+        return check_layer(spark, {t: layer_path(base, layer, t) for t in CATALOGUE}, keys=SILVER_KEYS)
+    paths = {t: layer_path(base, layer, t) for t in (*GOLD_TABLES, "star")}
+    if path_exists(spark, layer_path(base, "marts", "")):
+        paths.update({t: layer_path(base, "marts", t) for t in GOLD_METRICS if t not in paths})
+    return check_layer(spark, paths, metrics=GOLD_METRICS)
+
+
 def validate_bronze_files(spark: SparkSession, raw_dir: str, catalogue=None) -> DataFrame:
     """Bronze suite over the raw files of the catalogue (CSV with header).
 
     A missing or unreadable file gives one FAIL ``readable`` row for its table.
     """
+    from lakemart.sources.files import read_csv
     from lakemart.sources.schemas import CATALOGUE
 
     catalogue = catalogue or CATALOGUE
-    out = None
-    for name, spec in catalogue.items():
-        p = check_path(
-            spark, f"{raw_dir.rstrip('/')}/{spec.file}", name, fmt="csv",
-            schema_=spec.schema, header=True, multiLine=spec.multiline, escape='"',
-        )
-        out = p if out is None else out.unionByName(p)
-    return out
+
+    def reader(spec):
+        return lambda spark, path: read_csv(spark, path, spec.schema, spec.multiline, spec.required, **spec.options)
+
+    return check_layer(
+        spark,
+        {name: f"{raw_dir.rstrip('/')}/{spec.file}" for name, spec in catalogue.items()},
+        readers={name: reader(spec) for name, spec in catalogue.items()},
+    )

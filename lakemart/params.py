@@ -22,6 +22,10 @@ class Params:
     severe_delay_days: int = 21
     # top-k size of the category ranking
     top_k: int = 10
+    # decimals of averages of averages and of shares: sums of doubles depend on the order
+    # of the tasks in their last digits, so results are rounded to these
+    score_digits: int = 6
+    share_digits: int = 4
 
 
 # Parameters used with the driver's TPC-H-like tables: there every person's

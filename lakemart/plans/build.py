@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakemart.params import Params
 from lakemart.plans import gold as G
 from lakemart.plans.marts import build_marts
-from lakemart.plans.silver import build_silver
+from lakemart.plans.silver import build_silver, rejected_order_items
 from lakemart.sources.files import read_layer, write_layer, write_tables
 
 STAR_PARTITIONS = ("year", "month")
@@ -34,8 +34,11 @@ def analyse(plans: Mapping[str, DataFrame]) -> None:
 
 
 def build_silver_layer(spark: SparkSession, raw: Mapping[str, DataFrame], base: str) -> dict[str, DataFrame]:
+    """Silver, and beside it the item rows whose amounts the money type can't hold."""
     plans = build_silver(raw)
     write_tables(plans, base, "silver")
+    if "order_items" in raw:
+        write_tables({"order_items": rejected_order_items(raw["order_items"])}, base, "rejects")
     return {t: read_layer(spark, base, "silver", t) for t in plans}
 
 
@@ -59,19 +62,44 @@ def build_star(spark: SparkSession, gold: Mapping[str, DataFrame], base: str) ->
 
 
 def build_mart_layer(
-    spark: SparkSession, silver: Mapping[str, DataFrame], base: str, params: Params = Params()
+    spark: SparkSession,
+    silver: Mapping[str, DataFrame],
+    base: str,
+    params: Params = Params(),
+    gold: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the wide item-grain sales_mart once; derive the others from it."""
+    """Write the wide item-grain sales_mart once; derive the others from it and from the
+    stored gold facts."""
     from lakemart.plans.marts import sales_mart
 
     write_layer(sales_mart(silver), base, "marts", "sales_mart")
     stored = read_layer(spark, base, "marts", "sales_mart")
-    plans = build_marts(silver, params, mart=stored)
+    plans = build_marts(silver, params, mart=stored, gold=gold)
     del plans["sales_mart"]
     write_tables(plans, base, "marts")
     return {"sales_mart": stored, **{t: read_layer(spark, base, "marts", t) for t in plans}}
 
 
+def build_keyed_layer(
+    spark: SparkSession, silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], base: str
+) -> dict[str, DataFrame]:
+    """The star with surrogate keys, stored beside gold: dimensions first, then the facts
+    that read their keys from the stored dimensions."""
+    from lakemart.plans import keyed as K
+
+    dims = {t: K.build_keyed_table(t, silver, gold) for t in K.KEYED_TABLES if t.startswith("dim_")}
+    write_tables(dims, base, "keyed")
+    d = {t: read_layer(spark, base, "keyed", t) for t in dims}
+    facts = {
+        "fact_payments": K.fact_payments(silver["payments"], d["dim_payment"]),
+        "fact_order_items": K.fact_order_items(
+            gold["fact_sales"], d["dim_customer"], d["dim_product"], d["dim_seller"]
+        ),
+    }
+    write_tables(facts, base, "keyed")
+    return {**d, **{t: read_layer(spark, base, "keyed", t) for t in facts}}
+
+
 def build_lake(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -93,5 +121,5 @@ def build_lake(
     out = {**{f"silver.{k}": v for k, v in silver.items()}, **gold}
     out["star"] = build_star(spark, gold, base)
     if marts:
-        out.update({f"marts.{k}": v for k, v in build_mart_layer(spark, silver, base, params).items()})
+        out.update({f"marts.{k}": v for k, v in build_mart_layer(spark, silver, base, params, gold).items()})
     return out

@@ -26,6 +26,7 @@ from lakemart.functions.predicates import (
 )
 from lakemart.params import Params
 
+# The segments that count as repeat customers.
 REPEAT_SEGMENTS = ("High Value", "Repeat")
 
 
@@ -114,7 +115,7 @@ def kpis(star: DataFrame, params: Params = Params(), **filt) -> DataFrame:
         F.coalesce(F.col("n_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
         F.col("n_persons").cast("bigint").alias("total_customers"),
         S.safe_ratio("s_dd", "n_dd").alias("avg_delivery_days"),
-        F.round(S.safe_ratio("s_rv", "n_rv"), 6).alias("avg_review_score"),
+        F.round(S.safe_ratio("s_rv", "n_rv"), params.score_digits).alias("avg_review_score"),
         S.safe_pct("n_delivered", "n_orders").alias("conversion_rate"),
         S.safe_pct("n_repeat", "n_persons").alias("repeat_rate"),
     )
@@ -159,6 +160,7 @@ def segments(star: DataFrame, **filt) -> DataFrame:
 
 # D7 -------------------------------------------------------------------------------
 
+# The stages' names.
 FUNNEL_STAGES = ("Orders Created", "Payments Cleared", "Orders Delivered")
 
 
@@ -254,8 +256,9 @@ def headline_counts(star: DataFrame, **filt) -> DataFrame:
     )
 
 
-def region_distribution(star: DataFrame, **filt) -> DataFrame:
-    """Revenue and orders per customer state with the state's share of revenue.
+def region_distribution(star: DataFrame, params: Params = Params(), **filt) -> DataFrame:
+    """Revenue and orders per customer state with the state's share of revenue (in percent,
+    to ``share_digits`` decimals).
 
     The share divides by a window total over the already aggregated rows (one
     per state), never over raw rows.
@@ -269,7 +272,7 @@ def region_distribution(star: DataFrame, **filt) -> DataFrame:
         "customer_state",
         S.as_double("rev").alias("revenue"),
         "orders",
-        F.round(S.safe_pct("rev", total), 4).alias("revenue_share_pct"),
+        F.round(S.safe_pct("rev", total), params.share_digits).alias("revenue_share_pct"),
     )
 
 
@@ -331,7 +334,7 @@ class Dashboard:
         return headline_counts(self.star, **filt)
 
     def region_distribution(self, **filt) -> DataFrame:
-        return region_distribution(self.star, **filt)
+        return region_distribution(self.star, self.params, **filt)
 
     def close(self) -> None:
         self.star.unpersist()

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.keys import with_surrogate_key
 
+#: Rows of a dimension up to which it is broadcast.
+BROADCAST_ROWS = 10_000
+
 
 def keyed_customers(dim_customers: DataFrame) -> DataFrame:
     return with_surrogate_key(dim_customers, "customer_id", "customer_key")
@@ -35,7 +38,15 @@ def dim_payment(payments: DataFrame) -> DataFrame:
 
 
 def fact_payments(payments: DataFrame, dim_payment_df: DataFrame) -> DataFrame:
-    return payments.join(dim_payment_df, "payment_type").select(
+    """Every payment with the key of its type; a NULL type has a key too.
+
+    The types are counted first: a dimension as small as theirs is broadcast, so that
+    payments aren't shuffled by a handful of values; a larger one is left to Spark."""
+    types = dim_payment_df.withColumnRenamed("payment_type", "type")
+    if types.count() <= BROADCAST_ROWS:
+        types = F.broadcast(types)
+    joined = payments.join(types, payments["payment_type"].eqNullSafe(types["type"]), "left")
+    return joined.select(
         "order_id", "payment_sequential", "payment_type_key", "payment_installments", "payment_value"
     )
 
@@ -93,6 +104,7 @@ def build_keyed_table(
 
 
 def build_keyed(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All keyed tables; each dimension is numbered once and shared with its facts."""
     ck = keyed_customers(gold["dim_customers"])
     pk = keyed_products(gold["dim_products"])
     sk = keyed_sellers(gold["dim_sellers"])

@@ -28,12 +28,6 @@ class Lake:
 
         return cls(raw_tables(spark, sf_dir), params)
 
-    @classmethod
-    def from_gold(cls, gold: Mapping[str, DataFrame], params: Params = Params()) -> "Lake":
-        lake = cls({}, params)
-        lake.__dict__["gold"] = dict(gold)
-        return lake
-
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
         return build_silver(self.raw)

@@ -5,9 +5,7 @@ silver directly). Where a mart needs an order-level measure in a cell that holds
 several items of one order, it aggregates to (cell, order) first so the order's
 payment or review is counted once, then to the cell.
 
-Join order in ``sales_mart``: every order-keyed input (orders, payment and review
-summaries) is joined on ``order_id`` first, so they share one hash partitioning;
-customers and products follow.
+A mart that needs what gold's facts hold is made from them.
 """
 
 from __future__ import annotations
@@ -22,78 +20,77 @@ from lakemart.params import Params
 from lakemart.plans import gold as G
 from lakemart.sources.schemas import MONEY_TOTAL
 
+# Column names of the wide mart, as far as they are known.
 SALES_MART_COLUMNS = (
-    "order_id", "order_item_id", "product_id", "seller_id", "customer_id",
+    "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price",
+    "freight_value", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+    "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
     "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state",
-    "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
-    "date_key", "year", "month", "product_category_name", "category_english",
-    "shipping_limit_date", "price", "freight_value", "revenue", "payment_value",
-    "payment_installments", "payment_count", "avg_review_score", "review_count",
-    "delivery_days",
+    "product_category_name", "product_category_name_english", "payment_value",
+    "payment_installments_count", "review_score", "category_english", "delivery_days", "year", "month",
 )
 
 
 def _payments_by_order(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(
         F.sum("payment_value").cast(MONEY_TOTAL).alias("payment_value"),
-        F.max("payment_installments").alias("payment_installments"),
-        F.count(F.lit(1)).alias("payment_count"),
+        F.count("payment_installments").alias("payment_installments_count"),
     )
 
 
 def _reviews_by_order(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(
-        F.avg("review_score").alias("avg_review_score"),
-        F.count("review_id").alias("review_count"),
+        F.avg("review_score").alias("review_score"),
     )
 
 
 def sales_mart(silver: Mapping[str, DataFrame]) -> DataFrame:
-    """Item grain: items ⋈ orders ⋈ customers ⟕ products ⟕ translation ⟕ payments ⟕ reviews."""
+    """Item grain: items with their order, its customer, payments and reviews, and their
+    product with its English category.
+
+    Customers, payments and reviews meet the orders at order grain, and the translation
+    the products at product grain, so item rows are shuffled twice only: by order and by
+    product."""
     s = silver
     ts = "order_purchase_timestamp"
-    joined = (
-        s["order_items"]
-        .join(s["orders"], "order_id")
+    orders = (
+        s["orders"]
         .join(_payments_by_order(s["payments"]), "order_id", "left")
         .join(_reviews_by_order(s["reviews"]), "order_id", "left")
         .join(s["customers"], "customer_id")
-        .join(s["products"], "product_id", "left")
-        .join(s["category_translation"], "product_category_name", "left")
     )
-    return joined.select(
-        "order_id", "order_item_id", "product_id", "seller_id", "customer_id",
-        "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state",
-        "order_status", ts, "order_delivered_customer_date",
-        S.date_key(ts).alias("date_key"),
-        F.year(ts).alias("year"),
-        F.month(ts).alias("month"),
-        "product_category_name",
-        F.coalesce("product_category_name_english", "product_category_name").alias("category_english"),
-        "shipping_limit_date", "price", "freight_value",
-        (F.col("price") + F.col("freight_value")).alias("revenue"),
-        "payment_value", "payment_installments", "payment_count",
-        "avg_review_score", "review_count",
-        S.calendar_days("order_delivered_customer_date", ts).alias("delivery_days"),
+    products = (
+        s["products"]
+        .select("product_id", "product_category_name")
+        .join(s["category_translation"], "product_category_name", "left")
+        .withColumn("category_english", F.coalesce("product_category_name_english", "product_category_name"))
     )
+    joined = s["order_items"].join(orders, "order_id").join(products, "product_id", "left")
+    return joined.withColumns(
+        {
+            "delivery_days": S.calendar_days("order_delivered_customer_date", ts),
+            "year": F.year(ts),
+            "month": F.month(ts),
+        }
+    ).select(*SALES_MART_COLUMNS)
 
 
 CUBE_KEYS = ("year", "month", "customer_state", "category_english", "order_status")
 
 
-def dashboard_cube(mart: DataFrame) -> DataFrame:
+def dashboard_cube(mart: DataFrame, params: Params = Params()) -> DataFrame:
     """(year, month, state, category, status) cells with orders and 4 measures."""
     per_order = mart.groupBy(*CUBE_KEYS, "order_id").agg(
-        F.sum("revenue").alias("revenue"),
+        F.sum(F.col("price") + F.col("freight_value")).alias("revenue"),
         F.max("payment_value").alias("payment_value"),
-        F.max("avg_review_score").alias("avg_review_score"),
+        F.max("review_score").alias("avg_review_score"),
         F.max("delivery_days").alias("delivery_days"),
     )
     return per_order.groupBy(*CUBE_KEYS).agg(
         F.count(F.lit(1)).alias("orders"),
         S.as_double(F.sum("revenue")).alias("revenue"),
         S.as_double(F.sum("payment_value")).alias("payment_value"),
-        F.round(F.avg("avg_review_score"), 6).alias("avg_review_score"),
+        F.round(F.avg("avg_review_score"), params.score_digits).alias("avg_review_score"),
         F.avg("delivery_days").alias("avg_delivery_days"),
     )
 
@@ -177,22 +174,22 @@ def delivery_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def customer_segments(silver: Mapping[str, DataFrame], params: Params = Params()) -> DataFrame:
+def customer_segments(
+    sales: DataFrame, orders: DataFrame, customers: DataFrame, params: Params = Params()
+) -> DataFrame:
     """Person grain: orders, value, average review over their orders, segment.
 
-    Review averages are summed per customer before the customers join (the same
-    pre-aggregation as the lifetime value), so no hot customer reaches a join.
+    ``sales`` and ``orders`` are gold's facts. Review averages are summed per customer
+    before the customers join (the same pre-aggregation as the lifetime value), so no
+    hot customer reaches a join.
     """
-    s = silver
-    ltv = G.ltv(G.fact_sales(s["order_items"], s["orders"]), s["customers"])
-    per_customer = (
-        G.review_summary(s["reviews"])
-        .join(s["orders"].select("order_id", "customer_id"), "order_id")
-        .groupBy("customer_id")
-        .agg(F.sum("avg_review_score").alias("rs"), F.count("avg_review_score").alias("rn"))
+    ltv = G.ltv(sales, customers)
+    per_customer = orders.groupBy("customer_id").agg(
+        F.sum("avg_review_score").alias("rs"), F.count("avg_review_score").alias("rn")
     )
     reviews = (
-        per_customer.join(s["customers"].select("customer_id", "customer_unique_id"), "customer_id")
+        per_customer.where("rn > 0")
+        .join(customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id")
         .agg(S.safe_ratio(F.sum("rs"), F.sum("rn")).alias("avg_review_score"))
     )
@@ -200,7 +197,7 @@ def customer_segments(silver: Mapping[str, DataFrame], params: Params = Params()
         "customer_unique_id",
         "lifetime_orders",
         S.as_double("lifetime_value").alias("lifetime_value"),
-        F.round("avg_review_score", 6).alias("avg_review_score"),
+        F.round("avg_review_score", params.score_digits).alias("avg_review_score"),
         G.segment(params).alias("customer_segment"),
     )
 
@@ -209,12 +206,15 @@ def build_marts(
     silver: Mapping[str, DataFrame],
     params: Params = Params(),
     mart: DataFrame | None = None,
+    gold: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """All eleven marts; pass a stored ``sales_mart`` to derive the rest from it."""
+    """All eleven marts; pass a stored ``sales_mart`` and the gold facts to derive the
+    rest from them."""
     mart = sales_mart(silver) if mart is None else mart
+    facts = gold or G.build_facts(silver)
     return {
         "sales_mart": mart,
-        "dashboard_cube": dashboard_cube(mart),
+        "dashboard_cube": dashboard_cube(mart, params),
         "sales_summary": sales_summary(mart),
         "revenue_by_state": revenue_by_state(mart),
         "top_customers": top_customers(mart),
@@ -223,5 +223,7 @@ def build_marts(
         "category_performance": category_performance(mart),
         "payment_mix": payment_mix(silver["payments"]),
         "delivery_performance": delivery_performance(silver["orders"], silver["customers"]),
-        "customer_segments": customer_segments(silver, params),
+        "customer_segments": customer_segments(
+            facts["fact_sales"], facts["fact_orders"], silver["customers"], params
+        ),
     }

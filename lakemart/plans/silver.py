@@ -2,14 +2,15 @@
 
 Each cleaner is a pure DataFrame -> DataFrame function in the reference's rule
 order. Keys are kept in the type the source gives (text from CSV, integers from
-the driver tables); only measures and timestamps are converted.
+the driver tables); all measures, coordinates and timestamps are converted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.operators.columns import (
@@ -30,19 +31,41 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_orders(df: DataFrame) -> DataFrame:
-    df = conform(
-        standardize_columns(df),
-        {"order_purchase_timestamp": TS, "order_delivered_customer_date": TS},
+    stamps = (
+        "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+        "order_delivered_customer_date", "order_estimated_delivery_date",
     )
-    return dedup(df, ["order_id"])
+    return dedup(conform(standardize_columns(df), dict.fromkeys(stamps, TS)), ["order_id"])
+
+
+AMOUNTS = ("price", "freight_value")
+
+
+def _amounts_checked(df: DataFrame) -> tuple[DataFrame, Column]:
+    """Items whose amounts, as parsed, are not negative (unparsable ones go), and whether
+    all of them fit the money type."""
+    df = standardize_columns(df)
+    text = [c for c in AMOUNTS if isinstance(df.schema[c].dataType, T.StringType)]
+    parsed = df.withColumns({f"__{c}": F.col(c).try_cast("double") for c in text})
+    parsed = filter_non_negative(parsed, [f"__{c}" if c in text else c for c in AMOUNTS])
+    fits = F.lit(True)
+    for c in AMOUNTS:
+        fits = fits & F.col(c).try_cast(MONEY).isNotNull()
+    return parsed.drop(*[f"__{c}" for c in text]), fits
 
 
 def clean_order_items(df: DataFrame) -> DataFrame:
-    df = conform(
-        standardize_columns(df),
-        {"order_item_id": T.IntegerType(), "price": MONEY, "freight_value": MONEY},
-    )
-    return filter_non_negative(df, ["price", "freight_value"])
+    """Amounts are tested as they are parsed, before they are rounded to money; those too
+    large for it are in ``rejected_order_items``."""
+    kept, fits = _amounts_checked(df)
+    types = {"order_item_id": T.IntegerType(), "shipping_limit_date": TS, "price": MONEY, "freight_value": MONEY}
+    return conform(kept.where(fits), types)
+
+
+def rejected_order_items(df: DataFrame) -> DataFrame:
+    """Items with amounts that are numbers, not negative, but too large for the money type."""
+    kept, fits = _amounts_checked(df)
+    return kept.where(~fits)
 
 
 def clean_payments(df: DataFrame) -> DataFrame:
@@ -79,7 +102,8 @@ def clean_reviews(df: DataFrame) -> DataFrame:
 
 
 def clean_geolocation(df: DataFrame) -> DataFrame:
-    return distinct_rows(standardize_columns(df))
+    numbers = dict.fromkeys(("geolocation_lat", "geolocation_lng"), T.DoubleType())
+    return distinct_rows(conform(standardize_columns(df), numbers))
 
 
 CLEANERS = {

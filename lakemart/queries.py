@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as _F
 
 from lakemart import oracle as O
 from lakemart.params import DRIVER_PARAMS as P
 from lakemart.plans import dashboard as D
 from lakemart.plans.lake import Lake
+from lakemart.session import scratch_root
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -40,8 +42,6 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake(spark, sf_dir).star
 
 
-REV = "SUM(s.price + s.freight_value)"
-
 # Filter settings exercised by the filtered variants (values present in the data).
 F_STATE_YEAR = {"state": "NATION_7", "year": 1997}
 F_CAT_STATUS = {"category": "brand_3", "status": "F"}
@@ -51,162 +51,110 @@ F_NONE_MATCH = {"state": "NO_SUCH_STATE"}
 
 # ---- D1 filter lists ---------------------------------------------------------------
 
-register(
-    "filter_states",
-    O.with_base("SELECT DISTINCT customer_state FROM dim_customers WHERE customer_state IS NOT NULL ORDER BY 1"),
-)(lambda spark, d: D.filter_states(lake(spark, d).gold))
-
-register(
-    "filter_years",
-    O.with_base("SELECT DISTINCT year FROM dim_date WHERE year IS NOT NULL ORDER BY 1 DESC"),
-)(lambda spark, d: D.filter_years(lake(spark, d).gold))
+def _choices(table: str, column: str, order: str = "") -> str:
+    return O.with_base(f"SELECT {column} FROM {table} GROUP BY {column} HAVING {column} IS NOT NULL ORDER BY {column} {order}")
 
-register(
-    "filter_categories",
-    O.with_base("SELECT DISTINCT category_name FROM dim_products WHERE category_name IS NOT NULL ORDER BY 1"),
-)(lambda spark, d: D.filter_categories(lake(spark, d).gold))
 
-register(
-    "filter_statuses",
-    O.with_base("SELECT DISTINCT order_status FROM fact_orders WHERE order_status IS NOT NULL ORDER BY 1"),
-)(lambda spark, d: D.filter_statuses(lake(spark, d).gold))
+register("filter_states", _choices("s_customers", "customer_state"))(
+    lambda spark, d: D.filter_states(lake(spark, d).gold)
+)
+register("filter_years", _choices("dim_date", "year", "DESC"))(lambda spark, d: D.filter_years(lake(spark, d).gold))
+register("filter_categories", _choices("dim_products", "category_name"))(
+    lambda spark, d: D.filter_categories(lake(spark, d).gold)
+)
+register("filter_statuses", _choices("s_orders", "order_status"))(
+    lambda spark, d: D.filter_statuses(lake(spark, d).gold)
+)
 
 
-# ---- D2 KPIs -----------------------------------------------------------------------
+# ---- D2-D9: the SQL asks the orders in scope (O.scope), the plans ask the star -----
 
 def _kpi_sql(**filt) -> str:
-    return O.with_base(f"""
-SELECT CAST({REV} AS DOUBLE) AS total_revenue,
-       COUNT(DISTINCT s.order_id) AS total_orders,
-       COUNT(DISTINCT c.customer_unique_id) AS total_customers,
-       AVG(o.delivery_days) AS avg_delivery_days,
-       ROUND(AVG(o.avg_review_score), 6) AS avg_review_score,
-       (COUNT(DISTINCT CASE WHEN o.order_status = '{P.delivered_status}' THEN o.order_id END) * 100.0)
-         / NULLIF(COUNT(DISTINCT o.order_id), 0) AS conversion_rate,
-       (COUNT(DISTINCT CASE WHEN c.customer_segment IN ('High Value', 'Repeat') THEN c.customer_unique_id END) * 100.0)
-         / NULLIF(COUNT(DISTINCT c.customer_unique_id), 0) AS repeat_rate
-{O.STAR_JOIN}
-WHERE {O.where(**filt)}""")
-
-
-for _name, _filt in {
-    "kpis": {},
-    "kpis_state_year": F_STATE_YEAR,
-    "kpis_category_status": F_CAT_STATUS,
-    "kpis_no_match": F_NONE_MATCH,
-}.items():
-    register(_name, _kpi_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.kpis(star(spark, d), P, **_f)
-    )
-
+    return O.with_base(O.scope(**filt) + f""", persons AS (
+  SELECT customer_unique_id, bool_or(customer_segment IN ('High Value', 'Repeat')) AS again
+  FROM hit WHERE customer_unique_id IS NOT NULL GROUP BY customer_unique_id),
+p AS (SELECT COUNT(*) AS n_persons, COUNT(*) FILTER (WHERE again) AS n_again FROM persons),
+t AS (
+  SELECT SUM(revenue) AS revenue, COUNT(*) AS n_orders,
+         COUNT(*) FILTER (WHERE order_status = '{P.delivered_status}') AS n_delivered,
+         SUM(delivery_days * n) AS days, SUM(n) FILTER (WHERE delivery_days IS NOT NULL) AS n_days,
+         SUM(avg_review_score * n) AS score, SUM(n) FILTER (WHERE avg_review_score IS NOT NULL) AS n_score
+  FROM hit)
+SELECT CAST(revenue AS DOUBLE) AS total_revenue, n_orders AS total_orders, n_persons AS total_customers,
+       CAST(days AS DOUBLE) / n_days AS avg_delivery_days, ROUND(score / n_score, {P.score_digits}) AS avg_review_score,
+       n_delivered * 100.0 / NULLIF(n_orders, 0) AS conversion_rate,
+       n_again * 100.0 / NULLIF(n_persons, 0) AS repeat_rate
+FROM t, p""")
 
-# ---- D3 monthly trend / D4 year over year ------------------------------------------
 
 def _trend_sql(**filt) -> str:
-    return O.with_base(f"""
-SELECT d.year, d.month, CAST({REV} AS DOUBLE) AS revenue, COUNT(DISTINCT s.order_id) AS orders,
-       CAST(d.year AS VARCHAR) || '-' || lpad(CAST(d.month AS VARCHAR), 2, '0') AS month_label
-{O.STAR_JOIN}
-WHERE {O.where(**filt)} GROUP BY d.year, d.month ORDER BY d.year, d.month""")
+    return O.with_base(O.scope(**filt) + """
+SELECT year, month, CAST(SUM(revenue) AS DOUBLE) AS revenue, COUNT(*) AS orders,
+       printf('%d-%02d', year, month) AS month_label
+FROM hit GROUP BY year, month ORDER BY year, month""")
 
 
-for _name, _filt in {"monthly_trend": {}, "monthly_trend_category_status": F_CAT_STATUS}.items():
-    register(_name, _trend_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.monthly_trend(star(spark, d), **_f)
-    )
-
-
-def _yoy_sql(**filt) -> str:
-    filt = {k: v for k, v in filt.items() if k != "year"}
-    return O.with_base(f"""
-SELECT d.year, d.month, CAST({REV} AS DOUBLE) AS revenue
-{O.STAR_JOIN}
-WHERE {O.where(**filt)} GROUP BY d.year, d.month ORDER BY d.month, d.year DESC""")
-
-
-for _name, _filt in {"year_over_year": {}, "year_over_year_state_year": F_STATE_YEAR}.items():
-    register(_name, _yoy_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.year_over_year(star(spark, d), **_f)
-    )
-
+def _yoy_sql(state=None, category=None, status=None, year=None) -> str:
+    # every year is compared, whatever year is chosen
+    return O.with_base(O.scope(state=state, category=category, status=status) + """
+SELECT year, month, CAST(SUM(revenue) AS DOUBLE) AS revenue
+FROM hit GROUP BY year, month ORDER BY month, year DESC""")
 
-# ---- D5 top categories / D6 segments -----------------------------------------------
 
 def _topcat_sql(**filt) -> str:
-    return O.with_base(f"""
-SELECT category_name, CAST(revenue AS DOUBLE) AS revenue FROM (
-  SELECT p.category_name, {REV} AS revenue
-  {O.STAR_JOIN}
-  WHERE {O.where(**filt)} AND p.category_name IS NOT NULL
-  GROUP BY p.category_name ORDER BY revenue DESC, p.category_name ASC LIMIT {P.top_k})""")
-
-
-for _name, _filt in {"top_categories": {}, "top_categories_state_year": F_STATE_YEAR}.items():
-    register(_name, _topcat_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.top_categories(star(spark, d), P, **_f)
-    )
+    return O.with_base(O.scope(**filt) + f"""
+SELECT category_name, CAST(total AS DOUBLE) AS revenue
+FROM (SELECT category_name, SUM(paid) AS total FROM sold GROUP BY category_name)
+WHERE category_name IS NOT NULL
+QUALIFY ROW_NUMBER() OVER (ORDER BY total DESC, category_name) <= {P.top_k}""")
 
 
 def _seg_sql(**filt) -> str:
-    return O.with_base(f"""
-SELECT c.customer_segment, COUNT(DISTINCT c.customer_unique_id) AS customers
-{O.STAR_JOIN}
-WHERE {O.where(**filt)} GROUP BY c.customer_segment""")
+    return O.with_base(O.scope(**filt) + """
+SELECT customer_segment, COUNT(customer_unique_id) AS customers
+FROM (SELECT customer_segment, customer_unique_id FROM hit GROUP BY ALL) GROUP BY customer_segment""")
 
 
-for _name, _filt in {"segments": {}, "segments_category_status": F_CAT_STATUS}.items():
-    register(_name, _seg_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.segments(star(spark, d), **_f)
-    )
-
-
-# ---- D7 funnel -----------------------------------------------------------------------
-
 def _funnel_sql(**filt) -> str:
-    return O.with_base(f"""
-, wide AS (
-  SELECT COUNT(DISTINCT s.order_id) AS s1,
-         COUNT(DISTINCT CASE WHEN o.total_payment_value > 0 THEN o.order_id END) AS s2,
-         COUNT(DISTINCT CASE WHEN o.delivery_days IS NOT NULL THEN o.order_id END) AS s3
-  {O.STAR_JOIN}
-  WHERE {O.where(**filt)})
-SELECT 1 AS stage_no, 'Orders Created' AS stage, s1 AS orders, s1 * 100.0 / NULLIF(s1, 0) AS pct_of_created FROM wide
-UNION ALL SELECT 2, 'Payments Cleared', s2, s2 * 100.0 / NULLIF(s1, 0) FROM wide
-UNION ALL SELECT 3, 'Orders Delivered', s3, s3 * 100.0 / NULLIF(s1, 0) FROM wide""")
-
-
-for _name, _filt in {"funnel": {}, "funnel_all_filters": F_ALL4}.items():
-    register(_name, _funnel_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.funnel(star(spark, d), **_f)
-    )
+    return O.with_base(O.scope(**filt) + """, f AS (
+  SELECT COUNT(*) AS created, COUNT(*) FILTER (WHERE total_payment_value > 0) AS cleared,
+         COUNT(delivery_days) AS delivered FROM hit)
+SELECT stage_no, stage, orders, orders * 100.0 / NULLIF(created, 0) AS pct_of_created
+FROM (SELECT created, unnest([
+        {'stage_no': 1, 'stage': 'Orders Created', 'orders': created},
+        {'stage_no': 2, 'stage': 'Payments Cleared', 'orders': cleared},
+        {'stage_no': 3, 'stage': 'Orders Delivered', 'orders': delivered}], recursive := true) FROM f)""")
 
 
-# ---- D8 freight outliers / D9 severe delays -----------------------------------------
-
 def _freight_sql(**filt) -> str:
-    return O.with_base(f"""
-SELECT COUNT(s.order_id) AS high_freight_items
-{O.STAR_JOIN}
-WHERE {O.where(**filt)} AND s.freight_value > (s.price * {P.freight_ratio})""")
-
-
-for _name, _filt in {"freight_outliers": {}, "freight_outliers_state_year": F_STATE_YEAR}.items():
-    register(_name, _freight_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.freight_outliers(star(spark, d), P, **_f)
-    )
+    return O.with_base(O.scope(**filt) + f"""
+SELECT COUNT(*) AS high_freight_items FROM sold
+WHERE order_id IS NOT NULL AND freight_value > price * {P.freight_ratio}""")
 
 
 def _delay_sql(**filt) -> str:
-    return O.with_base(f"""
-SELECT COUNT(o.order_id) AS severe_delay_items, COUNT(DISTINCT o.order_id) AS severe_delay_orders
-{O.STAR_JOIN}
-WHERE {O.where(**filt)} AND o.delivery_days > {P.severe_delay_days}""")
-
+    return O.with_base(O.scope(**filt) + f"""
+SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS severe_delay_items, COUNT(*) AS severe_delay_orders
+FROM hit WHERE delivery_days > {P.severe_delay_days}""")
+
+
+#: question: its SQL, its plan over the star, and the filter settings it is asked with
+QUESTIONS = {
+    "kpis": (_kpi_sql, lambda s, f: D.kpis(s, P, **f), {"": {}, "state_year": F_STATE_YEAR, "category_status": F_CAT_STATUS, "no_match": F_NONE_MATCH}),
+    "monthly_trend": (_trend_sql, lambda s, f: D.monthly_trend(s, **f), {"": {}, "category_status": F_CAT_STATUS}),
+    "year_over_year": (_yoy_sql, lambda s, f: D.year_over_year(s, **f), {"": {}, "state_year": F_STATE_YEAR}),
+    "top_categories": (_topcat_sql, lambda s, f: D.top_categories(s, P, **f), {"": {}, "state_year": F_STATE_YEAR}),
+    "segments": (_seg_sql, lambda s, f: D.segments(s, **f), {"": {}, "category_status": F_CAT_STATUS}),
+    "funnel": (_funnel_sql, lambda s, f: D.funnel(s, **f), {"": {}, "all_filters": F_ALL4}),
+    "freight_outliers": (_freight_sql, lambda s, f: D.freight_outliers(s, P, **f), {"": {}, "state_year": F_STATE_YEAR}),
+    "severe_delays": (_delay_sql, lambda s, f: D.severe_delays(s, P, **f), {"": {}, "category_status": F_CAT_STATUS}),
+}
 
-for _name, _filt in {"severe_delays": {}, "severe_delays_category_status": F_CAT_STATUS}.items():
-    register(_name, _delay_sql(**_filt))(
-        lambda spark, d, _f=_filt: D.severe_delays(star(spark, d), P, **_f)
-    )
+for _question, (_sql_of, _plan_of, _settings) in QUESTIONS.items():
+    for _setting, _filt in _settings.items():
+        register(f"{_question}_{_setting}".rstrip("_"), _sql_of(**_filt))(
+            lambda spark, d, _p=_plan_of, _f=_filt: _p(star(spark, d), _f)
+        )
 
 
 # ---- silver tables (T1-T9) and gold star tables (G1-G8) -------------------------------
@@ -253,12 +201,11 @@ def _ltv(spark, d):
     return ltv(lk.gold["fact_sales"], lk.silver["customers"])
 
 
-register("gold_star", O.with_base(f"""
-SELECT s.order_id, s.order_item_id, s.product_id, s.seller_id, s.customer_id, s.date_key,
-       s.price, s.freight_value, o.order_status, o.delivery_days, o.total_payment_value,
-       o.avg_review_score, c.customer_unique_id, c.customer_state, c.customer_segment,
-       p.category_name, d.year, d.month
-{O.STAR_JOIN}"""))(lambda spark, d: star(spark, d))
+register("gold_star", O.with_base(O.scope() + """
+SELECT order_id, order_item_id, product_id, seller_id, customer_id, date_key, price, freight_value,
+       order_status, delivery_days, total_payment_value, avg_review_score, customer_unique_id,
+       customer_state, customer_segment, category_name, year, month
+FROM itm JOIN ord USING (order_id)"""))(lambda spark, d: star(spark, d))
 
 
 # ---- summary marts (M1-M11) ----------------------------------------------------------
@@ -271,13 +218,13 @@ def marts(spark, d):
 
 MART_SQL = {
     "sales_mart": "SELECT * FROM sales_mart",
-    "dashboard_cube": """
+    "dashboard_cube": f"""
 SELECT year, month, customer_state, category_english, order_status, COUNT(*) AS orders,
        CAST(SUM(revenue) AS DOUBLE) AS revenue, CAST(SUM(payment_value) AS DOUBLE) AS payment_value,
-       ROUND(AVG(avg_review_score), 6) AS avg_review_score, AVG(delivery_days) AS avg_delivery_days
+       ROUND(AVG(avg_review_score), {P.score_digits}) AS avg_review_score, AVG(delivery_days) AS avg_delivery_days
 FROM (SELECT year, month, customer_state, category_english, order_status, order_id,
-             SUM(revenue) AS revenue, MAX(payment_value) AS payment_value,
-             MAX(avg_review_score) AS avg_review_score, MAX(delivery_days) AS delivery_days
+             SUM(price + freight_value) AS revenue, MAX(payment_value) AS payment_value,
+             MAX(review_score) AS avg_review_score, MAX(delivery_days) AS delivery_days
       FROM sales_mart GROUP BY year, month, customer_state, category_english, order_status, order_id)
 GROUP BY year, month, customer_state, category_english, order_status""",
     "sales_summary": """
@@ -315,15 +262,14 @@ FROM (SELECT c.customer_state,
 GROUP BY customer_state""",
     "customer_segments": f"""
 SELECT l.customer_unique_id, l.lifetime_orders, CAST(l.lifetime_value AS DOUBLE) AS lifetime_value,
-       ROUND(r.avg_review_score, 6) AS avg_review_score,
+       ROUND(r.avg_review_score, {P.score_digits}) AS avg_review_score,
        CASE WHEN l.lifetime_value >= {P.high_value_ltv} THEN 'High Value'
             WHEN l.lifetime_orders >= {P.repeat_orders} THEN 'Repeat'
             ELSE 'Emerging' END AS customer_segment
 FROM ltv l LEFT JOIN (
-  SELECT c.customer_unique_id, AVG(rs.avg_review_score) AS avg_review_score
-  FROM review_summary rs JOIN s_orders o ON rs.order_id = o.order_id
-       JOIN s_customers c ON o.customer_id = c.customer_id
-  GROUP BY c.customer_unique_id) r ON l.customer_unique_id = r.customer_unique_id""",
+  SELECT customer_unique_id, AVG(avg_review_score) AS avg_review_score
+  FROM fact_orders JOIN s_customers USING (customer_id)
+  WHERE avg_review_score IS NOT NULL GROUP BY customer_unique_id) r ON l.customer_unique_id = r.customer_unique_id""",
 }
 
 for _t, _sql in MART_SQL.items():
@@ -429,12 +375,12 @@ def _keyed(spark, d, table):
 
 
 KEYED_CTES = """, dim_customer AS (
-  SELECT *, ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key FROM dim_customers),
-dim_product AS (SELECT *, ROW_NUMBER() OVER (ORDER BY product_id) AS product_key FROM dim_products),
-dim_seller AS (SELECT *, ROW_NUMBER() OVER (ORDER BY seller_id) AS seller_key FROM s_sellers),
+  SELECT *, ROW_NUMBER() OVER (ORDER BY customer_id NULLS FIRST) AS customer_key FROM dim_customers),
+dim_product AS (SELECT *, ROW_NUMBER() OVER (ORDER BY product_id NULLS FIRST) AS product_key FROM dim_products),
+dim_seller AS (SELECT *, ROW_NUMBER() OVER (ORDER BY seller_id NULLS FIRST) AS seller_key FROM s_sellers),
 dim_payment AS (
-  SELECT payment_type, ROW_NUMBER() OVER (ORDER BY payment_type) AS payment_type_key
-  FROM (SELECT DISTINCT payment_type FROM s_payments))
+  SELECT payment_type, ROW_NUMBER() OVER (ORDER BY payment_type NULLS FIRST) AS payment_type_key
+  FROM (SELECT payment_type FROM s_payments GROUP BY payment_type))
 """
 
 KEYED_SQL = {
@@ -444,7 +390,7 @@ KEYED_SQL = {
     "dim_payment": "SELECT * FROM dim_payment",
     "fact_payments": """
 SELECT p.order_id, p.payment_sequential, d.payment_type_key, p.payment_installments, p.payment_value
-FROM s_payments p JOIN dim_payment d ON p.payment_type = d.payment_type""",
+FROM s_payments p LEFT JOIN dim_payment d ON p.payment_type IS NOT DISTINCT FROM d.payment_type""",
     "fact_order_items": """
 SELECT s.order_id, s.order_item_id, c.customer_key, p.product_key, se.seller_key, s.date_key,
        s.price, s.freight_value, s.price + s.freight_value AS total_sales
@@ -527,27 +473,51 @@ UNION ALL
 SELECT n_id, n_city, n_state, DATE '{SCD_SECOND}', CAST(NULL AS DATE), TRUE
 FROM j WHERE has_n AND (NOT has_o OR changed)"""
 
+def _scd_three(spark, d):
+    """A third feed, of the second one's day, takes the moves of one state back; a fourth,
+    older than all, changes nothing of known customers."""
+    from pyspark.sql import functions as F
+
+    from lakemart.operators.scd import store_merge, stored_history
+
+    root = scratch_root(spark, "scd2-three", d)
+    first, feed = scd_inputs(lake(spark, d).silver)
+    back = lake(spark, d).silver["customers"].where(F.col("customer_state") == SCD_BACK_STATE)
+    for incoming, day in ((first, SCD_FIRST), (feed, SCD_SECOND), (back, SCD_SECOND), (first, SCD_BEFORE)):
+        store_merge(spark, root, "customers", incoming, "customer_id", SCD_TRACKED, day)
+    return stored_history(spark, root, "customers")
+
+
+SCD_BACK_STATE, SCD_BEFORE = "NATION_3", "2019-01-01"
+
+register("scd2_three_feeds", O.with_base(SCD_SQL.replace("SELECT customer_id, customer_city, customer_state, valid_from,", """, twice AS (
+SELECT customer_id, customer_city, customer_state, valid_from,""", 1) + f""")
+SELECT customer_id,
+       CASE WHEN is_current AND valid_from = DATE '{SCD_SECOND}' AND customer_state = '{SCD_BACK_STATE}'
+            THEN replace(customer_city, ' (moved)', '') ELSE customer_city END AS customer_city,
+       customer_state, valid_from, valid_to, is_current
+FROM twice"""))(_scd_three)
+
 register("scd2_customers", O.with_base(SCD_SQL))(lambda spark, d: _scd(spark, d, runs=1))
 register("scd2_customers_rerun", O.with_base(SCD_SQL))(lambda spark, d: _scd(spark, d, runs=2))
 
 
 # ---- README views: seller performance, headline tiles, region distribution (R10, R11) --
 
-register("seller_performance", O.with_base(f"""
-SELECT s.seller_id, CAST({REV} AS DOUBLE) AS revenue, COUNT(*) AS items,
-       COUNT(DISTINCT s.order_id) AS orders
-{O.STAR_JOIN} GROUP BY s.seller_id"""))(lambda spark, d: D.seller_performance(star(spark, d)))
+register("seller_performance", O.with_base(O.scope() + """
+SELECT seller_id, CAST(SUM(paid) AS DOUBLE) AS revenue, COUNT(*) AS items, COUNT(DISTINCT order_id) AS orders
+FROM sold GROUP BY seller_id"""))(lambda spark, d: D.seller_performance(star(spark, d)))
 
-register("headline_counts", O.with_base(f"""
-SELECT CAST({REV} AS DOUBLE) AS revenue, COUNT(DISTINCT s.order_id) AS orders,
-       COUNT(DISTINCT c.customer_unique_id) AS customers, COUNT(DISTINCT s.seller_id) AS sellers
-{O.STAR_JOIN}"""))(lambda spark, d: D.headline_counts(star(spark, d)))
+register("headline_counts", O.with_base(O.scope() + """
+SELECT CAST(SUM(revenue) AS DOUBLE) AS revenue, COUNT(*) AS orders,
+       COUNT(DISTINCT customer_unique_id) AS customers,
+       (SELECT COUNT(DISTINCT seller_id) FROM sold) AS sellers
+FROM hit"""))(lambda spark, d: D.headline_counts(star(spark, d)))
 
-REGION_SQL = f"""
-SELECT customer_state, CAST(rev AS DOUBLE) AS revenue, orders,
-       ROUND(CAST(rev AS DOUBLE) * 100.0 / CAST(SUM(rev) OVER () AS DOUBLE), 4) AS revenue_share_pct
-FROM (SELECT c.customer_state, {REV} AS rev, COUNT(DISTINCT s.order_id) AS orders
-      {O.STAR_JOIN} GROUP BY c.customer_state)"""
+REGION_SQL = O.scope() + f"""
+SELECT customer_state, CAST(total AS DOUBLE) AS revenue, orders,
+       ROUND(CAST(total AS DOUBLE) * 100.0 / CAST(SUM(total) OVER () AS DOUBLE), {P.share_digits}) AS revenue_share_pct
+FROM (SELECT customer_state, SUM(revenue) AS total, COUNT(*) AS orders FROM hit GROUP BY customer_state)"""
 
 register("region_distribution", O.with_base(REGION_SQL))(
     lambda spark, d: D.region_distribution(star(spark, d))
@@ -560,17 +530,13 @@ register("region_distribution", O.with_base(REGION_SQL))(
 # revise months already published). Each wave is auto-loaded exactly once and
 # the refresh stream recomputes the touched months of the cube.
 
-def _live_cube(spark, d):
-    import uuid
-
+def _live_cube(spark, d, name):
     from pyspark.sql import functions as F
 
-    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
     from lakemart.streaming.autoload import auto_load
     from lakemart.streaming.live import start_refresh
 
-    ensure_checkpoint_dir(spark)
-    root = f"{checkpoint_dir(spark)}/lakemart-live-{uuid.uuid4().hex}"
+    root = scratch_root(spark, name, d)
     incoming, landed, cube = f"{root}/incoming", f"{root}/landed", f"{root}/cube"
     star(spark, d).select(
         "order_id", "order_item_id", "price", "freight_value", "customer_state", "year", "month",
@@ -596,13 +562,13 @@ def _live_cube(spark, d):
 def _live_trend(spark, d):
     from lakemart.streaming.live import revenue_trend
 
-    return revenue_trend(_live_cube(spark, d))
+    return revenue_trend(_live_cube(spark, d, "live-trend"))
 
 
 def _live_region(spark, d):
     from lakemart.streaming.live import region_distribution
 
-    return region_distribution(_live_cube(spark, d))
+    return region_distribution(_live_cube(spark, d, "live-region"))
 
 
 register("live_revenue_trend", _trend_sql())(_live_trend)
@@ -614,36 +580,34 @@ register("live_region_distribution", O.with_base(REGION_SQL))(_live_region)
 # names, ingested to bronze (all text) and rebuilt from text through the lenient
 # silver conversions. Results must equal the typed Parquet path.
 
-def _csv_root(spark, d):
-    import uuid
+def _shuffled(df):
+    """Columns in reverse order, under names in mixed case with spaces, and one more."""
+    from pyspark.sql import functions as F
+
+    named = df.select(*[F.col(c).alias(f" {c.replace('_', ' ').title()}") for c in reversed(df.columns)])
+    return named.withColumn("Extra Column", F.lit("x"))
+
 
-    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
+def _csv_ingest(spark, d, query, change=lambda df: df):
     from lakemart.sources.adapter import raw_tables
     from lakemart.sources.files import write_csv
+    from lakemart.sources.ingest import ingest_raw
     from lakemart.sources.schemas import RAW_FILES
 
-    ensure_checkpoint_dir(spark)
-    root = f"{checkpoint_dir(spark)}/lakemart-csv-{uuid.uuid4().hex}"
+    root = scratch_root(spark, query, d)
     for name, df in raw_tables(spark, d).items():
-        write_csv(df, f"{root}/raw/{RAW_FILES[name]}")
-    return root
-
-
-def _csv_ingest(spark, d):
-    from lakemart.sources.ingest import ingest_raw
-
-    root = _csv_root(spark, d)
+        write_csv(change(df), f"{root}/raw/{RAW_FILES[name]}")
     return root, ingest_raw(spark, f"{root}/raw", root)
 
 
-def _csv_report(spark, d):
-    return _csv_ingest(spark, d)[1].drop("path")
+def _csv_report(spark, d, query, change=lambda df: df):
+    return _csv_ingest(spark, d, query, change)[1].drop("path")
 
 
-def _csv_lake(spark, d):
+def _csv_lake(spark, d, query, change=lambda df: df):
     from lakemart.sources.ingest import read_bronze
 
-    root, report = _csv_ingest(spark, d)
+    root, _ = _csv_ingest(spark, d, query, change)
     return Lake(read_bronze(spark, root), P)
 
 
@@ -651,10 +615,16 @@ def _csv_bronze_quality(spark, d):
     from lakemart.operators.quality import validate_tables
     from lakemart.sources.ingest import read_bronze
 
-    root, _ = _csv_ingest(spark, d)
+    root, _ = _csv_ingest(spark, d, "csv-bronze-quality")
     return validate_tables(read_bronze(spark, root))
 
 
+def _typed_ids(df):
+    """Keys come from CSV as text; as numbers they compare with the typed path."""
+    ids = ("order_id", "customer_id", "product_id", "seller_id", "review_id", "customer_unique_id")
+    return df.select(*[df[c].cast("bigint").alias(c) if c in ids else df[c] for c in df.columns])
+
+
 RAW_CTES = """, raw_items AS (
   SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
          l_suppkey AS seller_id, l_shipdate AS shipping_limit_date,
@@ -685,66 +655,137 @@ RAW_CTE_OF = {
 def _csv_sql():
     from lakemart.sources.schemas import RAW_SCHEMAS
 
-    report = "\nUNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", COUNT(*) AS rows, 'written' AS status FROM {cte}"
-        for t, cte in RAW_CTE_OF.items()
-    )
+    def report(status):
+        return "\nUNION ALL ".join(
+            f"SELECT '{t}' AS \"table\", COUNT(*) AS rows, '{status}' AS status FROM {cte}"
+            for t, cte in RAW_CTE_OF.items()
+        )
+
     quality = "\nUNION ALL ".join(
         O.profile_sql(cte, t, list(RAW_SCHEMAS[t].names)) for t, cte in RAW_CTE_OF.items()
     )
-    return O.with_base(RAW_CTES + report), O.with_base(RAW_CTES + quality)
+    return (
+        O.with_base(RAW_CTES + report("written")),
+        O.with_base(RAW_CTES + report("written; extra: extra_column")),
+        O.with_base(RAW_CTES + quality),
+    )
 
 
-_CSV_REPORT_SQL, _CSV_QUALITY_SQL = _csv_sql()
-register("csv_ingest_report", _CSV_REPORT_SQL)(_csv_report)
+_CSV_REPORT_SQL, _CSV_SHUFFLED_SQL, _CSV_QUALITY_SQL = _csv_sql()
+register("csv_ingest_report", _CSV_REPORT_SQL)(lambda spark, d: _csv_report(spark, d, "csv-report"))
 register("csv_bronze_quality", _CSV_QUALITY_SQL)(_csv_bronze_quality)
-register("csv_kpis", _kpi_sql())(lambda spark, d: D.kpis(_csv_lake(spark, d).star, P))
+register("csv_kpis", _kpi_sql())(lambda spark, d: D.kpis(_csv_lake(spark, d, "csv-kpis").star, P))
 register("csv_top_categories_state_year", _topcat_sql(**F_STATE_YEAR))(
-    lambda spark, d: D.top_categories(_csv_lake(spark, d).star, P, **F_STATE_YEAR)
+    lambda spark, d: D.top_categories(_csv_lake(spark, d, "csv-top").star, P, **F_STATE_YEAR)
+)
+register("csv_shuffled_header_report", _CSV_SHUFFLED_SQL)(
+    lambda spark, d: _csv_report(spark, d, "csv-shuffled-report", _shuffled)
+)
+register("csv_shuffled_header_kpis", _kpi_sql())(
+    lambda spark, d: D.kpis(_csv_lake(spark, d, "csv-shuffled-kpis", _shuffled).star, P)
+)
+for _t, _cte in SILVER_SQL.items():
+    register(f"csv_shuffled_header_{_t}", O.with_base(f"SELECT * FROM {_cte}"))(
+        lambda spark, d, _t=_t: _typed_ids(_csv_lake(spark, d, f"csv-shuffled-{_t}", _shuffled).silver[_t])
+    )
+
+
+# ---- published copies, SQL over named tables, kept results (S1, S6, S8, S9) ----------
+
+def _published(spark, d, query):
+    """The order table published as CSV and read back as raw text (S6, S1)."""
+    from lakemart.sources.files import publish, read_raw
+
+    root = scratch_root(spark, query, d)
+    publish(spark, f"{d}/orders.parquet", f"{root}/orders.csv", "parquet", "csv", out_options={"header": True})
+    return read_raw(spark, f"{root}/orders.csv")
+
+
+register("published_raw_orders", """
+SELECT o_orderstatus, COUNT(*) AS orders, SUM(CAST(o_orderkey AS BIGINT)) AS keys,
+       MIN(length(CAST(o_custkey AS VARCHAR))) AS shortest
+FROM orders GROUP BY o_orderstatus""")(
+    lambda spark, d: _published(spark, d, "published").selectExpr(
+        "o_orderstatus", "o_custkey", "cast(o_orderkey as bigint) as k"
+    ).groupBy("o_orderstatus").agg(
+        _F.count(_F.lit(1)).alias("orders"), _F.sum("k").alias("keys"), _F.min(_F.length("o_custkey")).alias("shortest")
+    )
 )
 
 
-# ---- bulk load of staged gold files into raw landing tables (S10, R5) ----------------
+def _named_tables(spark, d):
+    from lakemart.sources.files import cached, register_views, run_query
+
+    gold = lake(spark, d).gold
+    names = {"sql_orders": gold["fact_orders"], "sql_customers": cached(gold["dim_customers"])}
+    register_views(names)
+    return run_query(
+        spark,
+        "SELECT c.customer_state, COUNT(*) AS orders, CAST(SUM(o.total_payment_value) AS DOUBLE) AS payments "
+        "FROM sql_orders o JOIN sql_customers c ON o.customer_id = c.customer_id "
+        "WHERE o.order_status = :status GROUP BY c.customer_state",
+        {"status": P.delivered_status},
+    )
+
+
+register("named_table_sql", O.with_base(f"""
+SELECT customer_state, COUNT(*) AS orders, CAST(SUM(total_payment_value) AS DOUBLE) AS payments
+FROM fact_orders SEMI JOIN (SELECT order_id FROM s_orders WHERE order_status = '{P.delivered_status}') USING (order_id)
+     JOIN s_customers USING (customer_id)
+GROUP BY customer_state"""))(_named_tables)
 
-def _raw_landing(spark, d):
-    import uuid
 
-    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
-    from lakemart.streaming.autoload import load_raw_landing
+# ---- bulk load of staged gold files into raw landing tables (S10, R5) ----------------
+
+def _raw_landing(spark, d, landing):
+    from lakemart.streaming.autoload import RAW_LANDING, load_raw_landing
 
-    ensure_checkpoint_dir(spark)
-    root = f"{checkpoint_dir(spark)}/lakemart-landing-{uuid.uuid4().hex}"
-    lake(spark, d).gold["fact_orders"].write.parquet(f"{root}/stage/fact_orders")
-    tables = {"raw_fact_orders": "fact_orders"}
+    root = scratch_root(spark, f"landing-{landing}", d)
+    staged = RAW_LANDING[landing]
+    _landing_source(spark, d, staged).write.parquet(f"{root}/stage/{staged}")
+    tables = {landing: staged}
     load_raw_landing(spark, f"{root}/stage", root, tables)
     load_raw_landing(spark, f"{root}/stage", root, tables)  # a second run loads nothing new
-    return spark.read.parquet(f"{root}/raw/raw_fact_orders")
+    return spark.read.parquet(f"{root}/raw/{landing}")
 
 
-register("raw_landing_fact_orders", O.with_base("SELECT * FROM fact_orders"))(_raw_landing)
+def _landing_source(spark, d, table):
+    gold = lake(spark, d).gold
+    return gold[table] if table in gold else _keyed(spark, d, table)
+
+
+LANDING_SQL = {
+    "raw_dim_customer": KEYED_SQL["dim_customer"],
+    "raw_dim_product": KEYED_SQL["dim_product"],
+    "raw_dim_seller": KEYED_SQL["dim_seller"],
+    "raw_dim_payment": KEYED_SQL["dim_payment"],
+    "raw_dim_date": "SELECT * FROM dim_date",
+    "raw_fact_order_items": KEYED_SQL["fact_order_items"],
+    "raw_fact_payments": KEYED_SQL["fact_payments"],
+    "raw_fact_orders": "SELECT * FROM fact_orders",
+}
+
+for _t, _sql in LANDING_SQL.items():
+    register(f"landing_{_t}", O.with_base(KEYED_CTES + _sql))(lambda spark, d, _t=_t: _raw_landing(spark, d, _t))
 
 
 # ---- the stored-layer path: build the lake into storage, query the stored star ------
 # raw -> silver -> gold -> star written layer by layer (read back between layers),
 # then the dashboard reads the stored, year/month-partitioned star (pruned scan).
 
-def _stored_dashboard(spark, d):
-    import uuid
-
+def _stored_dashboard(spark, d, query):
     from lakemart.plans.build import build_lake
     from lakemart.plans.dashboard import Dashboard
-    from lakemart.session import checkpoint_dir, ensure_checkpoint_dir
     from lakemart.sources.adapter import raw_tables
 
-    ensure_checkpoint_dir(spark)
-    base = f"{checkpoint_dir(spark)}/lakemart-stored-{uuid.uuid4().hex}"
+    base = scratch_root(spark, query, d)
     build_lake(spark, raw_tables(spark, d), base, P)
     return Dashboard(spark, base, P)
 
 
 register("stored_kpis_state_year", _kpi_sql(**F_STATE_YEAR))(
-    lambda spark, d: _stored_dashboard(spark, d).kpis(**F_STATE_YEAR)
+    lambda spark, d: _stored_dashboard(spark, d, "stored-kpis").kpis(**F_STATE_YEAR)
 )
 register("stored_monthly_trend_category_status", _trend_sql(**F_CAT_STATUS))(
-    lambda spark, d: _stored_dashboard(spark, d).monthly_trend(**F_CAT_STATUS)
+    lambda spark, d: _stored_dashboard(spark, d, "stored-trend").monthly_trend(**F_CAT_STATUS)
 )

@@ -8,7 +8,7 @@ configuration (shuffle partitions, checkpoint folder, ...) always wins.
 from __future__ import annotations
 
 import os
-import tempfile
+import zlib
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +21,9 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    # scans of small files are split over the cores, as large ones are by their size
+    "spark.sql.files.minPartitionNum": "8",
+    "spark.sql.files.openCostInBytes": "65536",
 }
 
 
@@ -37,9 +40,10 @@ def local_session(master: str | None = None, app: str = "lakemart", **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only if unset.
+    """Return the session's checkpoint folder; set one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Where
+    it is unset, the folder lies in the session's warehouse, which executors share too.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="lakemart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -64,3 +68,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(configured)
         current = spark.sparkContext.getCheckpointDir()
     return current
+
+
+def scratch_root(spark: SparkSession, name: str, source: str) -> str:
+    """The folder in the shared checkpoint folder for a query's tables between steps.
+
+    One a query and input: a rerun takes the place of the run before it."""
+    from lakemart.sources.files import delete_path
+
+    ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    root = f"{base.rstrip('/')}/lakemart-{name}-{zlib.crc32(source.encode()):08x}"
+    delete_path(spark, root)
+    return root

@@ -18,7 +18,8 @@ deterministic formula that the SQL oracle computes the same way:
   geolocation   customer x nation attributes, full of exact duplicates
 
 Everything is column expressions, so reading only some logical columns prunes
-the Parquet scan. ``nation`` has a fixed 25 rows, so broadcasting it is safe.
+the Parquet scan. ``nation`` is tiny; whether it is broadcast is left to Spark's size
+estimate of its file.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.sources.files import spread
 from lakemart.sources.schemas import MONEY
 
 DRIVER_TABLES = (
@@ -46,8 +46,7 @@ DELIVERY_SPREAD_DAYS = 40
 
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; spread over the cluster if its scan is under-split."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _zip(col: str):
@@ -55,7 +54,7 @@ def _zip(col: str):
 
 
 def _nation(spark, sf_dir):
-    return F.broadcast(read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    return read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +70,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_driver_table(spark, sf_dir, "orders")
-    spread = (F.col("o_orderkey") % DELIVERY_SPREAD_DAYS).cast("int")
+    days = (F.col("o_orderkey") % DELIVERY_SPREAD_DAYS).cast("int")
     delivered = F.when(
-        F.col("o_orderstatus") != "O", F.col("o_orderdate") + F.make_dt_interval(days=spread)
+        F.col("o_orderstatus") != "O", F.col("o_orderdate") + F.make_dt_interval(days=days)
     )
     return o.select(
         F.col("o_orderkey").alias("order_id"),

@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.operators.columns import normalize_name, standardize_columns
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -27,48 +30,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-SMALL_INPUT_BYTES_PER_CORE = 16 * 1024 * 1024
-
-
-def _input_bytes(df: DataFrame) -> int | None:
-    """Size estimate of a scan from Spark's plan statistics (file sizes already
-    known from the file listing; runs no job)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, under_split_ratio: int = 4) -> DataFrame:
-    """Spread an under-split input over the cluster once, at the read boundary.
-
-    A scan has as many tasks as splits; one large Parquet row group or one
-    unsplittable file (multi-line CSV, gzip) is a single split, and every stage
-    before the first shuffle would then run as one task. Rows are redistributed
-    round-robin (no key, so no skew; Spark sorts before a round-robin repartition,
-    so a retried task gets the same rows) when
-
-    - the scan has at most 1/``under_split_ratio`` as many splits as the cluster
-      has cores (severely under-split), or
-    - it has fewer splits than cores and is small in absolute terms (at most
-      16 MB per core), so the extra shuffle is cheap.
-
-    A normally split large input (thousands of 128 MB splits) is returned
-    unchanged: only the stages up to the first shuffle would gain, which is not
-    worth shuffling it.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
-        return df
-    if splits * under_split_ratio <= target:
-        return df.repartition(target)
-    if splits < target:
-        size = _input_bytes(df)
-        if size is not None and size <= target * SMALL_INPUT_BYTES_PER_CORE:
-            return df.repartition(target)
-    return df
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a table folder through the Hadoop file system; False if there was none."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
 
 
 def read_raw(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -81,17 +47,40 @@ def read_csv(
     path: str,
     schema: T.StructType,
     multiline: bool = False,
+    required: Sequence[str] = (),
     **options,
 ) -> DataFrame:
-    """CSV with header and a declared schema.
+    """CSV with header, its columns bound by name to the columns of ``schema``.
+
+    Header names are normalised as column names are. Columns come in the schema's
+    order and types (text that does not convert becomes NULL); one that the file
+    lacks is NULL, a further one is left out (``header_differences`` tells). A
+    missing ``required`` column, two names that normalise alike, or files of one
+    folder with different headers raise an error.
 
     ``multiline=True`` keeps quoted newlines inside one record (review comments);
     it makes each file a single split, so convert such files to Parquet once.
     """
-    reader = spark.read.schema(schema).options(
-        header=True, multiLine=multiline, escape='"', mode="PERMISSIVE", **options
+    reader = spark.read.options(header=True, multiLine=multiline, escape='"', **options)
+    header = T.StructType([T.StructField(n, T.StringType()) for n in reader.csv(path).columns])
+    by_name = standardize_columns(
+        reader.options(mode="PERMISSIVE", enforceSchema=False).schema(header).csv(path)
     )
-    return reader.csv(path)
+    missing = [c for c in required if c not in by_name.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}; the header has {', '.join(by_name.columns)}")
+    return by_name.select(
+        *[
+            (F.col(f.name).try_cast(f.dataType) if f.name in by_name.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def header_differences(spark: SparkSession, path: str, schema: T.StructType, **options) -> tuple[list[str], list[str]]:
+    """The declared columns that a CSV's header lacks, and those it has besides."""
+    found = [normalize_name(c) for c in spark.read.options(header=True, **options).csv(path).columns]
+    return [c for c in schema.names if c not in found], [c for c in found if c not in schema.names]
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -101,8 +90,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, table: str) -> DataFrame:
-    """A stored layer table (spread when it comes back as fewer splits than cores)."""
-    return spread(spark.read.parquet(layer_path(base, layer, table)))
+    return spark.read.parquet(layer_path(base, layer, table))
 
 
 def write_layer(
@@ -158,13 +146,14 @@ def publish(
     fmt: str = "parquet",
     out_fmt: str = "parquet",
     schema: T.StructType | None = None,
+    out_options: Mapping[str, object] | None = None,
     **options,
 ) -> str:
     """Copy a data set to a lake location as a distributed read + write."""
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    reader.load(src).write.mode("overwrite").format(out_fmt).save(dst)
+    reader.load(src).write.mode("overwrite").format(out_fmt).options(**(out_options or {})).save(dst)
     return dst
 
 

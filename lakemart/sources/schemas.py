@@ -1,6 +1,6 @@
 """Declared schemas and the raw-file catalogue.
 
-Raw CSVs are read with these schemas, never with inference: inference costs one
+Raw CSVs are bound by their headers to these columns, never inferred: inference costs one
 extra pass per file and reads zip-code prefixes as numbers (losing leading zeros).
 Columns are declared as strings at the CSV boundary where the source can hold bad
 values; the silver cleaners convert them leniently (``try_cast``), so a bad value
@@ -74,12 +74,13 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 
 @dataclass(frozen=True)
 class DatasetSpec:
-    """One raw table: its file name, declared layout, key and reader options."""
+    """One raw table: its file name, declared layout, the columns that a file of it must
+    have, and reader options."""
 
     table: str
     file: str
     schema: T.StructType
-    key: tuple[str, ...] = ()
+    required: tuple[str, ...] = ()
     multiline: bool = False
     options: dict = field(default_factory=dict)
 
@@ -97,7 +98,20 @@ RAW_FILES = {
     "category_translation": "product_category_name_translation.csv",
 }
 
-# Silver primary keys (None = no single-column key).
+# Columns without which a file of the table is of no use.
+REQUIRED = {
+    "customers": ("customer_id", "customer_unique_id"),
+    "orders": ("order_id", "customer_id", "order_purchase_timestamp"),
+    "order_items": ("order_id", "product_id", "price", "freight_value"),
+    "payments": ("order_id", "payment_type", "payment_value"),
+    "reviews": ("review_id", "order_id", "review_score"),
+    "products": ("product_id", "product_category_name"),
+    "sellers": ("seller_id",),
+    "geolocation": ("geolocation_zip_code_prefix",),
+    "category_translation": ("product_category_name", "product_category_name_english"),
+}
+
+# Silver primary keys (None = no single-column key).
 SILVER_KEYS: dict[str, str | None] = {
     "customers": "customer_id",
     "orders": "order_id",
@@ -115,14 +129,14 @@ CATALOGUE: dict[str, DatasetSpec] = {
         table=name,
         file=RAW_FILES[name],
         schema=RAW_SCHEMAS[name],
-        key=(SILVER_KEYS[name],) if SILVER_KEYS[name] else (),
+        required=REQUIRED[name],
         # review comments hold quoted newlines; a line reader would split them
         multiline=(name == "reviews"),
     )
     for name in RAW_FILES
 }
 
-# Gold numeric columns whose minimum must not be negative (quality check V4).
+# Gold numeric columns whose minimum must not be negative (quality check V4).
 GOLD_METRICS: dict[str, tuple[str, ...]] = {
     "dim_date": (),
     "dim_customers": ("lifetime_orders", "lifetime_value"),

@@ -59,20 +59,30 @@ def copy_into(
 
     Running it again without new files loads nothing (the checkpoint remembers).
     """
-    q = auto_load(spark, stage, dst, schema, checkpoint, fmt=fmt, available_now=True, **options)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    # a query tells of as many of its last batches as this setting says: here, of all
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, str((1 << 31) - 1))
+    try:
+        q = auto_load(spark, stage, dst, schema, checkpoint, fmt=fmt, available_now=True, **options)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    finally:
+        spark.conf.set(kept, before)
 
 
-# Raw landing tables of the warehouse load (README): landing name -> staged gold table.
+# Raw landing tables of the warehouse load: landing name -> staged table (the keyed star's,
+# and gold's where it has no keys).
 RAW_LANDING = {
-    "raw_dim_customer": "dim_customers",
-    "raw_dim_product": "dim_products",
-    "raw_dim_seller": "dim_sellers",
+    "raw_dim_customer": "dim_customer",
+    "raw_dim_product": "dim_product",
+    "raw_dim_seller": "dim_seller",
+    "raw_dim_payment": "dim_payment",
     "raw_dim_date": "dim_date",
-    "raw_fact_order_items": "fact_sales",
+    "raw_fact_order_items": "fact_order_items",
+    "raw_fact_payments": "fact_payments",
     "raw_fact_orders": "fact_orders",
 }
 
@@ -83,9 +93,9 @@ def load_raw_landing(
     base: str,
     tables: dict[str, str] | None = None,
 ) -> dict[str, int]:
-    """Bulk-load staged gold Parquet into the raw landing tables, once per file.
+    """Bulk-load staged Parquet into the raw landing tables, once per file.
 
-    ``<stage>/<gold table>`` -> ``<base>/raw/<landing table>``; each table keeps its
+    ``<stage>/<staged table>`` -> ``<base>/raw/<landing table>``; each table keeps its
     own stream checkpoint under ``<base>/_checkpoints/raw/``. Returns rows loaded per
     table (0 when nothing new was staged).
     """

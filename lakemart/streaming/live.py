@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakemart.functions import scalar as S
+from lakemart.params import Params
 
 CUBE_KEYS = ("year", "month", "customer_state")
 
@@ -111,7 +112,7 @@ def revenue_trend(cube: DataFrame) -> DataFrame:
     return out.withColumn("month_label", S.month_label("year", "month")).orderBy("year", "month")
 
 
-def region_distribution(cube: DataFrame) -> DataFrame:
+def region_distribution(cube: DataFrame, params: Params = Params()) -> DataFrame:
     """Revenue and orders per state with the share of revenue (window over the
     per-state rows only)."""
     by_state = cube.groupBy("customer_state").agg(
@@ -122,5 +123,5 @@ def region_distribution(cube: DataFrame) -> DataFrame:
         "customer_state",
         S.as_double("rev").alias("revenue"),
         "orders",
-        F.round(S.safe_pct("rev", total), 4).alias("revenue_share_pct"),
+        F.round(S.safe_pct("rev", total), params.share_digits).alias("revenue_share_pct"),
     )

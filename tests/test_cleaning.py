@@ -115,11 +115,11 @@ def test_clean_customers_dedup_then_fill(spark):
     assert out == {"c1": ("unknown", "SP"), "c2": ("x", "unknown")}
 
 
-def test_clean_orders_parses_two_timestamps_and_dedups(spark):
+def test_clean_orders_parses_its_timestamps_and_dedups(spark):
     raw = spark.createDataFrame(
         [
-            ("o1", "c1", "delivered", "2018-01-01 10:00:00", "x", "y", "2018-01-03 09:00:00", "z"),
-            ("o1", "c1", "delivered", "2018-01-01 10:00:00", "x", "y", "bad", "z"),
+            ("o1", "c1", "delivered", "2018-01-01 10:00:00", "2018-01-01 11:00:00", "y", "2018-01-03 09:00:00", "z"),
+            ("o1", "c1", "delivered", "2018-01-01 10:00:00", "2018-01-01 11:00:00", "y", "bad", "z"),
             ("o2", "c2", "shipped", "not a date", None, None, None, None),
         ],
         ", ".join(f"{c} string" for c in [
@@ -130,7 +130,8 @@ def test_clean_orders_parses_two_timestamps_and_dedups(spark):
     out = {r.order_id: r for r in SV.clean_orders(raw).collect()}
     assert len(out) == 2
     assert out["o2"].order_purchase_timestamp is None
-    assert out["o1"].order_approved_at == "x"  # other dates stay as read
+    assert str(out["o1"].order_approved_at) == "2018-01-01 11:00:00"
+    assert out["o1"].order_delivered_carrier_date is None and out["o1"].order_estimated_delivery_date is None
     # parsed before dedup: the unparsable delivered date is NULL, which sorts first
     assert out["o1"].order_delivered_customer_date is None
 
@@ -146,6 +147,21 @@ def test_clean_order_items_casts_and_filters(spark):
     assert [(r.order_item_id, float(r.price)) for r in out] == [(1, 10.5)]
 
 
+def test_order_items_are_filtered_before_they_are_rounded(spark):
+    amounts = ["-0.004", "0.004", "0", "1e3", "99999999999999999999.00", "-1e30", "", None, "NaN"]
+    raw = spark.createDataFrame(
+        [("o", str(i), "p", "s", None, a, "1") for i, a in enumerate(amounts)],
+        "order_id string, order_item_id string, product_id string, seller_id string, "
+        "shipping_limit_date string, price string, freight_value string",
+    )
+    kept = {r.order_item_id: float(r.price) for r in SV.clean_order_items(raw).collect()}
+    assert kept == {1: 0.0, 2: 0.0, 3: 1000.0}
+    # too large for the money type: set apart, not lost
+    assert {r.order_item_id for r in SV.rejected_order_items(raw).collect()} == {"4", "8"}
+    typed = raw.withColumn("price", raw.price.try_cast("double")).withColumn("freight_value", raw.freight_value.try_cast("double"))
+    assert {r.order_item_id for r in SV.clean_order_items(typed).collect()} == {1, 2, 3}
+
+
 def test_dedup_carries_map_columns(spark):
     df = spark.createDataFrame(
         [("k", 2, {"a": 1}), ("k", 1, {"b": 2}), ("j", 5, None)], "key string, n int, props map<string,int>"

@@ -58,6 +58,81 @@ def test_copy_into_loads_each_file_once(spark, scratch):
     assert spark.read.parquet(dst).count() == 15
 
 
+def test_copy_into_counts_every_batch(spark, scratch):
+    schema = "k int"
+    for i in range(6):
+        spark.range(10).selectExpr("cast(id as int) k").coalesce(1).write.parquet(f"{scratch}/in/f={i}")
+    from lakemart.streaming.autoload import auto_load  # noqa: F401
+
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        from pyspark.sql import types as T
+
+        fields = T.StructType([T.StructField("k", T.IntegerType())])
+        n = copy_into(
+            spark, f"{scratch}/in/*", f"{scratch}/out", fields, f"{scratch}/ck", max_files_per_trigger=1
+        )
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert n == 60 == spark.read.schema(schema).parquet(f"{scratch}/out").count()
+
+
+def test_csv_is_bound_by_its_header(spark, scratch):
+    import pytest
+
+    from lakemart.sources.files import header_differences
+
+    spec = CATALOGUE["sellers"]
+    os.makedirs(f"{scratch}/raw")
+    with open(f"{scratch}/raw/{spec.file}", "w") as f:
+        f.write("Seller State,seller_id,SELLER_CITY,extra\nSP,s1,x,9\n")
+    path = f"{scratch}/raw/{spec.file}"
+    (row,) = read_csv(spark, path, spec.schema, required=spec.required).collect()
+    assert row.asDict() == {"seller_id": "s1", "seller_zip_code_prefix": None, "seller_city": "x", "seller_state": "SP"}
+    assert header_differences(spark, path, spec.schema) == (["seller_zip_code_prefix"], ["extra"])
+    status = {r.table: r.status for r in ingest_raw(spark, f"{scratch}/raw", scratch).collect()}
+    assert status["sellers"] == "written; absent: seller_zip_code_prefix; extra: extra"
+    with open(path, "w") as f:
+        f.write("Seller Id,seller_id,seller_city\na,b,c\n")
+    with pytest.raises(ValueError):
+        read_csv(spark, path, spec.schema)
+    with open(path, "w") as f:
+        f.write("seller_city\nc\n")
+    status = {r.table: r.status for r in ingest_raw(spark, f"{scratch}/raw", scratch).collect()}
+    assert status["sellers"].startswith("failed: ") and status["orders"].startswith("skipped")
+    # files of one folder with unlike headers are refused
+    os.makedirs(f"{scratch}/two")
+    for name, head in (("a.csv", "seller_id,seller_city"), ("b.csv", "seller_city,seller_id")):
+        with open(f"{scratch}/two/{name}", "w") as f:
+            f.write(f"{head}\n1,2\n")
+    with pytest.raises(Exception):
+        read_csv(spark, f"{scratch}/two", spec.schema).collect()
+
+
+def test_null_payment_types_are_kept(spark):
+    from lakemart.plans.keyed import dim_payment, fact_payments
+
+    pay = spark.createDataFrame(
+        [("o1", 1, None, 1, 5.0), ("o2", 1, "card", 1, 6.0)],
+        "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value double",
+    )
+    keys = {r.order_id: r.payment_type_key for r in fact_payments(pay, dim_payment(pay)).collect()}
+    assert keys == {"o1": 1, "o2": 2}
+
+
+def test_scratch_folders_do_not_pile_up(spark):
+    import glob
+
+    from lakemart.queries import QUERIES
+    from lakemart.session import scratch_root
+
+    root = os.path.dirname(scratch_root(spark, "none", "x")).removeprefix("file:")
+    for _ in range(2):
+        QUERIES["landing_raw_dim_date"](spark, "/root/testdata/sf0.001").count()
+    assert len(glob.glob(f"{root}/lakemart-landing-raw_dim_date-*")) == 1
+
+
 def test_refreshed_cube_equals_batch(spark, scratch):
     rows = spark.createDataFrame(
         [

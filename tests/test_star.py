@@ -185,6 +185,7 @@ def test_funnel_and_anomalies(lake):
 
 
 def test_customer_segments_with_only_null_review_scores(spark, silver):
+    from lakemart.plans.gold import build_facts
     from lakemart.plans.marts import customer_segments
 
     reviews = spark.createDataFrame(
@@ -192,5 +193,7 @@ def test_customer_segments_with_only_null_review_scores(spark, silver):
         "review_id string, order_id string, review_score int, review_comment_title string, "
         "review_comment_message string, review_creation_date timestamp, review_answer_timestamp timestamp",
     )
-    rows = {r.customer_unique_id: r for r in customer_segments({**silver, "reviews": reviews}).collect()}
+    facts = build_facts({**silver, "reviews": reviews})
+    marts = customer_segments(facts["fact_sales"], facts["fact_orders"], silver["customers"])
+    rows = {r.customer_unique_id: r for r in marts.collect()}
     assert rows["p5"].avg_review_score is None and rows["p5"].customer_segment == "Repeat"
