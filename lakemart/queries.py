@@ -588,7 +588,7 @@ def _shuffled(df):
     return named.withColumn("Extra Column", F.lit("x"))
 
 
-def _csv_ingest(spark, d, query, change=lambda df: df):
+def _csv_ingest(spark, d, query, change=lambda df: df, only=None):
     from lakemart.sources.adapter import raw_tables
     from lakemart.sources.files import write_csv
     from lakemart.sources.ingest import ingest_raw
@@ -596,7 +596,8 @@ def _csv_ingest(spark, d, query, change=lambda df: df):
 
     root = scratch_root(spark, query, d)
     for name, df in raw_tables(spark, d).items():
-        write_csv(change(df), f"{root}/raw/{RAW_FILES[name]}")
+        if only in (None, name):
+            write_csv(change(df), f"{root}/raw/{RAW_FILES[name]}")
     return root, ingest_raw(spark, f"{root}/raw", root)
 
 
@@ -604,10 +605,10 @@ def _csv_report(spark, d, query, change=lambda df: df):
     return _csv_ingest(spark, d, query, change)[1].drop("path")
 
 
-def _csv_lake(spark, d, query, change=lambda df: df):
+def _csv_lake(spark, d, query, change=lambda df: df, only=None):
     from lakemart.sources.ingest import read_bronze
 
-    root, _ = _csv_ingest(spark, d, query, change)
+    root, _ = _csv_ingest(spark, d, query, change, only)
     return Lake(read_bronze(spark, root), P)
 
 
@@ -686,8 +687,63 @@ register("csv_shuffled_header_kpis", _kpi_sql())(
 )
 for _t, _cte in SILVER_SQL.items():
     register(f"csv_shuffled_header_{_t}", O.with_base(f"SELECT * FROM {_cte}"))(
-        lambda spark, d, _t=_t: _typed_ids(_csv_lake(spark, d, f"csv-shuffled-{_t}", _shuffled).silver[_t])
+        lambda spark, d, _t=_t: _typed_ids(
+            _csv_lake(spark, d, f"csv-shuffled-{_t}", _shuffled, only=_t).silver[_t]
+        )
+    )
+
+
+# ---- sources with faults: every rule of silver has rows that it must change -----------
+
+def _dirty(spark, d):
+    from lakemart.sources.adapter import raw_tables
+    from lakemart.sources.dirty import dirty_tables
+
+    return Lake(dirty_tables(raw_tables(spark, d)), P)
+
+
+def _dirty_quality(spark, d):
+    from lakemart.operators.quality import validate_silver
+
+    return validate_silver(_dirty(spark, d).silver)
+
+
+def _dirty_rejected(spark, d):
+    from lakemart.plans.silver import rejected_order_items
+
+    return rejected_order_items(_dirty(spark, d).raw["order_items"]).select("order_id", "order_item_id")
+
+
+def _dirty_payments(spark, d):
+    from lakemart.plans.keyed import build_keyed_table
+    from lakemart.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    lk = _dirty(spark, d)
+    return build_keyed_table("fact_payments", lk.silver, lk.gold)
+
+
+def _dirty_sql(sql: str) -> str:
+    """The SQL of a clean query, over the tables with faults."""
+    base = O.with_base("")
+    assert sql.startswith(base)
+    return O.with_dirty(sql[len(base) :])
+
+
+for _t in SILVER_SQL:
+    register(f"dirty_silver_{_t}", _dirty_sql(ORACLE[f"silver_{_t}"]))(
+        lambda spark, d, _t=_t: _dirty(spark, d).silver[_t]
     )
+for _t in GOLD_SQL:
+    register(f"dirty_gold_{_t}", _dirty_sql(ORACLE[f"gold_{_t}"]))(lambda spark, d, _t=_t: _dirty(spark, d).gold[_t])
+register("dirty_kpis", _dirty_sql(ORACLE["kpis"]))(lambda spark, d: D.kpis(_dirty(spark, d).star, P))
+register("dirty_quality", _dirty_sql(ORACLE["quality_silver"]))(_dirty_quality)
+register("dirty_fact_payments", _dirty_sql(ORACLE["keyed_fact_payments"]))(_dirty_payments)
+register("dirty_rejected_items", """
+SELECT l_orderkey AS order_id, l_linenumber AS order_item_id
+FROM lineitem
+WHERE (l_orderkey + l_linenumber) % 19 = 0 AND (l_orderkey + l_linenumber) % 13 <> 0
+  AND (l_orderkey + l_linenumber) % 17 <> 0 AND (l_orderkey + l_linenumber) % 31 <> 0""")(_dirty_rejected)
 
 
 # ---- published copies, SQL over named tables, kept results (S1, S6, S8, S9) ----------
