@@ -27,7 +27,7 @@ from .common import blocks, id_text, rows
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Pre-tokens whose ids a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 @lru_cache(1)
