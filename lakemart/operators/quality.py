@@ -23,6 +23,7 @@ over stored tables each table is a job of its own, so that a damaged one fails a
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.scalar import round_ratio
 
+#: Jobs of a suite that run at a time.
+SIDE_BY_SIDE = 6
 RESULT_SCHEMA = "table string, check string, column string, status string, value double, pct double"
 
 
@@ -133,15 +136,16 @@ def check_layer(
     metrics: Mapping[str, Sequence[str]] | None = None,
     readers: Mapping[str, Callable[[SparkSession, str], DataFrame]] | None = None,
 ) -> DataFrame:
-    """Suite over stored tables (name -> path), each one isolated from the others."""
+    """Suite over stored tables (name -> path), each one isolated from the others; some
+    tables' jobs run side by side."""
     keys, metrics, readers = keys or {}, metrics or {}, readers or {}
-    found = [
-        row
-        for name, path in paths.items()
-        for row in check_path(
-            spark, path, name, key=keys.get(name), metrics=metrics.get(name, ()), reader=readers.get(name)
-        )
-    ]
+
+    def one(name: str) -> list[tuple]:
+        own = (keys.get(name), metrics.get(name, ()), readers.get(name))
+        return check_path(spark, paths[name], name, "parquet", *own)
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        found = [row for rows in pool.map(one, paths) for row in rows]
     return spark.createDataFrame(found, RESULT_SCHEMA)
 
 

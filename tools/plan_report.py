@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
-import __spark_entry__ as E  # noqa: E402
+from lakemart.queries import QUERIES  # noqa: E402
 from lakemart.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -58,7 +58,7 @@ def main():
     print(NOTES)
     print("| query | " + " | ".join(PATTERNS) + " |")
     print("| --- |" + " --- |" * len(PATTERNS))
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         counts = [len(re.findall(p, plan)) for p in PATTERNS.values()]
