@@ -11,6 +11,13 @@ are no pairs within a group. (An index by one segment's bits alone would list al
 of the fingerprints that agree there.) Every link is found: of three fingerprints in
 one entry, all are within two bits of each other.
 
+``similar`` asks for a similarity of word shingles instead, such as 0.8, for which
+fingerprints of 64 bits are too short: it takes ``LANES_WIDE`` of them from as many hash
+functions, cut into ``TABLES`` segments of ``SEGMENT_BITS`` bits. Each segment is looked
+up, with its ball of radius 1, in the table of that segment's values; a value names its
+least fingerprint, so a group of any size gives one match a lookup. The whole distance
+decides: it estimates the angle between the shingle sets, and so their similarity.
+
 Components come from the links by repeated star contraction with a checkpoint each.
 Null text counts as empty: fingerprint zero, linked like any other. A null id takes no
 part in the smallest id; a component of null ids only has a null one. Repeated rows get
@@ -19,6 +26,7 @@ the same answer each. An empty table gives an empty table; other columns are ign
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +40,9 @@ WORDS = 3
 RADIUS = 2
 SEED = 42
 SEGMENTS = 4
+LANES_WIDE = 4
+TABLES = 9
+SEGMENT_BITS = 28
 #: Shingles hashed at a time; bounds the memory for a long text.
 _STEP = 1 << 16
 
@@ -65,19 +76,40 @@ def shingle_hashes(text: str, words: int, seed: int = SEED) -> Iterator[bytes]:
         yield b"".join([digest(joined[i:j], seed) for i, j in zip(a, b, strict=True)])
 
 
-def fingerprints(texts: list[str], words: int = WORDS, seed: int = SEED) -> np.ndarray:
-    """The fingerprint of each text (uint64); zero without words."""
-    counts = np.zeros((len(texts), 64), dtype=np.int64)
+def _rehashed(values: np.ndarray, lane: int) -> np.ndarray:
+    """Further hash values of shingles, from their hashes (big-endian bytes, 8 a row)."""
+    if not lane:
+        return values
+    x = values.view(">u8").ravel().astype(np.uint64) + np.uint64(lane) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).astype(">u8").view(np.uint8).reshape(-1, 8)
+
+
+def fingerprints(texts: list[str], words: int = WORDS, seed: int = SEED, lanes: int = 1) -> np.ndarray:
+    """A row of ``lanes`` fingerprints (uint64) of each text; zero without words."""
+    counts = np.zeros((len(texts), lanes, 64), dtype=np.int64)
     sizes = np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
         for hashed in shingle_hashes(text, words, seed):
             values = np.frombuffer(hashed, dtype=np.uint8).reshape(-1, 8)
             sizes[i] += len(values)
-            # a lane of one byte counts to 255
-            sums = np.add.reduceat(LANES[values], np.arange(0, len(values), 255), axis=0)
-            counts[i] += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    bits = (counts * 2 > sizes[:, None]).reshape(-1, 8, 8)
-    return np.packbits(bits, axis=2, bitorder="little").reshape(-1, 8).copy().view(">u8").ravel()
+            for lane in range(lanes):
+                # a lane of one byte counts to 255
+                spread = LANES[_rehashed(values, lane)]
+                sums = np.add.reduceat(spread, np.arange(0, len(values), 255), axis=0)
+                counts[i, lane] += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    bits = (counts * 2 > sizes[:, None, None]).reshape(-1, 8, 8)
+    packed = np.packbits(bits, axis=2, bitorder="little").reshape(-1, 8)
+    return packed.copy().view(">u8").astype(np.uint64).reshape(len(texts), lanes)
+
+
+def segments(prints: np.ndarray, tables: int = TABLES, bits: int = SEGMENT_BITS) -> np.ndarray:
+    """The first ``tables`` segments of rows of fingerprints, with the table's number above
+    the segment's bits."""
+    every = np.unpackbits(prints.astype(">u8").view(np.uint8).reshape(len(prints), -1), axis=1)
+    each = every[:, : tables * bits].reshape(len(prints), tables, bits).astype(np.int64)
+    return each @ (1 << np.arange(bits, dtype=np.int64)) + (np.arange(tables, dtype=np.int64) << bits)
 
 
 def fingerprinted(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,8 +118,8 @@ def fingerprinted(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
-            found = fingerprints(b.column(1).to_pylist(), words)
-            columns = {"doc_id": b.column(0), "fp": found.astype(np.uint64).view(np.int64)}
+            found = fingerprints(b.column(1).to_pylist(), words).ravel()
+            columns = {"doc_id": b.column(0), "fp": found.view(np.int64)}
             yield rows(schema, {**columns, "h": b.column(2)})
 
     return id_text(df, id_col, text_col).withColumn("h", F.xxhash64("text")).mapInArrow(run, schema)
@@ -146,6 +178,45 @@ def grouped(found: DataFrame, spark: SparkSession, radius: int = RADIUS) -> Data
     return codes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
+def wide_prints(df: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, h (a hash of the text), prints and segments of every row, and fp, a hash of
+    its prints."""
+    schema = "doc_id long, h long, prints array<long>, segments array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches):
+            found = fingerprints(b.column(1).to_pylist(), words, lanes=LANES_WIDE)
+            columns = {"prints": list(found.view(np.int64)), "segments": list(segments(found))}
+            yield rows(schema, {"doc_id": b.column(0), "h": b.column(2), **columns})
+
+    hashed = id_text(df, id_col, text_col).withColumn("h", F.xxhash64("text"))
+    return hashed.mapInArrow(run, schema).withColumn("fp", F.xxhash64("prints"))
+
+
+def differing_bits(similarity: float) -> int:
+    """Bits in which wide fingerprints differ, if the texts share that part of their
+    distinct shingles: the angle's share of a half turn, and half a standard deviation."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    size = 64 * LANES_WIDE
+    return round(size * share + 0.5 * math.sqrt(size * share * (1 - share)))
+
+
+def similar(found: DataFrame, spark: SparkSession, similarity: float) -> DataFrame:
+    """(fp, root) as ``grouped``, for ``wide_prints`` at least so similar."""
+    codes = found.select("fp", "prints", "segments").dropDuplicates(["fp"])
+    table = codes.select("fp", F.explode("segments").alias("code")).groupBy("code").agg(F.min("fp").alias("least"))
+    ball = [F.col("s"), *(F.col("s").bitwiseXOR(F.lit(1 << bit)) for bit in range(SEGMENT_BITS))]
+    lookups = codes.select("fp", F.explode("segments").alias("s")).select("fp", F.explode(F.array(*ball)).alias("code"))
+    met = lookups.join(table, "code").where("fp <> least").select("fp", "least").distinct()
+    one, other = (codes.select(F.col("fp").alias(n), F.col("prints").alias(f"{n}_prints")) for n in ("fp", "least"))
+    pairs = met.join(one, "fp").join(other, "least")
+    distance = sum(F.bit_count(F.col("fp_prints")[k].bitwiseXOR(F.col("least_prints")[k])) for k in range(LANES_WIDE))
+    near = pairs.where(distance <= differing_bits(similarity))
+    edges = near.select(F.greatest("fp", "least").alias("u"), F.least("fp", "least").alias("v")).distinct()
+    roots = components(edges, spark).select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    return codes.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_copies(
     df: DataFrame,
     spark: SparkSession,
@@ -170,14 +241,20 @@ def one_of_each(
     spark: SparkSession,
     words: int = WORDS,
     radius: int = RADIUS,
+    similarity: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``df`` with one row of each component: the smallest id (null ids last; of equal
-    ids the text with the least hash; of rows alike, one)."""
-    found = settled(fingerprinted(df, words, id_col, text_col), spark)
+    ids the text with the least hash; of rows alike, one). Rows belong together by
+    ``radius`` bits, or if given by ``similarity``."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    roots = grouped(found, spark, radius)
+    if similarity is None:
+        found = settled(fingerprinted(df, words, id_col, text_col), spark)
+        roots = grouped(found, spark, radius)
+    else:
+        found = settled(wide_prints(df, words, id_col, text_col), spark)
+        roots = similar(found, spark, similarity)
     least = found.groupBy("fp").agg(F.min(rank).alias("least"))
     best = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
     kept = best.select(
