@@ -13,7 +13,6 @@ of the input are ignored. Texts are taken whole, however long.
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import struct
 from collections.abc import Iterator
@@ -23,7 +22,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import blocks, id_text, rows
+from .common import acyclic, blocks, id_text, rows
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Pre-tokens whose ids a worker remembers; beyond it the memory starts afresh.
@@ -134,7 +133,6 @@ class Codec:
 
 @lru_cache(2)
 def codec(ranks_path: str, pattern: str) -> Codec:
-    gc.disable()  # what is remembered holds no cycles
     return Codec(ranks_path, pattern)
 
 
@@ -145,12 +143,11 @@ def encoded(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
-        for b in blocks(batches):
-            ids = c.encode(b.column(1).to_pylist())
-            yield rows(
-                "doc_id long, ids array<int>, decoded binary",
-                {"doc_id": b.column(0), "ids": ids, "decoded": [c.decode(x) for x in ids]},
-            )
+        schema = "doc_id long, ids array<int>, decoded binary"
+        with acyclic():
+            for b in blocks(batches):
+                ids = c.encode(b.column(1).to_pylist())
+                yield rows(schema, {"doc_id": b.column(0), "ids": ids, "decoded": [c.decode(x) for x in ids]})
 
     return id_text(df, id_col, text_col).mapInArrow(
         run, "doc_id long, ids array<int>, decoded binary"
@@ -165,19 +162,20 @@ def digests(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
         texts = c.texts
-        for b in blocks(batches):
-            ids = c.encode(b.column(1).to_pylist())
-            yield rows(
-                SCHEMA,
-                {
-                    "doc_id": b.column(0),
-                    "n_tokens": [len(x) for x in ids],
-                    "ids_sha256": [
-                        hashlib.sha256(",".join([texts[i] for i in x]).encode()).hexdigest()
-                        for x in ids
-                    ],
-                    "decoded_sha256": [hashlib.sha256(c.decode(x)).hexdigest() for x in ids],
-                },
-            )
+        with acyclic():
+            for b in blocks(batches):
+                ids = c.encode(b.column(1).to_pylist())
+                yield rows(
+                    SCHEMA,
+                    {
+                        "doc_id": b.column(0),
+                        "n_tokens": [len(x) for x in ids],
+                        "ids_sha256": [
+                            hashlib.sha256(",".join([texts[i] for i in x]).encode()).hexdigest()
+                            for x in ids
+                        ],
+                        "decoded_sha256": [hashlib.sha256(c.decode(x)).hexdigest() for x in ids],
+                    },
+                )
 
     return id_text(df, id_col, text_col).mapInArrow(run, SCHEMA)

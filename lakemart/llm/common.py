@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +113,19 @@ def rows(schema: str, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
 
 
+@contextmanager
+def acyclic() -> Iterator[None]:
+    """While large memories of words grow, which hold no cycles: without the collector's
+    passes over them."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def id_remainder(id_col: Column, divisor: int) -> Column:
     """crc32 of the id as decimal text, modulo ``divisor`` (null id: the empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % divisor

@@ -15,7 +15,6 @@ equally full sequences are settled by the order of the hash. A null id stays nul
 
 from __future__ import annotations
 
-import gc
 import os
 import zlib
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import byte_letters
-from .common import blocks, id_text, names, rows, settled
+from .common import acyclic, blocks, id_text, names, rows, settled
 
 CAPACITY = 2048
 #: Pieces that a group packs at a time, about; one task holds one group.
@@ -123,26 +122,26 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        gc.disable()  # the memory of words holds no cycles
         tokens = words_of(tokenizer_path)
         uid = count(TaskContext.get().partitionId() << 36)
         step = 4 * capacity
-        for b in blocks(batches):
-            out: dict[str, list] = {name: [] for name in names(schema)}
-            ids = tokens.ids(b.column(1).to_pylist())
-            for doc, raw in zip(b.column(0).to_pylist(), ids, strict=True):
-                raw += b"\0\0\0\0"
-                for k, at in enumerate(range(0, len(raw), step)):
-                    part = raw[at : at + step]
-                    out["doc_id"].append(doc)
-                    out["piece"].append(k)
-                    out["start"].append(at // 4)
-                    out["length"].append(len(part) // 4)
-                    out["ids_crc32"].append(zlib.crc32(part))
-                    out["uid"].append(next(uid))
-                    if with_ids:
-                        out["ids"].append(part)
-            yield rows(schema, out)
+        with acyclic():
+            for b in blocks(batches):
+                out: dict[str, list] = {name: [] for name in names(schema)}
+                ids = tokens.ids(b.column(1).to_pylist())
+                for doc, raw in zip(b.column(0).to_pylist(), ids, strict=True):
+                    raw += b"\0\0\0\0"
+                    for k, at in enumerate(range(0, len(raw), step)):
+                        part = raw[at : at + step]
+                        out["doc_id"].append(doc)
+                        out["piece"].append(k)
+                        out["start"].append(at // 4)
+                        out["length"].append(len(part) // 4)
+                        out["ids_crc32"].append(zlib.crc32(part))
+                        out["uid"].append(next(uid))
+                        if with_ids:
+                            out["ids"].append(part)
+                yield rows(schema, out)
 
     return id_text(df, id_col, text_col).mapInArrow(run, schema)
 

@@ -80,7 +80,7 @@ def _rehashed(values: np.ndarray, lane: int) -> np.ndarray:
     """Further hash values of shingles, from their hashes (big-endian bytes, 8 a row)."""
     if not lane:
         return values
-    x = values.view(">u8").ravel().astype(np.uint64) + np.uint64(lane) * np.uint64(0x9E3779B97F4A7C15)
+    x = values.view(">u8").ravel().astype(np.uint64) + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return (x ^ (x >> np.uint64(31))).astype(">u8").view(np.uint8).reshape(-1, 8)
