@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Text handled at a time inside a task: bounds the memory of the numpy kernels.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -43,9 +43,9 @@ N = 100
 #: Bytes that the rolling hash takes.
 GRAM = 8
 #: A section of a long text; bounds the tables of powers.
-SECTION = 2 << 20
+SECTION = 1 << 20
 #: Phrases that a task gathers before it sends them: bounds its memory.
-GATHER = 1 << 19
+GATHER = 1 << 18
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _FIRST = np.iinfo(np.int64).min
@@ -355,6 +355,8 @@ def _again(texts: DataFrame, spans: DataFrame, n: int, run_length: int, buckets:
                 found.append(_items(part, i, todo, n, run_length))
         items, spans = settle(_gathered(found), run_length == 1, here=True)
         batch = _sent(items, np.concatenate([spans, *decided]), buckets)
+        del part, found, decided, items
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([batch])
 
     return texts.groupBy("__part").cogroup(spans.groupBy("part")).applyInArrow(run, SENT)
@@ -410,6 +412,7 @@ def _parsed(texts: DataFrame, n: int, buckets: int) -> DataFrame:
                 if held >= GATHER:
                     yield _sent(*settle(_gathered(found), last=False, here=True), buckets)
                     found, held = [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield _sent(*settle(_gathered(found), last=False, here=True), buckets)
 
@@ -421,8 +424,9 @@ def _judged(
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with what the steps need (and the other columns asked for), and the spans
     of repeated strings by part. All steps read the rows from one exchange."""
-    # a part sends a row to each bucket, so both are as many as the shuffle's partitions
-    parts = buckets = shuffle_width(spark)
+    # a part sends a row to each bucket, so neither may be many times the shuffle's partitions
+    buckets = shuffle_width(spark)
+    parts = 2 * buckets
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST))
     h = F.pmod(F.xxhash64(doc, text), F.lit(1 << 32))
