@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
@@ -61,6 +62,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return freed memory to the machine, so that a worker between tasks holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES, text: str = "text"
 ) -> Iterator[pa.RecordBatch]:
@@ -74,6 +83,7 @@ def blocks(
         edges = np.flatnonzero(np.diff(cuts)) + 1
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(sizes)], strict=True):
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

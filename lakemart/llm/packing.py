@@ -36,7 +36,7 @@ GROUP = 1 << 14
 #: Rounds of exchange at most; each one packs the rest of the round before.
 ROUNDS = 4
 #: Words that a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 _TRAIL = ".,!?;:#$%&*"

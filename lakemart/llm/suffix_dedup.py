@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, rows, shuffle_width, string_bytes
+from .common import blocks, give_back, rows, shuffle_width, string_bytes
 
 N = 100
 #: Bytes that the rolling hash takes.
@@ -287,6 +287,8 @@ def _resolved(sent: DataFrame, last: bool, parts: int) -> DataFrame:
         there = np.unique(part)
         cuts = np.searchsorted(part[order], there[1:])
         split = np.split(spans[order], cuts) if len(there) else []
+        del items, decided
+        give_back()
         return pa.Table.from_batches(
             [rows(SPANS, {"part": there.astype(np.int32), "spans": [x.tobytes() for x in split]})]
         )
@@ -356,7 +358,7 @@ def _again(texts: DataFrame, spans: DataFrame, n: int, run_length: int, buckets:
         items, spans = settle(_gathered(found), run_length == 1, here=True)
         batch = _sent(items, np.concatenate([spans, *decided]), buckets)
         del part, found, decided, items
-        pa.default_memory_pool().release_unused()
+        give_back()
         return pa.Table.from_batches([batch])
 
     return texts.groupBy("__part").cogroup(spans.groupBy("part")).applyInArrow(run, SENT)
@@ -412,7 +414,7 @@ def _parsed(texts: DataFrame, n: int, buckets: int) -> DataFrame:
                 if held >= GATHER:
                     yield _sent(*settle(_gathered(found), last=False, here=True), buckets)
                     found, held = [], 0
-                    pa.default_memory_pool().release_unused()
+                    give_back()
         if held:
             yield _sent(*settle(_gathered(found), last=False, here=True), buckets)
 
