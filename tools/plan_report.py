@@ -44,9 +44,12 @@ NOTES = """How to read it:
 - `single_partition` exchanges are final one-row aggregates after partial
   aggregation, or windows over bounded inputs (one row per partition for
   surrogate-key offsets, one row per state for shares).
-- `bhj` are dim_date / nation (proven bounds) plus joins AQE statistics choose
-  at this tiny scale; at 100 TB customers and products become sort-merge joins
-  with AQE skew splitting.
+- `bhj` are joins that Spark's size estimates choose at this tiny scale (by hint only
+  surrogate-key offsets, one row a partition, and counted payment types); at 100 TB
+  customers and products become sort-merge joins with AQE skew splitting.
+- No scan is followed by a round-robin exchange.
+- Queries that store tables first (csv, landing, live, stored, scd2_three_feeds) run jobs
+  of their own before the plan that is shown, and may be left out here.
 """
 
 
