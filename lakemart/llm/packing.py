@@ -28,15 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import byte_letters
-from .common import acyclic, blocks, id_text, names, rows, settled
+from .common import acyclic, blocks, give_back, id_text, names, rows, settled
 
 CAPACITY = 2048
 #: Pieces that a group packs at a time, about; one task holds one group.
 GROUP = 1 << 14
 #: Rounds of exchange at most; each one packs the rest of the round before.
 ROUNDS = 4
-#: Words that a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 150_000
+#: Words that a task remembers; beyond it the memory starts afresh.
+REMEMBERED = 600_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 _TRAIL = ".,!?;:#$%&*"
@@ -90,6 +90,9 @@ class Words:
         for word, found in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[word] = self.packed(found.ids)
 
+    def forget(self) -> None:
+        self.known, self.stems = {}, {}
+
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in _ODD) else t.split() for t in texts]
         self.learn(set().union(*(w for w in split if w)))
@@ -142,6 +145,8 @@ def pieces(
                         if with_ids:
                             out["ids"].append(part)
                 yield rows(schema, out)
+        tokens.forget()
+        give_back()
 
     return id_text(df, id_col, text_col).mapInArrow(run, schema)
 
