@@ -3,9 +3,10 @@
 Every text is scanned for three kinds of secret. Then a worklist of layers, at first
 the text itself, is worked off: URL escapes and Unicode escapes are undone all over a
 layer, base64 runs are decoded one by one, and what decodes to compressed data (gzip,
-zlib, bzip2, xz) is unpacked. Each new layer is scanned and listed in turn, unless its
-text was a layer before, until none is left. A finding is mapped back, layer by layer,
-to the code points of the text that it came from.
+zlib, bzip2, xz) is unpacked. Each new layer is scanned and listed in turn, unless the
+same text came from the same places before, until none is left. A finding is mapped back,
+layer by layer, to the code points of the text that it came from; a text that stands
+encoded at several places has its findings at each of them.
 
 Null text counts as empty. Spans found twice are named once. Repeated rows get the same
 answer each; an empty table gives an empty table; other columns are ignored. Texts are
@@ -86,6 +87,12 @@ class Layer:
         a, b, kind = span
         return int(self.start[a:b].min()), int(self.end[a:b].max()), kind
 
+    def key(self) -> tuple[str, bytes]:
+        """Alike for layers of one text that came from the same places."""
+        places = hashlib.blake2b(self.start.astype(np.int64).tobytes(), digest_size=16)
+        places.update(self.end.astype(np.int64).tobytes())
+        return self.text, places.digest()
+
 
 def _from_bytes(data: bytes, a: np.ndarray, b: np.ndarray) -> Layer | None:
     """A layer of UTF-8 bytes that came from the parts ``a`` to ``b``, if they are text."""
@@ -202,14 +209,17 @@ def unwrapped(layer: Layer) -> Iterator[Layer]:
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
     """The secrets that stand openly in the text, and those of all layers with them."""
-    base = found_in(text)
-    spans, seen, work = [*base], {text}, deque([Layer.of(text)])
+    base, whole = found_in(text), Layer.of(text)
+    spans, seen, found, work = [*base], {whole.key()}, {text: base}, deque([whole])
     while work:
         for inner in unwrapped(work.popleft()):
-            if inner.text not in seen:
-                seen.add(inner.text)
-                spans += [inner.mapped(s) for s in found_in(inner.text)]
-                work.append(inner)
+            if (key := inner.key()) in seen:
+                continue
+            seen.add(key)
+            if inner.text not in found:
+                found[inner.text] = found_in(inner.text)
+            spans += [inner.mapped(s) for s in found[inner.text]]
+            work.append(inner)
     return base, in_order(spans)
 
 

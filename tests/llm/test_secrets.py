@@ -120,3 +120,21 @@ def test_redacted(spark, docs, doc_rows):
     same = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
     assert same == {r.doc_id: r.text for r in docs.collect()}
     assert secrets.secrets(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("times", [2, 1000])
+@pytest.mark.parametrize("wrap", ["base64", "gzip", "twice"])
+def test_every_occurrence_of_an_encoded_secret(wrap, times):
+    line = "key: " + WRAPS[wrap]("the token = " + HEX + "9") + " end\n"
+    text = line * times
+    spans = secrets.scan(text)[1]
+    assert len({a // len(line) for a, _, k in spans if k == "assign"}) == times
+    assert secrets.scan(secrets.masked(text, spans, "[SECRET]"))[1] == []
+
+
+def test_wrappings_that_decode_alike():
+    secret = "password=" + HEX
+    text = " | ".join(WRAPS[w](secret) for w in ("base64", "gzip", "zlib", "xz", "url", "base64"))
+    spans = secrets.scan(text)[1]
+    assert len([s for s in spans if s[2] == "assign"]) == 6
+    assert secrets.scan(secrets.masked(text, spans, "[SECRET]"))[1] == []
