@@ -16,7 +16,8 @@ fingerprints of 64 bits are too short: it takes ``LANES_WIDE`` of them from as m
 functions, cut into ``TABLES`` segments of ``SEGMENT_BITS`` bits. Each segment is looked
 up, with its ball of radius 1, in the table of that segment's values; a value names its
 least fingerprint, so a group of any size gives one match a lookup. The whole distance
-decides: it estimates the angle between the shingle sets, and so their similarity.
+proposes a link, as an estimate of the angle between the shingle sets; ``likeness.py`` decides
+it by the sets themselves.
 
 Components come from the links by repeated star contraction with a checkpoint each.
 Null text counts as empty: fingerprint zero, linked like any other. A null id takes no
@@ -201,8 +202,12 @@ def differing_bits(similarity: float) -> int:
     return round(size * share + 0.5 * math.sqrt(size * share * (1 - share)))
 
 
-def similar(found: DataFrame, spark: SparkSession, similarity: float) -> DataFrame:
-    """(fp, root) as ``grouped``, for ``wide_prints`` at least so similar."""
+def similar(
+    found: DataFrame, df: DataFrame, spark: SparkSession, words: int, similarity: float, text_col: str = "text"
+) -> DataFrame:
+    """(fp, root) as ``grouped``, for ``wide_prints`` of the texts of ``df`` at least so similar."""
+    from . import likeness  # which needs this module
+
     codes = found.select("fp", "prints", "segments").dropDuplicates(["fp"])
     table = codes.select("fp", F.explode("segments").alias("code")).groupBy("code").agg(F.min("fp").alias("least"))
     ball = [F.col("s"), *(F.col("s").bitwiseXOR(F.lit(1 << bit)) for bit in range(SEGMENT_BITS))]
@@ -213,6 +218,7 @@ def similar(found: DataFrame, spark: SparkSession, similarity: float) -> DataFra
     distance = sum(F.bit_count(F.col("fp_prints")[k].bitwiseXOR(F.col("least_prints")[k])) for k in range(LANES_WIDE))
     near = pairs.where(distance <= differing_bits(similarity))
     edges = near.select(F.greatest("fp", "least").alias("u"), F.least("fp", "least").alias("v")).distinct()
+    edges = likeness.verified(settled(edges, spark), found, df, words, similarity, text_col)
     roots = components(edges, spark).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     return codes.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
@@ -254,7 +260,7 @@ def one_of_each(
         roots = grouped(found, spark, radius)
     else:
         found = settled(wide_prints(df, words, id_col, text_col), spark)
-        roots = similar(found, spark, similarity)
+        roots = similar(found, df, spark, words, similarity, text_col)
     least = found.groupBy("fp").agg(F.min(rank).alias("least"))
     best = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
     kept = best.select(

@@ -1,0 +1,39 @@
+from __future__ import annotations
+
+import random
+
+from lakemart.llm import likeness, simhash
+
+
+def kept_of(spark, rows, similarity=0.8):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id for r in simhash.one_of_each(df, spark, words=5, similarity=similarity).collect()}
+
+
+def jaccard(a, b):
+    a, b = (set(likeness.shingle_set(t, 5).tolist()) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def twin(rng, words, vocab, share):
+    out = list(words)
+    for _ in range(max(1, int(len(words) * share))):
+        out[rng.randrange(len(out))] = rng.choice(vocab)
+    return out
+
+
+def template(rng, vocab, shared, n, own, twins, share):
+    """Texts with a common passage, and near copies of some."""
+    passage = rng.choices(vocab, k=shared)
+    rows = [(i, passage + rng.choices(vocab, k=own)) for i in range(n)]
+    rows += [(n + i, passage + twin(rng, rows[i][1][shared:], vocab, share)) for i in range(twins)]
+    rng.shuffle(rows)
+    return [(i, " ".join(words)) for i, words in rows]
+
+
+def test_a_template_group_loses_only_its_copies(spark):
+    """Texts of likeness 0.6: none goes but for its copy."""
+    rng = random.Random(5)
+    rows = template(rng, [f"w{i}" for i in range(9000)], 300, 400, 100, 60, 0.04)
+    assert 0.55 < jaccard(rows[0][1], rows[1][1]) < 0.65
+    assert set(range(400)) <= kept_of(spark, rows)
