@@ -11,13 +11,8 @@ are no pairs within a group. (An index by one segment's bits alone would list al
 of the fingerprints that agree there.) Every link is found: of three fingerprints in
 one entry, all are within two bits of each other.
 
-``similar`` asks for a similarity of word shingles instead, such as 0.8, for which
-fingerprints of 64 bits are too short: it takes ``LANES_WIDE`` of them from as many hash
-functions, cut into ``TABLES`` segments of ``SEGMENT_BITS`` bits. Each segment is looked
-up, with its ball of radius 1, in the table of that segment's values; a value names its
-least fingerprint, so a group of any size gives one match a lookup. The whole distance
-proposes a link, as an estimate of the angle between the shingle sets; ``likeness.py`` decides
-it by the sets themselves.
+``one_of_each`` may ask for a similarity of word shingles instead, such as 0.8, which a
+fingerprint only estimates: that is decided by ``likeness.py``.
 
 Components come from the links by repeated star contraction with a checkpoint each.
 Null text counts as empty: fingerprint zero, linked like any other. A null id takes no
@@ -179,21 +174,6 @@ def grouped(found: DataFrame, spark: SparkSession, radius: int = RADIUS) -> Data
     return codes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
-def wide_prints(df: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, h (a hash of the text), prints and segments of every row, and fp, a hash of
-    its prints."""
-    schema = "doc_id long, h long, prints array<long>, segments array<long>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches):
-            found = fingerprints(b.column(1).to_pylist(), words, lanes=LANES_WIDE)
-            columns = {"prints": list(found.view(np.int64)), "segments": list(segments(found))}
-            yield rows(schema, {"doc_id": b.column(0), "h": b.column(2), **columns})
-
-    hashed = id_text(df, id_col, text_col).withColumn("h", F.xxhash64("text"))
-    return hashed.mapInArrow(run, schema).withColumn("fp", F.xxhash64("prints"))
-
-
 def differing_bits(similarity: float) -> int:
     """Bits in which wide fingerprints differ, if the texts share that part of their
     distinct shingles: the angle's share of a half turn, and half a standard deviation."""
@@ -202,27 +182,6 @@ def differing_bits(similarity: float) -> int:
     return round(size * share + 0.5 * math.sqrt(size * share * (1 - share)))
 
 
-def similar(
-    found: DataFrame, df: DataFrame, spark: SparkSession, words: int, similarity: float, text_col: str = "text"
-) -> DataFrame:
-    """(fp, root) as ``grouped``, for ``wide_prints`` of the texts of ``df`` at least so similar."""
-    from . import likeness  # which needs this module
-
-    codes = found.select("fp", "prints", "segments").dropDuplicates(["fp"])
-    table = codes.select("fp", F.explode("segments").alias("code")).groupBy("code").agg(F.min("fp").alias("least"))
-    ball = [F.col("s"), *(F.col("s").bitwiseXOR(F.lit(1 << bit)) for bit in range(SEGMENT_BITS))]
-    lookups = codes.select("fp", F.explode("segments").alias("s")).select("fp", F.explode(F.array(*ball)).alias("code"))
-    met = lookups.join(table, "code").where("fp <> least").select("fp", "least").distinct()
-    one, other = (codes.select(F.col("fp").alias(n), F.col("prints").alias(f"{n}_prints")) for n in ("fp", "least"))
-    pairs = met.join(one, "fp").join(other, "least")
-    distance = sum(F.bit_count(F.col("fp_prints")[k].bitwiseXOR(F.col("least_prints")[k])) for k in range(LANES_WIDE))
-    near = pairs.where(distance <= differing_bits(similarity))
-    edges = near.select(F.greatest("fp", "least").alias("u"), F.least("fp", "least").alias("v")).distinct()
-    edges = likeness.verified(settled(edges, spark), found, df, words, similarity, text_col)
-    roots = components(edges, spark).select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    return codes.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
-
-
 def near_copies(
     df: DataFrame,
     spark: SparkSession,
@@ -259,8 +218,10 @@ def one_of_each(
         found = settled(fingerprinted(df, words, id_col, text_col), spark)
         roots = grouped(found, spark, radius)
     else:
-        found = settled(wide_prints(df, words, id_col, text_col), spark)
-        roots = similar(found, df, spark, words, similarity, text_col)
+        from . import likeness  # which needs this module
+
+        found = settled(likeness.sketched(df, words, id_col, text_col), spark)
+        roots = likeness.grouped(found, df, spark, words, similarity, text_col)
     least = found.groupBy("fp").agg(F.min(rank).alias("least"))
     best = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
     kept = best.select(

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from lakemart.llm import likeness, simhash
 
 
@@ -15,6 +17,25 @@ def jaccard(a, b):
     return len(a & b) / len(a | b)
 
 
+def firsts(rows, similarity=0.8):
+    """By brute force: the smallest id of each component."""
+    rows = sorted(rows)
+    sets = [set(likeness.shingle_set(t, 5).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if top(i) != top(j) and both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    return {rows[top(i)][0] for i in range(len(rows))}
+
+
 def twin(rng, words, vocab, share):
     out = list(words)
     for _ in range(max(1, int(len(words) * share))):
@@ -22,6 +43,19 @@ def twin(rng, words, vocab, share):
     return out
 
 
+def test_every_pair_at_the_threshold_is_found(spark):
+    """Also at 0.8 to 0.85, where few of the segments of a fingerprint agree."""
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = []
+    for k in range(250):
+        words = rng.choices(vocab, k=200)
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(twin(rng, words, vocab, rng.uniform(0, 0.03))))]
+    near = [jaccard(rows[i][1], rows[i + 1][1]) for i in range(0, len(rows), 2)]
+    assert sum(0.8 <= j < 0.9 for j in near) > 50 and sum(j < 0.8 for j in near) > 30
+    assert kept_of(spark, rows) == firsts(rows)
+
+
 def template(rng, vocab, shared, n, own, twins, share):
     """Texts with a common passage, and near copies of some."""
     passage = rng.choices(vocab, k=shared)
@@ -37,3 +71,16 @@ def test_a_template_group_loses_only_its_copies(spark):
     rows = template(rng, [f"w{i}" for i in range(9000)], 300, 400, 100, 60, 0.04)
     assert 0.55 < jaccard(rows[0][1], rows[1][1]) < 0.65
     assert set(range(400)) <= kept_of(spark, rows)
+
+
+def test_least_values_estimate_the_likeness():
+    rng = np.random.default_rng(1)
+    a, b = (np.unique(x) for x in np.split(rng.integers(0, 1 << 63, 1800).astype(np.uint64), [900]))
+    b = np.unique(np.concatenate([b[:100], a[:800]]))
+    same = np.mean(likeness.least_values(a) == likeness.least_values(b))
+    assert abs(same - 0.8) < 0.08
+    codes = likeness.band_codes(np.stack([likeness.least_values(x) for x in (a, b)]))
+    assert len(set(codes[0].tolist())) == likeness.BANDS and (codes[0] == codes[1]).sum() > 2
+    assert likeness.least_alike(0.8) < 0.72 * likeness.BANDS * likeness.ROWS
+    # a pair of likeness 0.8 that shares no code
+    assert (1 - 0.8**likeness.ROWS) ** likeness.BANDS < 1e-7
