@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from lakemart.llm import likeness, simhash
 
@@ -65,12 +66,27 @@ def template(rng, vocab, shared, n, own, twins, share):
     return [(i, " ".join(words)) for i, words in rows]
 
 
-def test_a_template_group_loses_only_its_copies(spark):
-    """Texts of likeness 0.6: none goes but for its copy."""
+@pytest.mark.parametrize("block", [likeness.BLOCK, 16])
+def test_a_template_group_loses_only_its_copies(spark, monkeypatch, block):
+    """Texts of likeness 0.6: none goes but for its copy, and no copy stays, also where the
+    least text of a code is a foreign one."""
+    monkeypatch.setattr(likeness, "BLOCK", block)
     rng = random.Random(5)
     rows = template(rng, [f"w{i}" for i in range(9000)], 300, 400, 100, 60, 0.04)
     assert 0.55 < jaccard(rows[0][1], rows[1][1]) < 0.65
-    assert set(range(400)) <= kept_of(spark, rows)
+    kept = kept_of(spark, rows)
+    assert kept == firsts(rows) == set(range(400))
+
+
+def test_blocks_of_a_large_component(spark, monkeypatch):
+    monkeypatch.setattr(likeness, "BLOCK", 8)
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(9000)]
+    words = rng.choices(vocab, k=300)
+    rows = [(i, " ".join(twin(rng, words, vocab, 0.003))) for i in range(120)]
+    rows += [(200 + i, " ".join(twin(rng, words, vocab, 0.07))) for i in range(40)]
+    rows += [(300 + i, " ".join(twin(rng, rows[120 + i][1].split(), vocab, 0.005))) for i in range(40)]
+    assert kept_of(spark, rows) == firsts(rows)
 
 
 def test_least_values_estimate_the_likeness():
@@ -81,6 +97,6 @@ def test_least_values_estimate_the_likeness():
     assert abs(same - 0.8) < 0.08
     codes = likeness.band_codes(np.stack([likeness.least_values(x) for x in (a, b)]))
     assert len(set(codes[0].tolist())) == likeness.BANDS and (codes[0] == codes[1]).sum() > 2
-    assert likeness.least_alike(0.8) < 0.72 * likeness.BANDS * likeness.ROWS
+    assert likeness.least_alike(0.8) < 0.72 * likeness.VALUES
     # a pair of likeness 0.8 that shares no code
-    assert (1 - 0.8**likeness.ROWS) ** likeness.BANDS < 1e-7
+    assert (1 - 0.8**likeness.ROWS) ** likeness.BANDS < 1e-6
