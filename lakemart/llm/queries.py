@@ -8,7 +8,22 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, html_text, language, packing, pii, secrets, simhash, suffix_dedup, topk
+from . import (
+    byte_bpe,
+    conversations,
+    fingerprint,
+    html_text,
+    language,
+    oracle,
+    packing,
+    pii,
+    resampling,
+    secrets,
+    sharding,
+    simhash,
+    suffix_dedup,
+    topk,
+)
 from .common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +77,19 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(pages, spark.sparkContext.broadcast(html_text.learned(pages)))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resampled(documents, benchmark, spark)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), spark)
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.reports(conversations.damaged(table(spark, sf_dir, "conversations")), spark)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -73,9 +101,18 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprint": op9_fingerprint,
     "op10_html_text": op10_html_text,
+    "op11_resampling": op11_resampling,
+    "op12_sharding": op12_sharding,
+    "op13_conversations": op13_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
-#: None of the operators can be stated in SQL; tests/llm holds each one against a
+#: The other operators can't be stated in SQL; tests/llm holds each one against a
 #: brute-force version.
-LLM_ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+LLM_ORACLE: dict[str, str] = {
+    "op11_resampling": oracle.RESAMPLE,
+    "op12_sharding": oracle.SHARDS,
+    "op13_conversations": oracle.CONVERSATIONS,
+}
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
