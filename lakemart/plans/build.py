@@ -14,11 +14,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemart.operators.registry import KeyRegistry
 from lakemart.params import Params
 from lakemart.plans import gold as G
 from lakemart.plans.marts import build_marts
 from lakemart.plans.silver import build_silver, rejected_order_items
+from lakemart.sources import versions
 from lakemart.sources.files import read_layer, write_layer, write_tables
+from lakemart.sources.versions import Snapshot
 
 STAR_PARTITIONS = ("year", "month")
 
@@ -84,10 +87,22 @@ def build_keyed_layer(
     spark: SparkSession, silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], base: str
 ) -> dict[str, DataFrame]:
     """The star with surrogate keys, stored beside gold: dimensions first, then the facts
-    that read their keys from the stored dimensions."""
+    that read their keys from the stored dimensions.
+
+    Keys come from the registries below ``base``: a further load numbers what is new and
+    leaves every key given before, so facts stored earlier keep their meaning."""
     from lakemart.plans import keyed as K
 
-    dims = {t: K.build_keyed_table(t, silver, gold) for t in K.KEYED_TABLES if t.startswith("dim_")}
+    members = {
+        "dim_customer": (gold["dim_customers"], "customer_id", "customer_key"),
+        "dim_product": (gold["dim_products"], "product_id", "product_key"),
+        "dim_seller": (gold["dim_sellers"], "seller_id", "seller_key"),
+        "dim_payment": (silver["payments"].select("payment_type").distinct(), "payment_type", "payment_type_key"),
+    }
+    dims = {
+        table: KeyRegistry(spark, base, table.removeprefix("dim_"), key, name).load_and_key(df)
+        for table, (df, key, name) in members.items()
+    }
     write_tables(dims, base, "keyed")
     d = {t: read_layer(spark, base, "keyed", t) for t in dims}
     facts = {
@@ -100,6 +115,20 @@ def build_keyed_layer(
     return {**d, **{t: read_layer(spark, base, "keyed", t) for t in facts}}
 
 
+def build_published(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    base: str,
+    params: Params = Params(),
+    marts: bool = False,
+) -> Snapshot:
+    """The lake as a new version: readers see all of it or the version before. Returns
+    the version read anew."""
+    with versions.build(spark, base) as stage:
+        build_lake(spark, raw, stage.base, params, marts)
+    return versions.snapshot(spark, base, stage.version)
+
+
 def build_lake(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],

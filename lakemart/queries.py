@@ -63,7 +63,7 @@ register("filter_categories", _choices("dim_products", "category_name"))(
     lambda spark, d: D.filter_categories(lake(spark, d).gold)
 )
 register("filter_statuses", _choices("s_orders", "order_status"))(
-    lambda spark, d: D.filter_statuses(lake(spark, d).gold)
+    lambda spark, d: D.filter_statuses(lake(spark, d).silver["orders"])
 )
 
 
@@ -406,6 +406,58 @@ for _t, _sql in KEYED_SQL.items():
     )
 
 
+# ---- keys that stay over loads (W1, R1, R3): a stored registry ------------------------
+# Two loads: first the customers who have ordered, then all; the second load's new keys
+# follow the first one's, whose numbers stay. Facts are keyed after each load.
+
+def _two_loads(spark, d, query):
+    from lakemart.operators.registry import KeyRegistry
+
+    lk = lake(spark, d)
+    registry = KeyRegistry(spark, scratch_root(spark, query, d), "customer", "customer_id", "customer_key")
+    customers, ordered = lk.silver["customers"], lk.silver["orders"].select("customer_id")
+    registry.load(customers.join(ordered, "customer_id", "left_semi"))
+    first = registry.numbers().withColumn("load", _F.lit(1))
+    return registry, first, customers, lk
+
+
+def _registry_customers(spark, d):
+    """Every customer's key after the second load, and after the first where it had one."""
+    registry, first, customers, _ = _two_loads(spark, d, "registry-customers")
+    registry.load(customers)
+    registry.load(customers)  # finds nothing new
+    before = first.select("customer_id", _F.col("customer_key").alias("first_key"))
+    return registry.keyed(customers.select("customer_id")).join(before, "customer_id", "left")
+
+
+def _registry_facts(spark, d):
+    """Items keyed after the first load still name the same customers after the second:
+    revenue by state through the stored keys."""
+    registry, _, customers, lk = _two_loads(spark, d, "registry-facts")
+    items = registry.keyed(lk.gold["fact_sales"].select("customer_id", "price"))
+    root = f"{registry.root}/facts"
+    items.select("customer_key", "price").write.mode("overwrite").parquet(root)
+    dim = registry.load_and_key(customers.select("customer_id", "customer_state"))
+    return (
+        spark.read.parquet(root).join(dim.select("customer_key", "customer_state"), "customer_key")
+        .groupBy("customer_state").agg(_F.sum("price").alias("value"), _F.count("*").alias("items"))
+    )
+
+
+REGISTRY_CTES = """, numbered AS (
+  SELECT customer_id, loaded, ROW_NUMBER() OVER (ORDER BY loaded, customer_id NULLS FIRST) AS customer_key
+  FROM (SELECT customer_id, CASE WHEN customer_id IN (SELECT customer_id FROM s_orders) THEN 1 ELSE 2 END AS loaded
+        FROM s_customers))
+"""
+register("keyed_registry_customers", O.with_base(REGISTRY_CTES + """
+SELECT customer_id, customer_key, CASE WHEN loaded = 1 THEN customer_key END AS first_key FROM numbered"""))(
+    _registry_customers
+)
+register("keyed_registry_facts", O.with_base("""
+SELECT customer_state, SUM(price) AS value, COUNT(*) AS items
+FROM fact_sales JOIN s_customers USING (customer_id) GROUP BY customer_state"""))(_registry_facts)
+
+
 # ---- SCD type 2 on customers (R6) ----------------------------------------------------
 # Scenario over the whole customer table: the first load holds the customers who
 # have ordered; a later feed moves every customer with an open order to a new
@@ -575,6 +627,64 @@ register("live_revenue_trend", _trend_sql())(_live_trend)
 register("live_region_distribution", O.with_base(REGION_SQL))(_live_region)
 
 
+# The same views kept by changes alone: item versions come in four waves, the first with
+# wrong prices, states and further items, which later waves correct, take back and repeat.
+
+def _kept_cube(spark, d, name):
+    from lakemart.streaming.deltas import compact, keep_cube, read_kept
+
+    root = scratch_root(spark, name, d)
+    status = _F.coalesce(_F.col("order_status"), _F.lit(""))
+    item = ("order_item_id", "product_id", "seller_id", "listed")  # the number alone is not unique here
+    rows = star(spark, d).withColumn("listed", _F.col("price")).select(
+        "order_id", *item, "price", "freight_value", "customer_state", "year", "month",
+        _F.lit(2).cast("long").alias("seq"), _F.lit(False).alias("removed"), status.alias("status"),
+    )
+    rows.write.parquet(f"{root}/source")
+    rows = spark.read.parquet(f"{root}/source")
+    odd, moved = _F.col("order_id") % 7 == 0, _F.col("order_id") % 5 == 0
+    first = rows.where(status_is(rows, "F")).withColumns({
+        "price": _F.when(odd, _F.col("price") + 10).otherwise(_F.col("price")).cast("decimal(18,2)"),
+        "customer_state": _F.when(moved, _F.lit("NATION_0")).otherwise(_F.col("customer_state")),
+        "seq": _F.lit(1).cast("long"),
+    })
+    invented = first.withColumn("order_item_id", _F.col("order_item_id") + 100)
+    waves = [
+        first.unionByName(invented),
+        rows.where(status_is(rows, "O")).unionByName(invented.withColumns({"removed": _F.lit(True), "seq": _F.lit(3).cast("long")})),
+        rows.where(status_is(rows, "F")).unionByName(first),  # corrected, and the first wave again
+        rows.where(~status_is(rows, "F") & ~status_is(rows, "O")).unionByName(rows.where(status_is(rows, "O"))),
+    ]
+    schema = rows.drop("status").schema
+    for n, wave in enumerate(waves):
+        wave.drop("status").write.mode("append").parquet(f"{root}/incoming")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/incoming")
+        keep_cube(spark, stream, f"{root}/cube", f"{root}/ck", item_keys=item).awaitTermination()
+        if n == 1:
+            compact(spark, f"{root}/cube")
+    return read_kept(spark, f"{root}/cube")
+
+
+def status_is(rows, status):
+    return rows["status"] == _F.lit(status)
+
+
+def _kept_trend(spark, d):
+    from lakemart.streaming.live import revenue_trend
+
+    return revenue_trend(_kept_cube(spark, d, "kept-trend"))
+
+
+def _kept_region(spark, d):
+    from lakemart.streaming.live import region_distribution
+
+    return region_distribution(_kept_cube(spark, d, "kept-region"))
+
+
+register("live_changes_trend", _trend_sql())(_kept_trend)
+register("live_changes_region", O.with_base(REGION_SQL))(_kept_region)
+
+
 # ---- CSV sources and raw -> bronze ingestion (S1, S2, S4, S5, S6) --------------------
 # The logical raw tables are published as CSV files under the catalogue's file
 # names, ingested to bronze (all text) and rebuilt from text through the lenient
@@ -845,3 +955,77 @@ register("stored_kpis_state_year", _kpi_sql(**F_STATE_YEAR))(
 register("stored_monthly_trend_category_status", _trend_sql(**F_CAT_STATUS))(
     lambda spark, d: _stored_dashboard(spark, d, "stored-trend").monthly_trend(**F_CAT_STATUS)
 )
+
+
+# ---- distinct counts from the stored cube (A9, D2, D3, D6, D7) -----------------------
+
+def _stored_cube(spark, d, query):
+    from lakemart.plans.cube import store_cube
+
+    root = scratch_root(spark, query, d)
+    star(spark, d).write.parquet(f"{root}/star")  # stored once; five plans read it
+    return store_cube(spark, spark.read.parquet(f"{root}/star"), root)
+
+
+def _cube_question(question, filt):
+    from lakemart.plans import cube as C
+
+    return {
+        "kpis": lambda c: C.kpis(c, P, **filt),
+        "monthly_trend": lambda c: C.monthly_trend(c, **filt),
+        "segments": lambda c: C.segments(c, **filt),
+        "funnel": lambda c: C.funnel(c, **filt),
+    }[question]
+
+
+CUBE_SETTINGS = {
+    "kpis": {"": {}, "category_status": F_CAT_STATUS, "none_match": F_NONE_MATCH},
+    "monthly_trend": {"category_status": F_CAT_STATUS},
+    "segments": {"": {}, "state_year": F_STATE_YEAR},
+    "funnel": {"": {}, "category_status": F_CAT_STATUS},
+}
+
+for _question, _settings in CUBE_SETTINGS.items():
+    for _setting, _filt in _settings.items():
+        _name = f"cube_{_question}_{_setting}".rstrip("_")
+        register(_name, QUESTIONS[_question][0](**_filt))(
+            lambda spark, d, _n=_name, _q=_question, _f=_filt: _cube_question(_q, _f)(_stored_cube(spark, d, _n))
+        )
+
+
+# ---- versions of the lake: a build is seen whole or not at all (S4) -------------------
+
+def _versions(spark, d, query):
+    """Three builds: of all orders; one that stops between tables; of finished orders."""
+    from lakemart.plans.build import build_published
+    from lakemart.sources.adapter import raw_tables
+    from lakemart.sources.versions import build, snapshot
+
+    base, raw = scratch_root(spark, query, d), raw_tables(spark, d)
+    finished = {**raw, "orders": raw["orders"].where(_F.col("order_status") == "F")}
+    pinned = build_published(spark, raw, base, P)
+    try:
+        with build(spark, base) as stage:
+            lake(spark, d).silver["customers"].limit(0).write.parquet(f"{stage.base}/silver/customers")
+            raise InterruptedError
+    except InterruptedError:
+        kept = snapshot(spark, base)
+    latest = build_published(spark, finished, base, P)
+    return pinned, kept, latest
+
+
+def _version_dashboard(which):
+    from lakemart.plans.dashboard import Dashboard
+
+    return Dashboard.of(which.layer("gold"), P)
+
+
+register("versions_kept_kpis", _kpi_sql())(
+    lambda spark, d: _version_dashboard(_versions(spark, d, "versions-kept")[1]).kpis()
+)
+register("versions_pinned_trend", _trend_sql())(
+    lambda spark, d: _version_dashboard(_versions(spark, d, "versions-pinned")[0]).monthly_trend()
+)
+register("versions_latest_trend", _trend_sql(status="F"))(
+    lambda spark, d: _version_dashboard(_versions(spark, d, "versions-latest")[2]).monthly_trend()
+)
