@@ -11,10 +11,8 @@ are no pairs within a group. (An index by one segment's bits alone would list al
 of the fingerprints that agree there.) Every link is found: of three fingerprints in
 one entry, all are within two bits of each other.
 
-``one_of_each`` may ask for a similarity of word shingles instead, such as 0.8, which a
-fingerprint only estimates: that is decided by ``likeness.py``.
-
-Components come from the links by repeated star contraction with a checkpoint each.
+Components come from the links by repeated star contraction with a checkpoint each, until
+every link runs from a node that has no other to one that is no node's follower.
 Null text counts as empty: fingerprint zero, linked like any other. A null id takes no
 part in the smallest id; a component of null ids only has a null one. Repeated rows get
 the same answer each. An empty table gives an empty table; other columns are ignored.
@@ -22,7 +20,6 @@ the same answer each. An empty table gives an empty table; other columns are ign
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +33,6 @@ WORDS = 3
 RADIUS = 2
 SEED = 42
 SEGMENTS = 4
-LANES_WIDE = 4
-TABLES = 9
-SEGMENT_BITS = 28
 #: Shingles hashed at a time; bounds the memory for a long text.
 _STEP = 1 << 16
 
@@ -72,40 +66,20 @@ def shingle_hashes(text: str, words: int, seed: int = SEED) -> Iterator[bytes]:
         yield b"".join([digest(joined[i:j], seed) for i, j in zip(a, b, strict=True)])
 
 
-def _rehashed(values: np.ndarray, lane: int) -> np.ndarray:
-    """Further hash values of shingles, from their hashes (big-endian bytes, 8 a row)."""
-    if not lane:
-        return values
-    x = values.view(">u8").ravel().astype(np.uint64) + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))).astype(">u8").view(np.uint8).reshape(-1, 8)
-
-
-def fingerprints(texts: list[str], words: int = WORDS, seed: int = SEED, lanes: int = 1) -> np.ndarray:
-    """A row of ``lanes`` fingerprints (uint64) of each text; zero without words."""
-    counts = np.zeros((len(texts), lanes, 64), dtype=np.int64)
+def fingerprints(texts: list[str], words: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """The fingerprint (uint64) of each text; zero without words."""
+    counts = np.zeros((len(texts), 64), dtype=np.int64)
     sizes = np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
         for hashed in shingle_hashes(text, words, seed):
             values = np.frombuffer(hashed, dtype=np.uint8).reshape(-1, 8)
             sizes[i] += len(values)
-            for lane in range(lanes):
-                # a lane of one byte counts to 255
-                spread = LANES[_rehashed(values, lane)]
-                sums = np.add.reduceat(spread, np.arange(0, len(values), 255), axis=0)
-                counts[i, lane] += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    bits = (counts * 2 > sizes[:, None, None]).reshape(-1, 8, 8)
+            # a lane of one byte counts to 255
+            sums = np.add.reduceat(LANES[values], np.arange(0, len(values), 255), axis=0)
+            counts[i] += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    bits = (counts * 2 > sizes[:, None]).reshape(-1, 8, 8)
     packed = np.packbits(bits, axis=2, bitorder="little").reshape(-1, 8)
-    return packed.copy().view(">u8").astype(np.uint64).reshape(len(texts), lanes)
-
-
-def segments(prints: np.ndarray, tables: int = TABLES, bits: int = SEGMENT_BITS) -> np.ndarray:
-    """The first ``tables`` segments of rows of fingerprints, with the table's number above
-    the segment's bits."""
-    every = np.unpackbits(prints.astype(">u8").view(np.uint8).reshape(len(prints), -1), axis=1)
-    each = every[:, : tables * bits].reshape(len(prints), tables, bits).astype(np.int64)
-    return each @ (1 << np.arange(bits, dtype=np.int64)) + (np.arange(tables, dtype=np.int64) << bits)
+    return packed.copy().view(">u8").astype(np.uint64).ravel()
 
 
 def fingerprinted(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,7 +88,7 @@ def fingerprinted(df: DataFrame, words: int = WORDS, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
-            found = fingerprints(b.column(1).to_pylist(), words).ravel()
+            found = fingerprints(b.column(1).to_pylist(), words)
             columns = {"doc_id": b.column(0), "fp": found.view(np.int64)}
             yield rows(schema, {**columns, "h": b.column(2)})
 
@@ -144,18 +118,21 @@ def links(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return near.select(F.greatest("fp", "least").alias("u"), F.least("fp", "least").alias("v")).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one link at most and none both follows and is followed."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    met = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return met.where((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("into") == 1))).isEmpty()
+
+
 def components(edges: DataFrame, spark: SparkSession) -> DataFrame:
     """(u, v): each node with a link and the least node of its component, itself left out.
 
     Each round links the larger neighbours of a node to its least one, then the smaller
     ones; what remains are stars. Every round is checkpointed."""
-    now = settled(edges.select("u", "v"), spark)
-    state = None
-    while True:
-        tag = now.agg(F.count("u"), F.sum(F.hash("u", "v").cast("long"))).first()
-        if tag == state:
-            return now
-        state = tag
+    now = settled(edges.select("u", "v").where("u > v").distinct(), spark)
+    while not _stars(now):
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -164,6 +141,7 @@ def components(edges: DataFrame, spark: SparkSession) -> DataFrame:
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", "m"))
         now = settled(small.where("u > v").distinct(), spark)
+    return now
 
 
 def grouped(found: DataFrame, spark: SparkSession, radius: int = RADIUS) -> DataFrame:
@@ -174,14 +152,6 @@ def grouped(found: DataFrame, spark: SparkSession, radius: int = RADIUS) -> Data
     return codes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
-def differing_bits(similarity: float) -> int:
-    """Bits in which wide fingerprints differ, if the texts share that part of their
-    distinct shingles: the angle's share of a half turn, and half a standard deviation."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    size = 64 * LANES_WIDE
-    return round(size * share + 0.5 * math.sqrt(size * share * (1 - share)))
-
-
 def near_copies(
     df: DataFrame,
     spark: SparkSession,
@@ -206,37 +176,26 @@ def one_of_each(
     spark: SparkSession,
     words: int = WORDS,
     radius: int = RADIUS,
-    similarity: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """``df`` with one row of each component: the smallest id (null ids last; of equal
-    ids the text with the least hash; of rows alike, one). Rows belong together by
-    ``radius`` bits, or if given by ``similarity``."""
+    ids the text with the least hash; of rows alike, one)."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    if similarity is None:
-        found = settled(fingerprinted(df, words, id_col, text_col), spark)
-        roots = grouped(found, spark, radius)
-    else:
-        from . import likeness  # which needs this module
-
-        found = settled(likeness.sketched(df, words, id_col, text_col), spark)
-        roots = likeness.grouped(found, df, spark, words, similarity, text_col)
+    found = settled(fingerprinted(df, words, id_col, text_col), spark)
     least = found.groupBy("fp").agg(F.min(rank).alias("least"))
-    best = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
+    best = grouped(found, spark, radius).join(least, "fp").groupBy("root").agg(F.min("least").alias("least"))
     kept = best.select(
-        F.coalesce("least.doc_id", F.lit(0)).alias("__id"),
-        F.col("least.none").alias("__none"),
-        F.col("least.h").alias("__h"),
+        F.coalesce("least.doc_id", F.lit(0)).alias("id"), F.col("least.none").alias("none"), F.col("least.h").alias("h")
     ).distinct()
-    marked = df.withColumns(
-        {
-            "__id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
-            "__none": F.col(id_col).cast("long").isNull(),
-            "__h": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
-        }
+    # the input's columns ride in one struct, so that no name of theirs can clash
+    marked = df.select(
+        F.struct(*[df[c] for c in df.columns]).alias("row"),
+        F.coalesce(df[id_col].cast("long"), F.lit(0)).alias("id"),
+        df[id_col].cast("long").isNull().alias("none"),
+        F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))).alias("h"),
     )
-    keys = ["__id", "__none", "__h"]
+    keys = ["id", "none", "h"]
     alike = Window.partitionBy(*keys).orderBy(*keys)
-    left = marked.join(kept, keys, "left_semi").withColumn("__n", F.row_number().over(alike))
-    return left.where("__n = 1").select(*df.columns)
+    left = marked.join(kept, keys, "left_semi").withColumn("n", F.row_number().over(alike))
+    return left.where("n = 1").select(*[F.col("row")[c].alias(c) for c in df.columns])

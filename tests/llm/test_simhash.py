@@ -108,34 +108,20 @@ def jaccard(a, b):
     return len(a & b) / len(a | b)
 
 
-def test_similar_texts_meet_and_others_do_not(spark):
-    rng = random.Random(8)
-    vocab = [f"w{i}" for i in range(500)]
-    rows, twins = [], []
-    for k in range(120):
-        words = rng.choices(vocab, k=rng.randint(80, 400))
-        rows.append((10 * k, " ".join(words)))
-        changed = list(words)
-        for _ in range(max(1, int(len(words) * (0.005 if k % 2 else 0.15)))):
-            changed[rng.randrange(len(words))] = rng.choice(vocab)
-        rows.append((10 * k + 1, " ".join(changed)))
-        twins.append((10 * k, jaccard(rows[-2][1], rows[-1][1])))
-    rows += [(9000 + i, rows[0][1]) for i in range(50)] + [(9900, None), (9901, "")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r.doc_id for r in simhash.one_of_each(df, spark, words=5, similarity=0.8).collect()}
-    assert {i for i, _ in twins} <= kept and 9900 in kept
-    assert kept.isdisjoint(range(9000, 9050)) and 9901 not in kept
-    near = [i + 1 not in kept for i, j in twins if j >= 0.9]
-    assert len(near) > 40 and sum(near) / len(near) > 0.9
-    assert all(i + 1 in kept for i, j in twins if j < 0.6)
-
-
-def test_segments_are_the_leading_bits():
-    prints = simhash.fingerprints(["a b c d e f g", "x y z"], 5, lanes=4)
-    assert prints[0, 0] == simhash.fingerprints(["a b c d e f g"], 5)[0, 0] and len(set(prints[0].tolist())) == 4
-    found = simhash.segments(prints)
-    bits = "".join(f"{int(x):064b}" for x in prints[0])
-    for t in range(simhash.TABLES):
-        part = bits[t * simhash.SEGMENT_BITS : (t + 1) * simhash.SEGMENT_BITS]
-        assert found[0, t] == int(part[::-1], 2) + (t << simhash.SEGMENT_BITS)
-    assert simhash.differing_bits(1.0) == 0 and 38 <= simhash.differing_bits(0.8) <= 42
+def test_one_of_each_keeps_columns_of_clashing_names(spark):
+    rows = [(3, "a b c d", "x", 1, "p"), (1, "a b c d", "y", 2, "q"), (None, "a b c d", "z", 3, "r"), (5, "q w e r t", "v", 4, "s")]
+    schema = "doc_id long, text string, id string, n int, row string"
+    got = simhash.one_of_each(spark.createDataFrame(rows, schema), spark)
+    assert got.columns == ["doc_id", "text", "id", "n", "row"]
+    assert sorted(tuple(r) for r in got.collect()) == [rows[1], rows[3]]
+
+
+def test_components_of_long_chains(spark):
+    """Links in a chain, a star and a ring end as stars about their least node."""
+    pairs = [(i + 1, i) for i in range(200)] + [(1000 + i, 999) for i in range(1, 50)]
+    pairs += [(2000 + (i + 1) % 30, 2000 + i) for i in range(30)]
+    edges = spark.createDataFrame([(max(p), min(p)) for p in pairs], "u long, v long")
+    got = {r.u: r.v for r in simhash.components(edges, spark).collect()}
+    want = {i: 0 for i in range(1, 201)} | {1000 + i: 999 for i in range(1, 50)} | {2000 + i: 2000 for i in range(1, 30)}
+    assert got == want
+    assert simhash.components(edges.limit(0), spark).count() == 0
