@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, give_back, rows, shuffle_width, string_bytes
+from .common import blocks, give_back, rows, string_bytes
 
 N = 100
 #: Bytes that the rolling hash takes.
@@ -46,6 +46,8 @@ GRAM = 8
 SECTION = 1 << 20
 #: Phrases that a task gathers before it sends them: bounds its memory.
 GATHER = 1 << 18
+#: Bytes of text in a part of the corpus, and behind the phrases of a bucket, about.
+PART_BYTES = 6 << 20
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _FIRST = np.iinfo(np.int64).min
@@ -253,14 +255,18 @@ def settle(items: dict[str, np.ndarray], last: bool, here: bool) -> tuple[dict[s
 
 
 def _sent(items: dict[str, np.ndarray], spans: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A row a bucket of keys, columns packed; the spans decided go along, dealt evenly."""
-    bucket = (items["key"] >> _U(40)) % _U(buckets)
+    """A row for each bucket that any of the keys falls into, columns packed; the spans
+    decided go along, dealt evenly over these rows (or one, if there are no keys)."""
+    bucket = ((items["key"] >> _U(40)) % _U(buckets)).astype(np.int64)
     order = np.lexsort((items["lo"], items["doc"], bucket))
-    cuts = np.searchsorted(bucket[order], np.arange(1, buckets, dtype=np.uint64))
-    columns: dict[str, list] = {"bucket": [*range(buckets)]}
+    met = np.unique(bucket)
+    if not len(met):
+        met = np.array([int(spans["h"][0]) % buckets] if len(spans) else [], dtype=np.int64)
+    cuts = np.searchsorted(bucket[order], met[1:])
+    columns: dict[str, list] = {"bucket": met.astype(np.int32)}
     for name in ITEM:
-        columns[name] = [x.tobytes() for x in np.split(items[name][order], cuts)]
-    columns["spans"] = [x.tobytes() for x in np.array_split(spans, buckets)]
+        columns[name] = [x.tobytes() for x in np.split(items[name][order], cuts)][: len(met)]
+    columns["spans"] = [x.tobytes() for x in np.array_split(spans, max(1, len(met)))][: len(met)]
     return rows(SENT, columns)
 
 
@@ -426,14 +432,16 @@ def _judged(
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with what the steps need (and the other columns asked for), and the spans
     of repeated strings by part. All steps read the rows from one exchange."""
-    # a part sends a row to each bucket, so neither may be many times the shuffle's partitions
-    buckets = shuffle_width(spark)
-    parts = 2 * buckets
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST))
+    text = F.coalesce(df[text_col].cast("string"), F.lit(""))
+    # as many parts as the texts need, not as the shuffle has partitions; a bucket sends a
+    # row to each part that it has spans for, so there are never more rows than spans
+    held = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = buckets = max(1, -(-held // PART_BYTES))
+    doc = F.coalesce(df[id_col].cast("long"), F.lit(_FIRST))
     h = F.pmod(F.xxhash64(doc, text), F.lit(1 << 32))
+    carried = [df[c].alias(f"c{i}") for i, c in enumerate(others)]
     named = df.select(
-        text.alias("__text"), doc.alias("__doc"), h.alias("__h"), F.col(text_col).isNull().alias("__none"), *others
+        text.alias("__text"), doc.alias("__doc"), h.alias("__h"), df[text_col].isNull().alias("__none"), *carried
     )
     texts = named.withColumn("__part", F.pmod("__h", F.lit(parts)).cast("int"))
     spans = _resolved(_parsed(texts, n, buckets), False, parts)
@@ -486,7 +494,8 @@ def deduplicated(df: DataFrame, spark: SparkSession, n: int = N, id_col: str = "
             None if none else _removed(part, i, n)[0].decode(errors="ignore")
             for i, none in enumerate(left["__none"].to_pylist())
         ]
-        return part.table.select(others).add_column(at, text_col, pa.array(texts, pa.string()))
+        kept = part.table.select([f"c{i}" for i in range(len(others))]).rename_columns(others)
+        return kept.add_column(at, text_col, pa.array(texts, pa.string()))
 
     texts, spans = _judged(df, spark, n, id_col, text_col, others)
     return texts.groupBy("__part").cogroup(spans.groupBy("part")).applyInArrow(run, schema)
