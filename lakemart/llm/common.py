@@ -136,6 +136,47 @@ def acyclic() -> Iterator[None]:
             gc.enable()
 
 
+class Remembered:
+    """Values by word in two generations of about ``limit`` words: when the young one is
+    full it becomes the old one, and what is asked for again moves back to the young. So
+    common words stay, however many rare ones pass. Words of over ``longest`` characters
+    are forgotten after their block, which bounds the bytes too."""
+
+    def __init__(self, limit: int, longest: int = 64):
+        self.limit, self.longest = limit, longest
+        self.young: dict = {}
+        self.old: dict = {}
+        self.once: list = []
+
+    def lacking(self, wanted: set) -> set:
+        """Which of the words must be learnt; all others are in ``young`` from now on."""
+        for word in self.once:
+            self.young.pop(word, None)
+        new = wanted.difference(self.young)
+        if self.young and len(self.young) + len(new) > self.limit:
+            self.old, self.young, new = self.young, {}, wanted
+        old, young = self.old, self.young
+        found = [word for word in new if word in old]
+        for word in found:
+            young[word] = old[word]
+        new = new.difference(found)
+        self.once = [word for word in new if len(word) > self.longest]
+        return new
+
+    def get(self, word):
+        """One word's value or None."""
+        value = self.young.get(word)
+        if value is None and (value := self.old.get(word)) is not None:
+            self.put(word, value)
+        return value
+
+    def put(self, word, value) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        if len(word) <= self.longest:
+            self.young[word] = value
+
+
 def id_remainder(id_col: Column, divisor: int) -> Column:
     """crc32 of the id as decimal text, modulo ``divisor`` (null id: the empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % divisor

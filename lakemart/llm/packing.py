@@ -28,15 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import byte_letters
-from .common import acyclic, blocks, give_back, id_text, names, rows, settled
+from .common import Remembered, acyclic, blocks, give_back, id_text, names, rows, settled
 
 CAPACITY = 2048
 #: Pieces that a group packs at a time, about; one task holds one group.
 GROUP = 1 << 14
 #: Rounds of exchange at most; each one packs the rest of the round before.
 ROUNDS = 4
-#: Words that a task remembers; beyond it the memory starts afresh.
-REMEMBERED = 600_000
+#: Words that a worker remembers in a generation, over its tasks; there are two.
+REMEMBERED = 250_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 _TRAIL = ".,!?;:#$%&*"
@@ -59,18 +59,18 @@ class Words:
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
         self.model, self.letters = self.whole.model, byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.known = Remembered(REMEMBERED)
+        self.stems = Remembered(REMEMBERED // 2)
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
         return np.array(ids, dtype="<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        new = words.difference(self.known)
-        if len(new) + len(self.known) > REMEMBERED:
-            self.known, self.stems, new = {}, {}, words
-        known, stems, rest = self.known, self.stems, []
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words, these among others."""
+        new = self.known.lacking(words)
+        known, stems, rest = self.known.young, self.stems, []
+        trails: dict[str, bytes] = {}
         for word in new:
             stem = word.rstrip(_TRAIL)
             if not stem or max(stem) > "\xff" or not stem.isalpha():
@@ -79,24 +79,22 @@ class Words:
             low = stem.lower()
             if (ids := stems.get(low)) is None:
                 text = "".join([self.letters[b] for b in low.encode()])
-                ids = stems[low] = self.packed([x.id for x in self.model.tokenize(text)])
+                ids = self.packed([x.id for x in self.model.tokenize(text)])
+                stems.put(low, ids)
             if len(stem) < len(word):
                 trail = word[len(stem) :]
-                if trail not in known:
+                if trail not in trails:
                     found = self.whole.encode(trail, add_special_tokens=False)
-                    known[trail] = self.packed(found.ids)
-                ids += known[trail]
+                    trails[trail] = self.packed(found.ids)
+                ids += trails[trail]
             known[word] = ids
         for word, found in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[word] = self.packed(found.ids)
-
-    def forget(self) -> None:
-        self.known, self.stems = {}, {}
+        return known
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in _ODD) else t.split() for t in texts]
-        self.learn(set().union(*(w for w in split if w)))
-        known = self.known
+        known = self.learn(set().union(*(w for w in split if w)))
         return [
             self.packed(self.whole.encode(t, add_special_tokens=False).ids)
             if words is None
@@ -145,7 +143,6 @@ def pieces(
                         if with_ids:
                             out["ids"].append(part)
                 yield rows(schema, out)
-        tokens.forget()
         give_back()
 
     return id_text(df, id_col, text_col).mapInArrow(run, schema)
