@@ -22,10 +22,10 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import acyclic, blocks, id_text, rows
+from .common import Remembered, acyclic, blocks, id_text, rows
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Pre-tokens whose ids a worker remembers; beyond it the memory starts afresh.
+#: Pieces of text whose ids a worker remembers in a generation; there are two.
 REMEMBERED = 250_000
 
 
@@ -84,15 +84,14 @@ class Codec:
         self.letters = byte_letters()
         self.matches = regex.compile(pattern).findall
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(self.tokens))
-        self.known: dict[str, list[int]] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces of text not yet remembered, pre-token by pre-token: a whole
-        token is its own id, the rest goes through the model."""
-        new = pieces.difference(self.known)
-        if len(new) + len(self.known) > REMEMBERED:
-            self.known, new = {}, pieces
-        known, rank, letters, rest, parts = self.known, self.rank, self.letters, [], []
+        self.known = Remembered(REMEMBERED)
+
+    def learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of pieces of text, these among others. What isn't remembered is encoded
+        pre-token by pre-token: a whole token is its own id, the rest goes through the
+        model."""
+        new = self.known.lacking(pieces)
+        known, rank, letters, rest, parts = self.known.young, self.rank, self.letters, [], []
         for piece in new:
             if (whole := rank.get(piece.encode())) is not None and len(self.matches(piece)) == 1:
                 known[piece] = (whole,)
@@ -111,6 +110,7 @@ class Codec:
             known[piece] = tuple(
                 chain.from_iterable([next(found) if i is None else (i,) for i in ids])
             )
+        return known
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text. A match never holds a space but at its start, unless
@@ -122,8 +122,7 @@ class Codec:
             else t.replace(" ", "\0 ").split("\0")
             for t in texts
         ]
-        self.learn(set().union(*split))
-        known = self.known
+        known = self.learn(set().union(*split))
         return [list(chain.from_iterable([known[w] for w in words])) for words in split]
 
     def decode(self, ids: list[int]) -> bytes:
