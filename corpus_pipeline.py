@@ -34,9 +34,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies (of the shingles of five words
-    80 % alike): the smallest id."""
-    return simhash.one_of_each(docs, spark, words=5, similarity=0.8)
+    """One document of each group that fingerprints of three-word shingles link at two
+    differing bits or fewer: the smallest id."""
+    return simhash.one_of_each(docs, spark, words=simhash.WORDS, radius=simhash.RADIUS)
 
 
 def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
