@@ -2,21 +2,25 @@
 
 Every text is scanned for three kinds of secret. Then a worklist of layers, at first
 the text itself, is worked off: URL escapes and Unicode escapes are undone all over a
-layer, base64 runs are decoded one by one, and what decodes to compressed data (gzip,
-zlib, bzip2, xz) is unpacked. Each new layer is scanned and listed in turn, unless the
+layer, base64 runs are decoded one by one, and what any of them decodes to compressed data
+(gzip, zlib, bzip2, xz) is unpacked: all streams that follow one another, a broken or
+cut-off one as far as it goes, and streams in streams until one comes again. A base64 run
+that is no text as a whole is also tried from each ``/``, ``-``, ``_`` and ``+`` on, as
+behind a path. Each new layer is scanned and listed in turn, unless the
 same text came from the same places before, until none is left. A finding is mapped back,
 layer by layer, to the code points of the text that it came from; a text that stands
 encoded at several places has its findings at each of them.
 
 Null text counts as empty. Spans found twice are named once. Repeated rows get the same
 answer each; an empty table gives an empty table; other columns are ignored. Texts are
-scanned whole. Compressed data beyond ``UNPACKED`` bytes is not opened (a bomb).
+scanned whole. A stream of over ``UNPACKED`` bytes is scanned in pieces of that size, each
+beginning with the last ``OVERLAP`` bytes of the one before: what is encoded there in more
+bytes than that may be read in two parts.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -32,7 +36,10 @@ from pyspark.sql import DataFrame
 from .common import blocks, id_text, rows, string_bytes
 
 KINDS = ("assign", "access", "hex")
-UNPACKED = 64 << 20
+UNPACKED = 8 << 20
+OVERLAP = 1 << 20
+#: Bytes of a compressed stream that are unpacked at a time.
+_FED = 1 << 16
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
 # The patterns of the three kinds.
@@ -48,7 +55,14 @@ _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa
 _ONE_UNICODE = re.compile(r"\\(?:u\{([0-9A-Fa-f]+)\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
 #: One run, or lines of one length each as in mail.
 _BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{60,76}\r?\n)*[A-Za-z0-9+/_-]{16,}={0,2}")
-_MIXED = re.compile(r".[a-z]*[A-Z0-9]", re.S)
+_MIXED = re.compile(r"[A-Z0-9]")
+#: Letters of base64 that may end what a run is glued to, and text in decoded bytes of a
+#: size that can hold a finding.
+_GLUE = re.compile(r"[+/_-]+")
+_TEXT = re.compile(rb"[\t\r\n\x20-\x7e\x80-\xff]{12,}")
+#: Escapes of bytes that stand between letters left as they are.
+_URL_BYTES = re.compile(r"%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[!-$&-~])+")
+_HEX_BYTES = re.compile(r"\\x[0-9A-Fa-f]{2}(?:\\x[0-9A-Fa-f]{2}|[!-\[\]-~])+")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00")
 
 Span = tuple[int, int, str]
@@ -94,12 +108,15 @@ class Layer:
         return self.text, places.digest()
 
 
-def _from_bytes(data: bytes, a: np.ndarray, b: np.ndarray) -> Layer | None:
-    """A layer of UTF-8 bytes that came from the parts ``a`` to ``b``, if they are text."""
+def _from_bytes(data: bytes, a: np.ndarray, b: np.ndarray, latin: bool = False) -> Layer | None:
+    """A layer of UTF-8 bytes that came from the parts ``a`` to ``b``, if they are text;
+    on request of Latin-1 bytes, where they are no UTF-8."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
-        return None
+        return Layer(data.decode("latin-1"), a, b) if latin else None
+    if latin and text.isascii():
+        return Layer(text, a, b)
     if not text or sum(c.isprintable() or c in "\t\r\n" for c in text) < 0.9 * len(text):
         return None
     sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
@@ -130,7 +147,7 @@ def _unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 def _url(run: str) -> tuple[str, np.ndarray, np.ndarray] | None:
     data = bytes.fromhex(run.replace("%", ""))
     at = np.arange(len(data)) * 3
-    got = _from_bytes(data, at, at + 3)
+    got = _from_bytes(data, at, at + 3, latin=True)
     return got and (got.text, got.start, got.end)
 
 
@@ -152,50 +169,127 @@ def _unicode(run: str) -> tuple[str, np.ndarray, np.ndarray] | None:
     return "".join(map(chr, units)), np.array(left), np.array(right)
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """What a compressed stream holds; None if it is none, broken or too large."""
-    try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
+def _members(data: bytes) -> Iterator[bytes]:
+    """What the compressed streams at the start of ``data`` hold, bit by bit; it ends where
+    no further stream follows, or one breaks off."""
+    at = 0
+    while data.startswith(_MAGIC, at):
+        began, zipped = at, data[at] in (0x1F, 0x78)
+        if zipped:
             stream = zlib.decompressobj(47)
-            out = stream.decompress(data, UNPACKED + 1)
         else:
-            stream = bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor()
-            out = stream.decompress(data, UNPACKED + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        return None
-    return out if len(out) <= UNPACKED and stream.eof else None
+            stream = bz2.BZ2Decompressor() if data.startswith(b"BZh", at) else lzma.LZMADecompressor()
+        try:
+            while not stream.eof:
+                chunk = stream.unconsumed_tail if zipped else b""
+                if not chunk and (zipped or stream.needs_input):
+                    chunk = data[at : at + _FED]
+                    at += len(chunk)
+                    if not chunk:
+                        yield stream.flush() if zipped else b""
+                        return
+                yield stream.decompress(chunk, _FED)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            return
+        at -= len(stream.unused_data)
+        if at <= began:
+            return
+
+
+def _unpacked(data: bytes) -> Iterator[bytes]:
+    """What compressed data holds, in pieces of ``UNPACKED`` bytes that overlap."""
+    held = bytearray()
+    for part in _members(data):
+        held += part
+        if len(held) >= UNPACKED:
+            yield bytes(held)
+            del held[: -min(OVERLAP, UNPACKED // 8)]
+    if held:
+        yield bytes(held)
+
+
+def _opened(data: bytes) -> Iterator[bytes]:
+    """The innermost contents of compressed data: what is no stream itself. Contents met
+    before, as in a stream that unpacks to itself, are not opened again."""
+    work, seen = [data], set()
+    while work:
+        for piece in _unpacked(work.pop()):
+            digest = hashlib.blake2b(piece, digest_size=16).digest()
+            if digest in seen:
+                continue
+            seen.add(digest)
+            if piece.startswith(_MAGIC):
+                work.append(piece)
+            else:
+                yield piece
+
+
+def _contents(data: bytes, place: Span) -> Iterator[Layer]:
+    """Layers of compressed data's contents, which all stand at one place."""
+    for inner in _opened(data):
+        size = len(inner)
+        if got := _from_bytes(inner, np.full(size, place[0]), np.full(size, place[1])):
+            yield got
+
+
+def _decoded(body: str) -> bytes:
+    """The bytes of base64 letters; a last letter on its own holds none."""
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
     for m in _BASE64.finditer(layer.text):
         run = m[0]
-        if not _MIXED.match(run):
-            continue  # a word: encoded text has capitals or digits within
+        if not _MIXED.search(run):
+            continue  # a word: no letters of a keyword or of a stream's head are all small
         kept = np.array([i for i, c in enumerate(run) if c not in "=\r\n"])
         body = "".join(run.splitlines()).rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except binascii.Error:
-            continue
-        whole = layer.mapped((m.start(), m.end(), ""))
-        unpacked, wrapped = data, False
-        while unpacked is not None and unpacked.startswith(_MAGIC):
-            inner = _unpacked(unpacked)
-            if inner is None:
-                break
-            unpacked, wrapped = inner, True
-        if wrapped:
-            size = len(unpacked)
-            got = _from_bytes(unpacked, np.full(size, whole[0]), np.full(size, whole[1]))
-        else:
+        place = layer.mapped((m.start(), m.end(), ""))
+
+        def parts(data: bytes, skipped: int, body_size: int = len(body), kept: np.ndarray = kept, begin: int = m.start()):
             # byte k holds bits of the letters 4k/3 and the one after it
             at = np.arange(len(data))
-            first, last = m.start() + kept[at * 4 // 3], m.start() + kept[at * 4 // 3 + 1]
-            got = _from_bytes(data, layer.start[first], layer.end[last])
-        if got is not None:
+            left, right = skipped + at * 4 // 3, np.minimum(skipped + at * 4 // 3 + 1, body_size - 1)
+            return data, layer.start[begin + kept[left]], layer.end[begin + kept[right]]
+
+        data = _decoded(body)
+        if data.startswith(_MAGIC):
+            yield from _contents(data, place)
+            continue
+        if len(body) % 4 != 1 and (got := _from_bytes(*parts(data, 0))):
             yield got
+            continue
+        # glued to something: each alignment is decoded once, and read from where a part begins
+        aligned: dict[int, bytes] = {}
+        read_to = {a: 0 for a in range(4)}
+        for glue in _GLUE.finditer(body):
+            for begin in range(glue.start() + 1, glue.end() + 1):
+                a = begin % 4
+                if len(body) - begin < 16:
+                    continue
+                if a not in aligned:
+                    aligned[a] = _decoded(body[a:])
+                at = (begin - a) // 4 * 3
+                if aligned[a].startswith(_MAGIC, at):
+                    yield from _contents(aligned[a][at:], place)
+                elif at >= read_to[a] and (text := _TEXT.match(aligned[a], at)):
+                    read_to[a] = text.end()
+                    whole = text[0].decode(errors="ignore").encode()
+                    if whole and text[0].startswith(whole) and (got := _from_bytes(*parts(whole, begin))):
+                        yield got
+
+
+def _escaped_bytes(layer: Layer) -> Iterator[Layer]:
+    """Layers of compressed data that stands as escaped bytes."""
+    for pattern, sign in ((_URL_BYTES, "%"), (_HEX_BYTES, "\\x")):
+        if sign in layer.text:
+            for m in pattern.finditer(layer.text):
+                data = re.sub(
+                    rf"{re.escape(sign)}([0-9A-Fa-f]{{2}})".encode(), lambda x: bytes([int(x[1], 16)]), m[0].encode()
+                )
+                if data.startswith(_MAGIC):
+                    yield from _contents(data, layer.mapped((m.start(), m.end(), "")))
 
 
 def unwrapped(layer: Layer) -> Iterator[Layer]:
@@ -204,6 +298,7 @@ def unwrapped(layer: Layer) -> Iterator[Layer]:
         yield got
     if "\\" in layer.text and (got := _unescaped(layer, _UNICODE, _unicode)):
         yield got
+    yield from _escaped_bytes(layer)
     yield from _base64(layer)
 
 
@@ -260,7 +355,7 @@ def suspects(column: pa.Array) -> np.ndarray:
     percent = np.flatnonzero(raw[:-2] == ord("%"))
     either = _HEXES | _class(b"ABCDEF")
     places = [
-        start[inner[end] > inner[start + 1]],
+        start[inner[end] > inner[start]],
         _runs(_HEXES[raw], first, 24)[0],
         np.flatnonzero(raw == ord("\\")),
         percent[either[raw[percent + 1]] & either[raw[percent + 2]]],

@@ -84,7 +84,8 @@ def test_lines_of_base64_and_clean_text():
 def test_cycles_and_bombs(monkeypatch):
     assert secrets.scan("%2525252525")[1] == []
     monkeypatch.setattr(secrets, "UNPACKED", 1000)
-    assert secrets.scan(b64(gzip.compress(b"password=abcdefgh " * 1000)))[1] == []
+    bomb = b64(gzip.compress(b"password=abcdefgh " * 1000))  # scanned in pieces
+    assert secrets.scan(bomb)[1] == [(0, len(bomb), "assign")]
 
 
 def rows_of(doc_rows):
@@ -138,3 +139,49 @@ def test_wrappings_that_decode_alike():
     spans = secrets.scan(text)[1]
     assert len([s for s in spans if s[2] == "assign"]) == 6
     assert secrets.scan(secrets.masked(text, spans, "[SECRET]"))[1] == []
+
+
+SECRET = b"here is token=abcdef123456 ok"
+
+
+@pytest.mark.parametrize(
+    "text, span",
+    [
+        ("https://h/path/" + b64(SECRET), None),
+        ("key-" + b64(SECRET), None),
+        ("a_b/" + b64(gzip.compress(SECRET)), None),
+        ("bmc/dG9rZW49YWJjZGVmMTI=", (4, 23)),
+        ("%E9t%E9%20" + WRAPS["url"]("token=abcdef12"), None),
+        (b64(gzip.compress(b"hello") + gzip.compress(SECRET)), None),
+        (b64(zlib.compress(SECRET * 50)[:-8]), None),
+        (b64(bz2.compress(b"x" * 9) + bz2.compress(SECRET)), None),
+        (quote(gzip.compress(SECRET)), None),
+        ("".join(f"\\x{b:02x}" for b in zlib.compress(SECRET)), None),
+        (b64(gzip.compress(bz2.compress(lzma.compress(SECRET)))), None),
+    ],
+)
+def test_glued_cut_and_joined(text, span):
+    """Behind a path, in a second or a cut-off stream, in bytes that are escaped."""
+    found = secrets.scan(f"so {text} is")[1]
+    assert [k for *_, k in found] == ["assign"], found
+    a, b, _ = found[0]
+    assert 3 <= a < b <= 3 + len(text)
+    if span:
+        assert (a - 3, b - 3) == span
+
+
+def test_stream_that_unpacks_to_itself(monkeypatch):
+    data = gzip.compress(b"a")
+    monkeypatch.setattr(secrets, "_members", lambda d: iter([d]))
+    assert list(secrets._opened(data)) == []
+    assert secrets.scan(b64(data))[1] == []
+
+
+def test_large_streams_in_pieces(monkeypatch):
+    monkeypatch.setattr(secrets, "UNPACKED", 1000)
+    monkeypatch.setattr(secrets, "OVERLAP", 100)
+    rng = random.Random(2)
+    for at in (10, 950, 995, 1895, 5000):
+        filler = "".join(rng.choices("xyz .", k=6000))
+        text = filler[:at] + " secret=hunter2x " + filler[at:]
+        assert [k for *_, k in secrets.scan(b64(gzip.compress(text.encode())))[1]] == ["assign"], at
