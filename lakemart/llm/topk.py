@@ -13,8 +13,8 @@ every group of row blocks, which is the work that exhaustive search has.
 Vectors that are null or hold null or non-finite components, and rows with a null id,
 take no part. Vectors of unlike lengths share the terms both have; one without non-zero
 weights scores 0. Ties go to the smaller id. A row is never its own candidate, while
-others of the same id or vector are. Weights are limited to 2**28 either way, so that
-scores fit a long. An empty table gives an empty table; other columns are ignored.
+others of the same id or vector are. Weights and scores are exact within 2**62 either way;
+what does not fit a long is given as that limit. An empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ from .common import rows, settled, shuffle_width
 K = 20
 SCALE = 64
 DIVISOR = 20
-LIMIT = 1 << 28
+#: Weights and scores beyond it, either way, are given as it: they don't fit a long.
+LIMIT = 1 << 62
 #: Rows in a block, at most, and queries scored at a time.
 BLOCK = 4096
 COLUMNS = 64
@@ -63,7 +64,8 @@ def weights(vectors: pa.Array, scale: int = SCALE) -> tuple[np.ndarray, np.ndarr
 
 def _narrow(w: np.ndarray) -> np.ndarray:
     most = int(np.abs(w).max()) if w.size else 0
-    return w.astype(np.int8 if most < 128 else np.int16 if most < 1 << 15 else np.int32)
+    kinds = (np.int8, np.int16, np.int32)
+    return w.astype(next((k for k in kinds if most <= np.iinfo(k).max), np.int64))
 
 
 def _blocks(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -134,7 +136,9 @@ def accumulate(q: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Scores of all rows ``w`` (down) for the queries ``q`` (across), term at a time."""
     terms = min(q.shape[1], w.shape[1])
     reach = int(np.abs(q.astype(np.int64)).max(initial=0)) * int(np.abs(w.astype(np.int64)).max(initial=0))
-    kind = np.int32 if reach * max(1, terms) < 1 << 31 else np.int64
+    reach *= max(1, terms)
+    # what may not fit longs is summed in Python's integers, so that only results are cut
+    kind = np.int32 if reach < 1 << 31 else np.int64 if reach < LIMIT else object
     q = q.astype(kind)
     scores = np.zeros((len(w), len(q)), dtype=kind)
     product = np.empty_like(scores)
@@ -149,7 +153,7 @@ def accumulate(q: np.ndarray, w: np.ndarray) -> np.ndarray:
             scores += np.multiply(weight[:, None], row, out=product)
         else:
             scores[ids] += weight[:, None] * row
-    return scores
+    return np.clip(scores, -LIMIT, LIMIT).astype(np.int64) if kind is object else scores
 
 
 def best(scores: np.ndarray, k: int) -> np.ndarray:

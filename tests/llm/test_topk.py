@@ -22,7 +22,7 @@ def brute(rows, k, divisor=20):
     for a, (i, v) in enumerate(valid):
         if i % divisor == 0:
             scored = sorted(
-                (-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(valid) if b != a
+                (-max(-topk.LIMIT, min(topk.LIMIT, sum(x * y for x, y in zip(v, w)))), j) for b, (j, w) in enumerate(valid) if b != a
             )
             for r, (s, j) in enumerate(scored[:k], 1):
                 out[i, r, j, -s] += 1
@@ -65,3 +65,15 @@ def test_accumulate_is_the_inner_product():
         q = rng.integers(-40, 40, (9, 30)) * (rng.random((9, 30)) < density)
         w = rng.integers(-40, 40, (50, 33)) * (rng.random((50, 33)) < density)
         assert np.array_equal(topk.accumulate(q, w), w[:, :30] @ q.T)
+
+
+def test_large_weights_are_exact(spark):
+    rows = [(20, [1e7, 2.0]), (1, [1e7, 1.0]), (2, [-3e7, 4.0]), (3, [3e7, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    w = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    want = sorted(((sum(a * b for a, b in zip(w[20], w[i], strict=True)), i) for i in (1, 2, 3)), key=lambda x: (-x[0], x[1]))
+    assert [(r.score, r.vec_id) for r in topk.search(df, spark).orderBy("rank").collect()] == want
+    vast = spark.createDataFrame([(20, [1e30]), (1, [1.0]), (2, [-1e30])], "vec_id long, embedding array<double>")
+    assert [(r.score, r.vec_id) for r in topk.search(vast, spark).orderBy("rank").collect()] == [
+        (topk.LIMIT, 1), (-topk.LIMIT, 2)
+    ]
