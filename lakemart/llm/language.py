@@ -14,7 +14,6 @@ columns are read. Texts are taken whole.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +31,6 @@ BUCKET_BITS = 16
 PER_LANG = 4000
 UNKNOWN = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
-_LETTER = re.compile(r"[^\W\d_]")
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
@@ -62,7 +60,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        told = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        told = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         if not self.langs or not told:
             return langs, scores
         found, starts = grams([texts[i] for i in told])

@@ -73,3 +73,8 @@ def test_nothing_to_learn_from(spark, docs):
 def test_sample_is_bounded(spark, documents):
     few = language.fit(documents, per_lang=20)
     assert few.langs == ["de", "en", "es", "fr"]
+
+
+def test_signs_that_are_no_letters():
+    model = language.Model(["aa"], np.zeros(1), np.zeros((1, 1 << language.BUCKET_BITS), np.float32))
+    assert model.predict(["½ ² ① 12 _", "½ a", None, "ª"])[0] == ["und", "aa", "und", "aa"]
