@@ -42,11 +42,12 @@ CHANGE = 4.0
 
 # Kinds of elements.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe template xmp svg math noembed noframes".split())
+_RAW = frozenset("script style textarea title noscript iframe template svg noembed noframes".split())
 _SILENT = frozenset("head select option optgroup button datalist object audio video canvas map".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rb rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
+    "s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle semantics".split()
 )
 #: An opening tag ends the open element of these names, if one is nearer than the stop.
 _ENDS = {
@@ -170,6 +171,14 @@ def parse(text: str) -> Page:
                 if tag in ("p", "br"):
                     page.pieces.append((-1, " "))
             continue
+        if tag == "xmp":  # text as it stands, marks and references too
+            stop = re.compile(r"</xmp(?=[\s/>])[^>]*+>?", re.I).search(text, at)
+            page.pieces.append((-1, " "))
+            if not open_[-1][3]:
+                page.pieces.append((open_[-1][1], text[at : stop.start() if stop else size]))
+            page.pieces.append((-1, " "))
+            at = stop.end() if stop else size
+            continue
         if tag in _RAW and not m[3].endswith("/"):
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>?", re.I).search(text, at)
             at = stop.end() if stop else size

@@ -102,3 +102,8 @@ def test_odd_rows(spark, pages, trees):
     assert len(got) == 5 and {(r.page_id, r.text) for r in got if r.page_id in (1, 2)} == {(1, ""), (2, "")}
     assert H.main_text(df.limit(0), shared).count() == 0
     assert H.learned(df.limit(0)).values  # nothing marked: learns from the built-in page
+
+
+def test_formulas_and_listings_are_text():
+    page = H.parse("<body><p>Area is <math><mi>r</mi><mo>=</mo><mn>2</mn></math> here.</p><xmp>a <b> &amp;</xmp></body>")
+    assert " ".join("".join(piece for _, piece in page.pieces).split()) == "Area is r=2 here. a <b> &amp;"
