@@ -1029,3 +1029,43 @@ register("versions_pinned_trend", _trend_sql())(
 register("versions_latest_trend", _trend_sql(status="F"))(
     lambda spark, d: _version_dashboard(_versions(spark, d, "versions-latest")[2]).monthly_trend()
 )
+
+
+# ---- gold by changes: a new silver rewrites the months it touches (G6, G8, R9) --------
+# The first load lacks the orders of two months; the second one has them all.
+
+REFRESH_MONTHS = ("1996-03", "1997-07")
+
+
+def _refreshed(spark, d, query, known=False):
+    """The version after the second load; ``known``: the loader names the orders."""
+    from lakemart.plans.build import build_silver_layer
+    from lakemart.plans.refresh import refresh_gold
+    from lakemart.sources.adapter import raw_tables
+
+    base = scratch_root(spark, query, d)
+    silver = build_silver_layer(spark, raw_tables(spark, d), base)
+    late = _F.date_format("order_purchase_timestamp", "yyyy-MM").isin(*REFRESH_MONTHS)
+    orders = silver["orders"]
+    refresh_gold(spark, {**silver, "orders": orders.where(~_F.coalesce(late, _F.lit(False)))}, base, P)
+    return refresh_gold(spark, silver, base, P, orders.where(late).select("order_id") if known else None)
+
+
+def _refresh_folders(spark, d):
+    from lakemart.plans.refresh import rewritten
+
+    return rewritten(_refreshed(spark, d, "refresh-folders"), "fact_orders")
+
+
+register("refresh_fact_orders", O.with_base(GOLD_SQL["fact_orders"]))(
+    lambda spark, d: _refreshed(spark, d, "refresh-facts").read("gold", "fact_orders").drop("year", "month")
+)
+register("refresh_known_kpis", _kpi_sql())(
+    lambda spark, d: _version_dashboard(_refreshed(spark, d, "refresh-known", known=True)).kpis()
+)
+register("refresh_segments", _seg_sql())(
+    lambda spark, d: _version_dashboard(_refreshed(spark, d, "refresh-segments")).segments()
+)
+register("refresh_folders", O.with_base(f"""
+SELECT DISTINCT year, month, strftime(make_date(year, month, 1), '%Y-%m') IN {REFRESH_MONTHS} AS rewritten
+FROM dim_date"""))(_refresh_folders)
