@@ -1069,3 +1069,57 @@ register("refresh_segments", _seg_sql())(
 register("refresh_folders", O.with_base(f"""
 SELECT DISTINCT year, month, strftime(make_date(year, month, 1), '%Y-%m') IN {REFRESH_MONTHS} AS rewritten
 FROM dim_date"""))(_refresh_folders)
+
+
+# ---- histories from feeds in any order, stored in parts (R6) ---------------------------
+# The last feed comes first, the first one last: all customers as they are, those who moved,
+# those who have ordered.
+
+HISTORY_THIRD, HISTORY_DAY = "2020-03-01", "2020-02-15"
+
+
+def _history(spark, d, query):
+    from lakemart.operators import history as H
+    from lakemart.plans.build import build_silver_layer
+    from lakemart.sources.adapter import raw_tables
+
+    base, raw = scratch_root(spark, query, d), raw_tables(spark, d)
+    silver = build_silver_layer(spark, {t: raw[t] for t in ("customers", "orders")}, base)
+    first, feed = scd_inputs(silver)
+    for incoming, day in ((silver["customers"], HISTORY_THIRD), (first, SCD_FIRST), (feed, SCD_SECOND)):
+        snap = H.store_feed(spark, base, "customers", incoming, "customer_id", SCD_TRACKED, day)
+    return H.stored(snap, "customers")
+
+
+HISTORY_SQL = SCD_SQL[: SCD_SQL.index("j AS (")].rstrip().rstrip(",") + f""",
+observed AS (
+  SELECT customer_id, customer_city, customer_state, DATE '{SCD_FIRST}' AS day FROM first_load
+  UNION ALL SELECT customer_id, customer_city, customer_state, DATE '{SCD_SECOND}' FROM feed
+  UNION ALL SELECT customer_id, customer_city, customer_state, DATE '{HISTORY_THIRD}' FROM s_customers),
+told AS (
+  SELECT *, ROW_NUMBER() OVER w = 1 OR customer_city IS DISTINCT FROM LAG(customer_city) OVER w
+            OR customer_state IS DISTINCT FROM LAG(customer_state) OVER w AS starts
+  FROM observed WINDOW w AS (PARTITION BY customer_id ORDER BY day)),
+hist AS (
+  SELECT customer_id, customer_city, customer_state, day AS valid_from,
+         LEAD(day) OVER (PARTITION BY customer_id ORDER BY day) AS valid_to
+  FROM told WHERE starts)
+"""
+
+register("history_any_order", O.with_base(HISTORY_SQL + "SELECT *, valid_to IS NULL AS is_current FROM hist"))(
+    lambda spark, d: _history(spark, d, "history-any")
+)
+
+
+def _history_on(spark, d):
+    from lakemart.operators.history import valid_on
+
+    return valid_on(_history(spark, d, "history-on"), HISTORY_DAY).groupBy("customer_state").agg(
+        _F.count(_F.lit(1)).alias("customers"), _F.count_if(~_F.col("is_current")).alias("changed_since")
+    )
+
+
+register("history_on_a_day", O.with_base(HISTORY_SQL + f"""
+SELECT customer_state, COUNT(*) AS customers, COUNT(valid_to) AS changed_since FROM hist
+WHERE valid_from <= DATE '{HISTORY_DAY}' AND (valid_to IS NULL OR valid_to > DATE '{HISTORY_DAY}')
+GROUP BY customer_state"""))(_history_on)
