@@ -35,9 +35,9 @@ KINDS = ("email", "ip", "card", "phone")
 SCHEMA = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 )
-#: Tokens of the longest candidate, and of a zone that is read at a time.
+#: Tokens of the longest candidate, and tokens whose candidates are held at a time.
 LONGEST = 32
-ZONE = 2000
+STEP = 2000
 #: Texts to look for examples in, and zones to learn from: bounds the work of fitting.
 SAMPLE_TEXTS = 20_000
 SAMPLE_ZONES = 400
@@ -317,6 +317,39 @@ class SemiCRF:
         return out[::-1]
 
 
+    def read(self, text: str, a: int, b: int, margin: float = MARGIN, step: int = STEP) -> list[Span]:
+        """``decode`` of the zone from ``a`` to ``b`` as a whole, however long: candidates are
+        made for ``step`` tokens' ends at a time and looked back from by ``LONGEST`` tokens at
+        most, so scores go on over the steps; a few bytes a token are kept for the way back."""
+        bounds = [m.start() for m in _TOKEN.finditer(text, a, b)] + [b]
+        n = len(bounds) - 1
+        score, top = np.zeros(n + 1), np.zeros(n + 1)
+        size, kind = np.zeros(n + 1, np.int8), np.zeros(n + 1, np.int8)
+        for at in range(0, n, step):
+            low, high = max(0, at - LONGEST), min(n, at + step)
+            c = candidates(text, bounds[low], bounds[high])
+            s = self.scores(c)
+            best, most = (s.argmax(axis=1), s.max(axis=1)) if len(s) else (s, s)
+            ends = _grouped(c)
+            for j in range(at + 1, high + 1):
+                score[j] = score[j - 1]
+                e = ends[j - low - 1]
+                if len(e):
+                    totals = score[c.first[e] + low] + most[e]
+                    k = int(totals.argmax())
+                    if totals[k] > score[j]:
+                        k = e[k]
+                        score[j], top[j], kind[j] = totals.max(), most[k], best[k]
+                        size[j] = c.last[k] - c.first[k]
+        out, j = [], n
+        while j > 0:
+            taken = int(size[j])
+            if taken and top[j] >= margin:
+                out.append((bounds[j - taken], bounds[j], KINDS[kind[j]]))
+            j -= max(1, taken)
+        return out[::-1]
+
+
 def fit(examples: list[tuple[str, list[Span]]], rounds: int = 6, rate: float = 0.5) -> SemiCRF:
     """Maximum likelihood (with a small penalty) over short texts and their spans."""
     model, seen = SemiCRF(), np.full((SIZE, len(KINDS)), 1e-6)
@@ -450,13 +483,7 @@ def scan(text: str, model: SemiCRF) -> tuple[list[Span], list[Span]]:
     base = found_in(text)
     added = []
     for a, b in zones(text, base):
-        bounds = [m.start() for m in _TOKEN.finditer(text, a, b)] + [b]
-        for at in range(0, len(bounds) - 1, ZONE - LONGEST):
-            c = candidates(text, bounds[at], bounds[min(at + ZONE, len(bounds) - 1)])
-            for i, j, kind in model.decode(c):
-                added.append((c.places[i][0], c.places[j - 1][1], KINDS[kind]))
-            if at + ZONE >= len(bounds) - 1:
-                break
+        added += model.read(text, a, b)
     if added:
         starts = sorted((a, b) for a, b, _ in base)
         left = np.array([a for a, _ in starts], dtype=np.int64)

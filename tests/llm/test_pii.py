@@ -88,6 +88,30 @@ def test_sums_and_best_path_match_enumeration():
         assert got == [(int(c.first[k]), int(c.last[k]), t) for k, t in best]
 
 
+def test_reading_in_steps_is_one_decoding():
+    rng = random.Random(5)
+    m = pii.SemiCRF()
+    m.weights = np.random.default_rng(4).normal(0, 0.5, m.weights.shape)
+    bits = ["12", "3456", "a", "mail", "@", ".", " ", " ", "-", "(", ")", "+", "[at]", "[dot]", "é"]
+    for _ in range(40):
+        text = "".join(rng.choices(bits, k=rng.randrange(1, 150)))
+        a, b = 0, len(text)
+        c = pii.candidates(text, a, b)
+        want = [(c.places[i][0], c.places[j - 1][1], pii.KINDS[k]) for i, j, k in m.decode(c, margin=0.5)]
+        for step in (1, 7, 40, 1000):
+            assert m.read(text, a, b, margin=0.5, step=step) == want
+    assert m.read("", 0, 0) == []
+
+
+def test_added_spans_of_a_long_zone_do_not_hang_on_its_length(model):
+    one = "1 call (386) 555-3733 or 2 "
+    alone = pii.scan(one, model)[1]
+    assert [k for *_, k in alone] == ["phone"]
+    text = one * 1500  # a single zone of over 20,000 tokens
+    assert len(pii.zones(text, [])) == 1
+    assert len(pii.scan(text, model)[1]) == 1500 * len(alone)
+
+
 def test_model_finds_other_forms_and_leaves_numbers_alone(model):
     added = {
         "call me at (386) 555-3733 or so": "phone",
