@@ -33,8 +33,9 @@ from .common import Remembered, acyclic, blocks, give_back, id_text, names, rows
 CAPACITY = 2048
 #: Pieces that a group packs at a time, about; one task holds one group.
 GROUP = 1 << 14
-#: Rounds of exchange at most; each one packs the rest of the round before.
-ROUNDS = 4
+#: A round of exchange takes groups four times as large as the one before, up to this; then
+#: it only deals the documents anew.
+GROUP_MOST = 1 << 20
 #: Words that a worker remembers in a generation, over its tasks; there are two.
 REMEMBERED = 250_000
 
@@ -226,14 +227,18 @@ def _bins(placed: DataFrame) -> int:
 
 
 def packed(
-    cut: DataFrame, spark: SparkSession, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS
+    cut: DataFrame, spark: SparkSession, capacity: int = CAPACITY, group: int = GROUP, most: int = GROUP_MOST
 ) -> DataFrame:
-    """Every piece with its sequence and its place there. ``cut``: from ``pieces``."""
+    """Every piece with its sequence and its place there. ``cut``: from ``pieces``.
+
+    Documents of groups with a gap are exchanged until a round saves no sequence, none has
+    a gap left, or one group holds all that is loose. ``certified`` says that no packing does
+    better there: the sequence is full, or its group needs as many as its lower bound."""
     cut = settled(cut, spark)
     short = cut.where(F.col("length") < capacity)
     done: list[DataFrame] = []
     rest, n, before, before_bins = short.select("uid", "length"), short.count(), None, 0
-    for turn in range(rounds):
+    for turn in count():
         groups = max(1, -(-n // group))
         placed = settled(_packed(rest, groups, turn, capacity), spark).withColumn("turn", F.lit(turn))
         if before is not None and _bins(placed) >= before_bins:
@@ -241,20 +246,22 @@ def packed(
             break
         loose = F.col("gap") & (F.col("filled") < capacity)
         n = placed.where(loose).count()
-        if not n or groups == 1 or turn == rounds - 1:
+        if not n or groups == 1:
             done.append(placed)
             break
         done.append(placed.where(~loose))
         before, rest = placed.where(loose), placed.where(loose).select("uid", "length")
         before_bins = _bins(before)
-        group *= 4
+        group = max(group, min(4 * group, most))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    number = (F.col("turn") * (1 << 24) + F.col("grp")) * (1 << 32) + F.col("bin")
-    places = out.select("uid", number.alias("sequence_id"), "offset")
+    number = (F.col("turn") * (1 << 24) + F.col("grp")) * (1 << 28) + F.col("bin")
+    certified = ~F.col("gap") | (F.col("filled") == capacity)
+    places = out.select("uid", number.alias("sequence_id"), "offset", certified.alias("certified"))
     columns = [c for c in cut.columns if c != "uid"]
     full = cut.where(F.col("length") >= capacity).select(
-        *columns, (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *columns, (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        F.lit(True).alias("certified"),
     )
-    return short.join(places, "uid").select(*columns, "sequence_id", "offset").unionByName(full)
+    return short.join(places, "uid").select(*columns, "sequence_id", "offset", "certified").unionByName(full)

@@ -79,3 +79,36 @@ def test_bound_sees_large_lengths():
 
 def test_empty_table(spark, docs):
     assert packing.packed(packing.pieces(docs.limit(0), PATH), spark).count() == 0
+
+
+def loose(spark, lengths):
+    rows = [(i, 0, 0, n, 0, i) for i, n in enumerate(lengths)]
+    return spark.createDataFrame(rows, packing.PIECES)
+
+
+def test_exchange_goes_on_until_a_round_saves_nothing(spark):
+    # two or three fit a sequence; groups of about twelve leave gaps that an exchange closes
+    lengths = np.random.default_rng(9).integers(26, 51, 600)
+    used = {}
+    for most in (12, 600):
+        got = packing.packed(loose(spark, lengths.tolist()), spark, 100, group=12, most=most).collect()
+        assert sorted(r.length for r in got) == sorted(lengths.tolist())
+        used[most] = assert_packed(got, 100)
+    first = packing._bins(packing._packed(loose(spark, lengths.tolist()).select("uid", "length"), 50, 0, 100))
+    assert packing.lower_bound(lengths, 100) <= used[600] < first and used[600] <= used[12] <= first
+
+
+def test_certified_sequences_are_full_or_of_groups_at_their_bound(spark):
+    # pairs that fill a sequence: the bound is met; three that waste a third each are certified too
+    for lengths, capacity in (([13, 7] * 30, 20), ([7] * 9, 20), ([20] * 5, 20), ([1], 20)):
+        got = packing.packed(loose(spark, lengths), spark, capacity).collect()
+        assert all(r.certified for r in got)
+        assert assert_packed(got, capacity) == packing.lower_bound(np.array(lengths), capacity)
+    # best fit needs four where three do, and the bound says three: not certified
+    lengths = [6, 6, 5, 5, 4, 4, 2, 2, 2]
+    used, bound = packing.best_fit(np.array(lengths), 12)[2], packing.lower_bound(np.array(lengths), 12)
+    got = packing.packed(loose(spark, lengths), spark, 12).collect()
+    filled = defaultdict(int)
+    for r in got:
+        filled[r.sequence_id] += r.length
+    assert [r.certified for r in got] == [used == bound or filled[r.sequence_id] == 12 for r in got]
