@@ -61,27 +61,30 @@ class Words:
         self.whole.encode_special_tokens = True
         self.model, self.letters = self.whole.model, byte_letters()
         self.known = Remembered(REMEMBERED)
-        self.stems = Remembered(REMEMBERED // 2)
+        top = max(self.whole.get_vocab().values(), default=-1) + 1
+        self.bytes_of = [n.to_bytes(4, "little") for n in range(top)]
 
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+    def packed(self, ids: list[int]) -> bytes:
+        return b"".join([self.bytes_of[n] for n in ids])
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """The ids of words, these among others."""
         new = self.known.lacking(words)
-        known, stems, rest = self.known.young, self.stems, []
+        known, old, longest, rest = self.known.young, self.known.old, self.known.longest, []
+        bytes_of, tokenize = self.bytes_of, self.model.tokenize
         trails: dict[str, bytes] = {}
         for word in new:
             stem = word.rstrip(_TRAIL)
-            if not stem or max(stem) > "\xff" or not stem.isalpha():
+            if not stem.isalpha() or not (ascii_ := stem.isascii()) and max(stem) > "\xff":
                 rest.append(word)
                 continue
             low = stem.lower()
-            if (ids := stems.get(low)) is None:
-                text = "".join([self.letters[b] for b in low.encode()])
-                ids = self.packed([x.id for x in self.model.tokenize(text)])
-                stems.put(low, ids)
+            ids = None if low == word else known.get(low) or old.get(low)
+            if ids is None:
+                text = low if ascii_ else "".join([self.letters[b] for b in low.encode()])
+                ids = b"".join([bytes_of[x.id] for x in tokenize(text)])
+                if low != word and len(low) <= longest:
+                    known[low] = ids
             if len(stem) < len(word):
                 trail = word[len(stem) :]
                 if trail not in trails:
@@ -99,7 +102,7 @@ class Words:
         return [
             self.packed(self.whole.encode(t, add_special_tokens=False).ids)
             if words is None
-            else b"".join([known[w] for w in words])
+            else b"".join(map(known.__getitem__, words))
             for t, words in zip(texts, split, strict=True)
         ]
 
