@@ -5,29 +5,35 @@ name the item within its order (``item_keys``), ``seq`` and, unless ``removed``,
 freight_value, customer_state, year, month``. Of an item's versions the one with the largest ``seq`` holds, whenever it comes; a repeated or
 older one changes nothing.
 
-State is kept per order (``transformWithState``): the version that holds of each item, and
-how many items of the order lie in each (year, month, state) cell. Both are map states, so
-a row touches its item and two cells, however many the order has. What a row replaces is
-taken back from its cell and what it brings is added to its own; an order counts in a cell
+State is the version that holds of each item. What a row replaces is taken back from its
+(year, month, state) cell and what it brings is added to its own; an order counts in a cell
 from its first item there to its last. Out go changes of (revenue, items, orders) a cell.
 
+Without a watermark state is kept for ever, in tables beside the cube: a micro-batch writes
+the versions that came to hold, in a folder named by the batch. The next ones read those of
+the orders they touch, and compare before and after by joins and sums (``_merged``), so
+that no item costs a call to a state store. With one, state is kept per order
+(``transformWithState``) and goes when the watermark passes the order's latest event time
+(``event_time``); rows that come later than that are dropped by Spark. There the versions
+and the counts of cells are map states: a row touches its item and two cells, however many
+the order has. Stateful streams of this kind need RocksDB as the session's state store
+(``use_rocksdb``).
+
 Each micro-batch's changes are summed per cell and written to a folder named by the batch,
 which a replay overwrites with the same rows, so every change counts once. The cube is the
 sum over these folders; ``compact`` folds them into a base table under one manifest
-(``sources.versions``). What is written follows the feed, not the months it touches.
-
-With a watermark, an order's state goes when the watermark passes its latest event time
-(``event_time``); rows that come later than that are dropped by Spark. Without one, state
-is kept for ever and nothing is too late. Stateful streams of this kind need RocksDB as
-the session's state store (``use_rocksdb``).
+(``sources.versions``), and the versions of items likewise. What is written follows the
+feed, not the months it touches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -119,31 +125,80 @@ class OrderCells(StatefulProcessor):
         pass
 
 
-def changes(
-    items: DataFrame, watermark: str | None = None, item_keys: Sequence[str] = ("order_item_id",)
-) -> DataFrame:
-    """A stream of cells' changes from a stream of item versions."""
+def _versions(items: DataFrame, item_keys: Sequence[str]) -> list[Column]:
+    """The columns of an item's version."""
     money = (F.col("price") + F.col("freight_value")).cast(MONEY)
     removed = F.coalesce(F.col("removed"), F.lit(False)) if "removed" in items.columns else F.lit(False)
-    timed = watermark is not None
-    columns = [
-        "order_id",
+    return [
+        F.col("order_id"),
         F.to_json(F.struct(*item_keys)).alias("item"),
         F.col("seq").cast("long").alias("seq"),
         removed.alias("removed"),
         F.coalesce(money, F.lit(0).cast(MONEY)).alias("revenue"),
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
-        "customer_state",
+        F.col("customer_state"),
     ]
-    if timed:
-        items = items.withWatermark("event_time", watermark)
-        columns += ["event_time", F.unix_millis("event_time").alias("at")]
+
+
+def changes(items: DataFrame, watermark: str, item_keys: Sequence[str] = ("order_item_id",)) -> DataFrame:
+    """A stream of cells' changes from a stream of item versions with a watermark."""
+    items = items.withWatermark("event_time", watermark)
+    at = [F.col("event_time"), F.unix_millis("event_time").alias("at")]
+    return items.select(*_versions(items, item_keys), *at).groupBy("order_id").transformWithState(
+        OrderCells(True), CHANGES, "Update", "EventTime"
+    )
+
+
+_VERSION = ("seq", "removed", "revenue", *CUBE_KEYS)
+
+
+def _merged(arrived: DataFrame, held: DataFrame | None) -> DataFrame:
+    """order_id, item, and the versions that hold ``before`` and ``after`` the rows that
+    arrived, of every item of the orders they touch. NULL before: an item not seen yet."""
+    came = arrived.select("order_id", "item", F.struct(*_VERSION).alias("new"))
+    if held is not None:
+        ids = arrived.select(F.col("order_id").alias("touched")).distinct()
+        held = held.join(ids, F.col("order_id").eqNullSafe(F.col("touched")), "left_semi")
+        came = came.unionByName(held.select("order_id", "item", F.struct(*_VERSION).alias("old")), allowMissingColumns=True)
     else:
-        columns.append(F.lit(0).cast("long").alias("at"))
-    return items.select(*columns).groupBy("order_id").transformWithState(
-        OrderCells(timed), CHANGES, "Update", "EventTime" if timed else "None"
+        came = came.withColumn("old", F.lit(None).cast(came.schema["new"].dataType))
+    # of the versions written of an item, the one with the largest seq holds
+    both = came.groupBy("order_id", "item").agg(F.max("new").alias("new"), F.max("old").alias("before"))
+    newer = F.col("new").isNotNull() & (
+        F.col("before").isNull() | F.coalesce(F.col("new.seq") > F.col("before.seq"), F.lit(False))
+    )
+    return both.select("order_id", "item", "before", F.when(newer, F.col("new")).otherwise(F.col("before")).alias("after"), newer.alias("newer"))
+
+
+def _cell_changes(merged: DataFrame) -> DataFrame:
+    """What the cells gain and lose: an order counts once in a cell that holds items of it."""
+    def side(name: str, sign: int) -> DataFrame:
+        there = merged.where(f"{name} IS NOT NULL AND NOT {name}.removed")
+        return there.select(
+            "order_id", *[F.col(f"{name}.{c}").alias(c) for c in CUBE_KEYS],
+            (F.col(f"{name}.revenue") * sign).cast(MONEY).alias("revenue"),
+            F.lit(sign).cast("long").alias("items"), F.lit(int(sign < 0)).alias("was"), F.lit(int(sign > 0)).alias("now"),
+        )
+
+    per_order = side("before", -1).unionByName(side("after", 1)).groupBy("order_id", *CUBE_KEYS).agg(
+        F.sum("revenue").alias("revenue"), F.sum("items").alias("items"),
+        (F.max("now") - F.max("was")).cast("long").alias("orders"),
     )
+    changed = per_order.where("revenue <> 0 OR items <> 0 OR orders <> 0")
+    summed = changed.groupBy(*CUBE_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    return summed.withColumn("revenue", F.col("revenue").cast(MONEY))
+
+
+def _held(spark: SparkSession, cube: str, below: int | None = None) -> DataFrame | None:
+    """Versions of items that the batches numbered ``below`` (all, if None) brought."""
+    base = snapshot(spark, f"{cube}/base")
+    through = int(base.note["through"]) if base else -1
+    folders = [n for n in _written(spark, cube, "items") if n > through and (below is None or n < below)]
+    parts = [spark.read.parquet(*[f"{cube}/items/batch={n:09d}" for n in folders])] if folders else []
+    if base is not None and "cube/items" in base.tables:
+        parts.append(base.read("cube", "items"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def keep_cube(
@@ -157,23 +212,36 @@ def keep_cube(
 ) -> StreamingQuery:
     """Keep the cube at ``cube`` current with a stream of item versions. The cube belongs
     to its checkpoint: batches are numbered by it."""
-    use_rocksdb(spark)
 
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
+    def sum_batch(batch: DataFrame, batch_id: int) -> None:
         summed = batch.groupBy(*CUBE_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS])
         summed = summed.withColumn("revenue", F.col("revenue").cast(MONEY))
         summed.write.mode("overwrite").parquet(f"{cube}/changes/batch={batch_id:09d}")
 
-    writer = changes(items, watermark, item_keys).writeStream.outputMode("update").foreachBatch(each_batch)
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        merged = _merged(batch.select(*_versions(batch, item_keys)), _held(spark, cube, batch_id))
+        merged = merged.persist(StorageLevel.DISK_ONLY)  # written twice: what holds now, and the change
+        try:
+            newer = merged.where("newer").select("order_id", "item", "after.*")
+            newer.write.mode("overwrite").parquet(f"{cube}/items/batch={batch_id:09d}")
+            _cell_changes(merged).write.mode("overwrite").parquet(f"{cube}/changes/batch={batch_id:09d}")
+        finally:
+            merged.unpersist()
+
+    if watermark is None:
+        writer = items.writeStream.foreachBatch(merge_batch)
+    else:
+        use_rocksdb(spark)
+        writer = changes(items, watermark, item_keys).writeStream.outputMode("update").foreachBatch(sum_batch)
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def _written(spark: SparkSession, cube: str) -> list[int]:
-    """The batches whose changes were written in full."""
-    folder = f"{cube}/changes"
+def _written(spark: SparkSession, cube: str, table: str = "changes") -> list[int]:
+    """The batches whose changes (or versions of items) were written in full."""
+    folder = f"{cube}/{table}"
     return sorted(int(n.split("=")[1]) for n in _names(spark, folder) if path_exists(spark, f"{folder}/{n}/_SUCCESS"))
 
 
@@ -198,10 +266,15 @@ def compact(spark: SparkSession, cube: str) -> int:
     if not done:
         return -1
     kept = read_kept(spark, cube).withColumn("revenue", F.col("revenue").cast(MONEY))
+    held = _held(spark, cube, done[-1] + 1)
     with build(spark, f"{cube}/base") as stage:
         kept.write.parquet(f"{stage.base}/cube/cells")
+        if held is not None:
+            latest = held.groupBy("order_id", "item").agg(F.max(F.struct(*_VERSION)).alias("v"))
+            latest.select("order_id", "item", "v.*").write.parquet(f"{stage.base}/cube/items")
         stage.note["through"] = done[-1]
     retire(spark, f"{cube}/base")
     for batch in done[:-1]:  # the last one may be replayed
         delete_path(spark, f"{cube}/changes/batch={batch:09d}")
+        delete_path(spark, f"{cube}/items/batch={batch:09d}")
     return done[-1]

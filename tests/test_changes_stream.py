@@ -98,3 +98,29 @@ def test_watermark_forgets_old_orders(spark, scratch):
     last = (3, 1, 1, False, Decimal("1.00"), Decimal("0.00"), "A", 2020, 1, day(61))
     got = run(spark, scratch, [[old], [new], [late, last]], schema=schema, watermark="10 days")
     assert got == {(2020, 1, "A"): (Decimal("9.00"), 3, 3)}
+
+
+def test_versions_are_merged_without_calls_to_a_state_store(spark, scratch, monkeypatch):
+    """A call an item made a tenth of a gigabyte take too long; a large order and one
+    without an id are merged like any other."""
+    from lakemart.streaming import deltas
+
+    monkeypatch.setattr(deltas, "OrderCells", None)
+    rows = versions(200, 3)
+    rows += [(None, i, 1, False, Decimal("1.00"), Decimal("0.50"), "A", 2020, 1) for i in range(150)]
+    rows += [(None, i, 2, i % 2 == 0, Decimal("2.00"), Decimal("0.50"), "B", 2020, 2) for i in range(140)]
+    waves = [rows[:250], rows[250:] + rows[:50]]
+    assert run(spark, scratch, waves) == expected(rows)
+    assert compact(spark, f"{scratch}/cube") == 1
+    assert run(spark, scratch, [rows[:10]]) == expected(rows)  # older ones change nothing after it
+
+
+def test_the_last_batch_replayed_after_compaction(spark, scratch):
+    rows = versions(200, 4)
+    run(spark, scratch, [rows[:100], rows[100:]])
+    compact(spark, f"{scratch}/cube")
+    from lakemart.sources.files import delete_path
+
+    delete_path(spark, f"{scratch}/ck/commits/1")
+    delete_path(spark, f"{scratch}/ck/commits/.1.crc")
+    assert run(spark, scratch, [rows[:5]]) == expected(rows)
