@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from lakemart.operators.columns import normalize_name, standardize_columns
 
+#: Rows of a CSV file that the lake writes.
+CSV_ROWS = 1_000_000
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -84,8 +86,9 @@ def header_differences(spark: SparkSession, path: str, schema: T.StructType, **o
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV with header (a folder of part files), quoting embedded newlines."""
-    df.write.mode(mode).options(header=True, escape='"').csv(path)
+    """CSV with header (a folder of part files), quoting embedded newlines. The files are
+    compressed, and hold ``CSV_ROWS`` rows at most: each is read by one task."""
+    df.write.mode(mode).options(header=True, escape='"', compression="gzip", maxRecordsPerFile=CSV_ROWS).csv(path)
     return path
 
 

@@ -41,9 +41,11 @@ def ingest_raw(
             df = read_csv(spark, src, spec.schema, spec.multiline, spec.required, **spec.options)
             absent, extra = header_differences(spark, src, spec.schema, **spec.options)
             if spec.multiline:
-                # each file is one split, parsed by one task; the parsed rows are dealt
-                # out, so that the Parquet encoding and the write run on every core
-                df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+                # each file is one split, parsed by one task; if there are fewer files than
+                # cores, the parsed rows are dealt out, so that the Parquet encoding and the
+                # write run on every core
+                if len(df.inputFiles()) < spark.sparkContext.defaultParallelism:
+                    df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
             df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(dst)
         except (ValueError, PySparkException) as exc:
             results.append((name, None, f"failed: {exc}", src))

@@ -239,3 +239,14 @@ def test_refresh_replay_is_idempotent(spark, scratch):
     none_month = spark.createDataFrame([(2018, None)], "year int, month int")
     assert touched_months(none_month) == [(2018, None)]
     assert rows.where(months_filter([(2018, 2)])).count() == 1
+
+
+def test_written_csv_is_compressed_and_in_files_of_bounded_rows(spark, scratch, monkeypatch):
+    from lakemart.sources import files
+
+    monkeypatch.setattr(files, "CSV_ROWS", 10)
+    df = spark.range(0, 35, 1, 1).selectExpr("id", "concat('line\n', id, ',\"q') AS t")
+    files.write_csv(df, f"{scratch}/csv")
+    back = spark.read.options(header=True, multiLine=True, escape='"').csv(f"{scratch}/csv")
+    assert len(back.inputFiles()) == 4 and all(f.endswith(".csv.gz") for f in back.inputFiles())
+    assert sorted((int(r.id), r.t) for r in back.collect()) == sorted((r.id, r.t) for r in df.collect())
