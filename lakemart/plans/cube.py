@@ -49,10 +49,13 @@ def person_numbers(star: DataFrame) -> DataFrame:
 
 def _sets(rows: DataFrame, number: str, *more: str) -> DataFrame:
     """Bitmaps of ``number`` a cell and what ``more`` names. Each number is set at its
-    position by every item row that holds it: no distinct before."""
-    bucket = F.bitmap_bucket_number(number)
-    place = F.bitmap_bit_position(number)
-    return rows.groupBy(*CELL, *more, bucket.alias("bucket")).agg(F.bitmap_construct_agg(place).alias("bitmap"))
+    position by every item row that holds it: no distinct before. Rows meet their bucket
+    before the bitmaps (4 KB each) are made: made first, each task would send one for
+    nearly every row, as a task's orders lie in most cells. A bucket's rows are few."""
+    bucket = F.bitmap_bucket_number(number).alias("bucket")
+    place = F.bitmap_bit_position(number).alias("place")
+    dealt = rows.select(*CELL, *more, bucket, place).repartition(*CELL, "bucket")
+    return dealt.groupBy(*CELL, *more, "bucket").agg(F.bitmap_construct_agg("place").alias("bitmap"))
 
 
 def build_cube(star: DataFrame, orders: DataFrame | None = None, persons: DataFrame | None = None) -> dict[str, DataFrame]:

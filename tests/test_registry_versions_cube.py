@@ -212,3 +212,16 @@ def test_cube_over_many_buckets_and_merged_parts(spark):
     cube = {t: parts[0][t].unionByName(parts[1][t]) for t in C.TABLES}
     got = C.kpis(cube).first()
     assert (got.total_orders, got.total_customers, got.repeat_rate) == (100_000, 70_000, 100.0)
+
+
+def test_bitmaps_are_made_where_their_rows_meet(spark):
+    """No task sends bitmaps of a few bits for rows that others have as well."""
+    star = spark.range(20).selectExpr(
+        "id AS order_id", "1 AS year", "1 AS month", "'S' AS customer_state", "'C' AS category_name", "'F' AS order_status",
+        "id AS order_no",
+    )
+    sets = C._sets(star.repartition(3), "order_no")
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    parts = plan.split("Exchange hashpartitioning")
+    assert "bitmap_construct_agg" in parts[0] and not any("bitmap_construct_agg" in p for p in parts[1:])
+    assert sets.selectExpr("sum(bitmap_count(bitmap)) AS n").first().n == 20
