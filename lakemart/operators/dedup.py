@@ -31,9 +31,15 @@ def orderable(dtype: T.DataType) -> bool:
     return True
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def dedup(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), needed: Sequence[str] | None = None
+) -> DataFrame:
     """One row per ``keys``: the smallest by ``order_by`` then all other columns.
 
+    ``needed``: the columns to return, if not all. The first columns of the smallest row
+    are the smallest of the first columns, so those behind the last needed one are left
+    out of the comparison and the shuffle; the rows are the same.
+
     Ordering is ascending with NULLs first (Spark's struct order). Columns Spark
     cannot order (maps) are carried along with the chosen row.
     """
@@ -42,6 +48,9 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> D
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     packed = [c for c in order_by + rest if orderable(df.schema[c].dataType)]
     carried = [c for c in order_by + rest if c not in packed]  # e.g. maps: follow their row
+    if needed is not None and not any(c in carried for c in needed):
+        last = max((i + 1 for i, c in enumerate(packed) if c in needed), default=0)
+        packed, carried = packed[:last], []
     if not packed and not carried:
         return df.select(*keys).distinct()
     # positional field names avoid clashes with the key columns
@@ -57,7 +66,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> D
         *[F.col(f"_best._f{i}").alias(c) for i, c in enumerate(packed)],
         *[F.col(f"_rest._g{i}").alias(c) for i, c in enumerate(carried)],
     )
-    return out.select(*df.columns)
+    return out.select(*[c for c in df.columns if needed is None or c in (*keys, *needed)])
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -32,10 +32,15 @@ class Lake:
     def silver(self) -> dict[str, DataFrame]:
         return build_silver(self.raw)
 
+    @cached_property
+    def _read_silver(self) -> dict[str, DataFrame]:
+        """Silver's rows with the columns that gold reads."""
+        return build_silver(self.raw, G.READS)
+
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
-        return G.build_gold(self.silver, self.params)
+        return G.build_gold(self._read_silver, self.params)
 
     @cached_property
     def star(self) -> DataFrame:
-        return G.star(self.gold)
+        return G.star_of_items(self._read_silver["order_items"], self.gold)

@@ -7,7 +7,7 @@ the driver tables); all measures, coordinates and timestamps are converted.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +25,17 @@ from lakemart.sources.schemas import MONEY
 TS = T.TimestampType()
 
 
-def clean_customers(df: DataFrame) -> DataFrame:
-    df = dedup(standardize_columns(df), ["customer_id"])
+def clean_customers(df: DataFrame, needed: Sequence[str] | None = None) -> DataFrame:
+    df = dedup(standardize_columns(df), ["customer_id"], needed=needed)
     return fill_defaults(df, {"customer_city": "unknown", "customer_state": "unknown"})
 
 
-def clean_orders(df: DataFrame) -> DataFrame:
+def clean_orders(df: DataFrame, needed: Sequence[str] | None = None) -> DataFrame:
     stamps = (
         "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
         "order_delivered_customer_date", "order_estimated_delivery_date",
     )
-    return dedup(conform(standardize_columns(df), dict.fromkeys(stamps, TS)), ["order_id"])
+    return dedup(conform(standardize_columns(df), dict.fromkeys(stamps, TS)), ["order_id"], needed=needed)
 
 
 AMOUNTS = ("price", "freight_value")
@@ -91,9 +91,9 @@ def clean_sellers(df: DataFrame) -> DataFrame:
     return standardize_columns(df)
 
 
-def clean_reviews(df: DataFrame) -> DataFrame:
+def clean_reviews(df: DataFrame, needed: Sequence[str] | None = None) -> DataFrame:
     # dedup comes before the casts, as in the reference
-    df = dedup(standardize_columns(df), ["review_id"])
+    df = dedup(standardize_columns(df), ["review_id"], needed=needed)
     df = conform(
         df,
         {"review_score": T.IntegerType(), "review_creation_date": TS, "review_answer_timestamp": TS},
@@ -119,6 +119,9 @@ CLEANERS = {
 }
 
 
-def build_silver(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Silver plans for every raw table present (lazy; nothing runs here)."""
-    return {name: CLEANERS[name](df) for name, df in raw.items() if name in CLEANERS}
+def build_silver(raw: Mapping[str, DataFrame], needed: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+    """Silver plans for every raw table present (lazy; nothing runs here). ``needed``: for
+    tables without repeated keys, the columns that are read of them besides the key, so
+    that the others aren't shuffled to find the repeats."""
+    reads = {name: {"needed": columns} for name, columns in (needed or {}).items()}
+    return {name: CLEANERS[name](df, **reads.get(name, {})) for name, df in raw.items() if name in CLEANERS}

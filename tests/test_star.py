@@ -197,3 +197,28 @@ def test_customer_segments_with_only_null_review_scores(spark, silver):
     marts = customer_segments(facts["fact_sales"], facts["fact_orders"], silver["customers"])
     rows = {r.customer_unique_id: r for r in marts.collect()}
     assert rows["p5"].avg_review_score is None and rows["p5"].customer_segment == "Repeat"
+
+
+def test_the_lazy_star_leaves_unread_columns_out_of_the_shuffles(spark):
+    """Columns behind the last one read decide nothing; the rows are those of whole silver."""
+    from lakemart.operators.dedup import dedup
+    from lakemart.plans import gold as G
+    from lakemart.plans.lake import Lake
+
+    df = spark.createDataFrame(
+        [(1, 5, "b", "x"), (1, 5, "a", "y"), (1, None, "z", "z"), (2, 7, None, "q"), (None, 1, "n", "n"), (2, 7, "c", "a")],
+        "k int, a int, b string, c string",
+    )
+    for needed in (["a"], ["b"], ["a", "b"], ["c"], []):
+        want = sorted(map(str, dedup(df, ["k"]).select("k", *needed).collect()))
+        assert sorted(map(str, dedup(df, ["k"], needed=needed).collect())) == want
+    lk = Lake.from_driver(spark, "/root/testdata/sf0.001")
+    plan = lk.star._jdf.queryExecution().optimizedPlan().toString()
+    assert "review_score" in plan and "review_comment_message" not in plan and "review_answer_timestamp" not in plan
+    whole = G.build_gold(lk.silver, lk.params)
+    joined = whole["fact_sales"].join(whole["fact_orders"].select("order_id", "order_status"), "order_id")
+    assert lk.star.count() == joined.count()
+    assert lk.star.exceptAll(G.star(whole)).isEmpty() and G.star(whole).exceptAll(lk.star).isEmpty()
+    assert lk.gold["dim_customers"].exceptAll(
+        G.dim_customers(lk.silver["customers"], G.ltv(whole["fact_sales"], lk.silver["customers"]), lk.params)
+    ).isEmpty()
