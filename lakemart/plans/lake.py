@@ -35,7 +35,8 @@ class Lake:
     @cached_property
     def _read_silver(self) -> dict[str, DataFrame]:
         """Silver's rows with the columns that gold reads."""
-        return build_silver(self.raw, G.READS)
+        narrow = build_silver({t: df for t, df in self.raw.items() if t in G.READS}, G.READS)
+        return {**self.silver, **narrow}
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
