@@ -216,9 +216,9 @@ def test_cube_over_many_buckets_and_merged_parts(spark):
 
 def test_bitmaps_are_made_where_their_rows_meet(spark):
     """No task sends bitmaps of a few bits for rows that others have as well."""
-    star = spark.range(20).selectExpr(
-        "id AS order_id", "1 AS year", "1 AS month", "'S' AS customer_state", "'C' AS category_name", "'F' AS order_status",
-        "id AS order_no",
+    star = spark.createDataFrame(
+        [(1, 1, "S", "C", "F", n) for n in range(20)],
+        "year int, month int, customer_state string, category_name string, order_status string, order_no long",
     )
     sets = C._sets(star.repartition(3), "order_no")
     plan = sets._jdf.queryExecution().executedPlan().toString()
