@@ -103,6 +103,7 @@ def write_layer(
     table: str,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> str:
     """Parquet sink, one directory per table (full overwrite by default).
 
@@ -110,10 +111,11 @@ def write_layer(
     of one partition value meet in few tasks, so each task writes few folders
     (without it every task writes a file into every folder: tasks x values small
     files). AQE splits a partition value that is too large across several tasks
-    and merges small ones, so a hot value does not become one task.
+    and merges small ones, so a hot value does not become one task. ``rebalance=False`` is
+    for rows that lie by these columns already, as read from such a table.
     """
     path = layer_path(base, layer, table)
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
