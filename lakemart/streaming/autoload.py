@@ -29,13 +29,19 @@ def auto_load(
     max_files_per_trigger: int | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start a stream that copies new files under ``src`` into Parquet at ``dst``."""
+    """Start a stream that copies new files under ``src`` into Parquet at ``dst``.
+
+    With ``partition_by``, rows of one partition value meet before they are written (as in
+    ``write_layer``): a batch adds a file or a few to each folder, not one a task, which
+    every later reader of the new files would list and open."""
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = reader.load(src)
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
     writer = (
-        reader.load(src)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
