@@ -83,6 +83,27 @@ def build_mart_layer(
     return {"sales_mart": stored, **{t: read_layer(spark, base, "marts", t) for t in plans}}
 
 
+def gold_and_marts(
+    spark: SparkSession, raw: Mapping[str, DataFrame], base: str, params: Params = Params()
+) -> dict[str, DataFrame]:
+    """Gold and the marts, for a suite that reads all of them once: as plans over two
+    stored steps that most of them share, the order rows and the wide mart, so that repeated
+    keys are removed and items joined once, not in each of the plans."""
+    from lakemart.plans.marts import order_rows, sales_mart
+
+    narrow = build_silver({"reviews": raw["reviews"]}, {"reviews": G.READS["reviews"]})
+    silver = {**build_silver(raw), **narrow}
+    columns = silver["orders"].columns
+    write_layer(order_rows(silver), base, "steps", "order_rows")
+    rows = read_layer(spark, base, "steps", "order_rows")
+    silver["orders"] = rows.select(*columns)
+    write_layer(sales_mart(silver, rows, marked=True), base, "steps", "sales_mart")
+    mart = read_layer(spark, base, "steps", "sales_mart")
+    gold = G.build_gold(silver, params, rows)
+    lifetime = G.ltv_of_items(silver["order_items"], silver["orders"], silver["customers"])
+    return {**gold, **build_marts(silver, params, mart, gold, lifetime)}
+
+
 def build_keyed_layer(
     spark: SparkSession, silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame], base: str
 ) -> dict[str, DataFrame]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions import scalar as S
@@ -44,35 +44,75 @@ def _reviews_by_order(reviews: DataFrame) -> DataFrame:
     )
 
 
-def sales_mart(silver: Mapping[str, DataFrame]) -> DataFrame:
+def order_rows(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """Order grain: every order with its columns, its payments' total and count of
+    installments, and its average review (NULL where there is none). An order has one row
+    in silver already dealt by ``order_id``, and isn't shuffled again."""
+    s = silver
+    return (
+        s["orders"]
+        .join(_payments_by_order(s["payments"]), "order_id", "left")
+        .join(_reviews_by_order(s["reviews"]), "order_id", "left")
+    )
+
+
+#: Columns beside the wide mart's own, in a stored one that is read by order counts.
+MARKS = ("first_of_order", "first_in_category")
+
+
+def _marked(items: DataFrame) -> DataFrame:
+    """Items with the first of their order, and of their order in a category, marked. All
+    of an order's items meet the same order row, so the marks hold in the mart too; where
+    they are stored, orders are counted without bringing their rows together again."""
+    rows = Window.partitionBy("order_id").orderBy("category_english")
+    row = F.row_number().over(rows)
+    return items.withColumns({"first_of_order": row == 1, "first_in_category": row == F.rank().over(rows)})
+
+
+def sales_mart(
+    silver: Mapping[str, DataFrame], orders: DataFrame | None = None, marked: bool = False
+) -> DataFrame:
     """Item grain: items with their order, its customer, payments and reviews, and their
     product with its English category.
 
     Customers, payments and reviews meet the orders at order grain, and the translation
-    the products at product grain, so item rows are shuffled twice only: by order and by
-    product."""
+    the products at product grain, so item rows are shuffled twice only: by product, then
+    by order, as the questions that count orders group them. ``orders``: the stored
+    ``order_rows``, if they are. ``marked``: with the columns of ``MARKS``."""
     s = silver
     ts = "order_purchase_timestamp"
-    orders = (
-        s["orders"]
-        .join(_payments_by_order(s["payments"]), "order_id", "left")
-        .join(_reviews_by_order(s["reviews"]), "order_id", "left")
-        .join(s["customers"], "customer_id")
-    )
+    orders = order_rows(s) if orders is None else orders
+    english = F.col("product_category_name_english")
     products = (
         s["products"]
-        .select("product_id", "product_category_name")
         .join(s["category_translation"], "product_category_name", "left")
-        .withColumn("category_english", F.coalesce("product_category_name_english", "product_category_name"))
+        .select(
+            "product_id",
+            "product_category_name",
+            F.coalesce(english, "product_category_name").alias("category_english"),
+            english.isNotNull().alias("translated"),
+        )
     )
-    joined = s["order_items"].join(orders, "order_id").join(products, "product_id", "left")
+    items = s["order_items"].join(products, "product_id", "left")
+    joined = (_marked(items) if marked else items).join(orders.join(s["customers"], "customer_id"), "order_id")
     return joined.withColumns(
         {
+            # not shuffled as a third text an item
+            "product_category_name_english": F.when(F.col("translated"), F.col("category_english")),
             "delivery_days": S.calendar_days("order_delivered_customer_date", ts),
             "year": F.year(ts),
             "month": F.month(ts),
         }
-    ).select(*SALES_MART_COLUMNS)
+    ).select(*SALES_MART_COLUMNS, *(MARKS if marked else ()))
+
+
+def _has_marks(mart: DataFrame) -> bool:
+    return set(MARKS) <= set(mart.columns)
+
+
+def _orders(mart: DataFrame) -> Column:
+    """Count of distinct orders, in groups that hold all rows of an order or none."""
+    return F.count_if("first_of_order") if _has_marks(mart) else F.countDistinct("order_id")
 
 
 CUBE_KEYS = ("year", "month", "customer_state", "category_english", "order_status")
@@ -80,6 +120,17 @@ CUBE_KEYS = ("year", "month", "customer_state", "category_english", "order_statu
 
 def dashboard_cube(mart: DataFrame, params: Params = Params()) -> DataFrame:
     """(year, month, state, category, status) cells with orders and 4 measures."""
+    if _has_marks(mart):
+        of_order = {
+            c: F.when(F.col("first_in_category"), F.col(c)) for c in ("payment_value", "review_score", "delivery_days")
+        }
+        return mart.groupBy(*CUBE_KEYS).agg(
+            F.count_if("first_in_category").alias("orders"),
+            S.as_double(F.sum(F.col("price") + F.col("freight_value"))).alias("revenue"),
+            S.as_double(F.sum(of_order["payment_value"])).alias("payment_value"),
+            F.round(F.avg(of_order["review_score"]), params.score_digits).alias("avg_review_score"),
+            F.avg(of_order["delivery_days"]).alias("avg_delivery_days"),
+        )
     per_order = mart.groupBy(*CUBE_KEYS, "order_id").agg(
         F.sum(F.col("price") + F.col("freight_value")).alias("revenue"),
         F.max("payment_value").alias("payment_value"),
@@ -100,14 +151,14 @@ def sales_summary(mart: DataFrame) -> DataFrame:
     return mart.agg(
         S.as_double(F.sum("price")).alias("total_revenue"),
         S.safe_ratio(S.as_double(F.sum("price")), F.count(F.lit(1))).alias("avg_order_value"),
-        F.countDistinct("order_id").alias("total_orders"),
+        _orders(mart).alias("total_orders"),
     )
 
 
 def revenue_by_state(mart: DataFrame) -> DataFrame:
     return mart.groupBy("customer_state").agg(
         S.as_double(F.sum("price")).alias("total_revenue"),
-        F.countDistinct("order_id").alias("total_orders"),
+        _orders(mart).alias("total_orders"),
     )
 
 
@@ -115,7 +166,7 @@ def top_customers(mart: DataFrame) -> DataFrame:
     """Every customer id ranked by item revenue (no limit; ties by id)."""
     out = mart.groupBy("customer_id").agg(
         F.sum("price").alias("lv"),
-        F.countDistinct("order_id").alias("total_orders"),
+        _orders(mart).alias("total_orders"),
     )
     return out.orderBy(F.desc("lv"), "customer_id").select(
         "customer_id", S.as_double("lv").alias("lifetime_value"), "total_orders"
@@ -139,8 +190,11 @@ def category_performance(mart: DataFrame) -> DataFrame:
     """An order is counted at the first of its rows in a category. Nearly every item is an
     (order, category) of its own, so a distinct count would keep nearly all rows of a task
     in a map, twice; sorted rows take a fraction of that, and spill."""
-    cell = Window.partitionBy("order_id", "category_english").orderBy("order_id")
-    first = F.col("order_id").isNotNull() & (F.row_number().over(cell) == 1)
+    if _has_marks(mart):
+        first = F.col("first_in_category")
+    else:
+        cell = Window.partitionBy("order_id", "category_english").orderBy("order_id")
+        first = F.col("order_id").isNotNull() & (F.row_number().over(cell) == 1)
     return mart.select("category_english", "price", first.alias("first")).groupBy("category_english").agg(
         S.as_double(F.sum("price")).alias("total_revenue"),
         F.count(F.lit(1)).alias("items_sold"),
@@ -180,15 +234,20 @@ def delivery_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def customer_segments(
-    sales: DataFrame, orders: DataFrame, customers: DataFrame, params: Params = Params()
+    sales: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+    params: Params = Params(),
+    lifetime: DataFrame | None = None,
 ) -> DataFrame:
     """Person grain: orders, value, average review over their orders, segment.
 
-    ``sales`` and ``orders`` are gold's facts. Review averages are summed per customer
+    ``sales`` and ``orders`` are gold's facts; ``lifetime``, if given, is their lifetime
+    value already made. Review averages are summed per customer
     before the customers join (the same pre-aggregation as the lifetime value), so no
     hot customer reaches a join.
     """
-    ltv = G.ltv(sales, customers)
+    ltv = G.ltv(sales, customers) if lifetime is None else lifetime
     per_customer = orders.groupBy("customer_id").agg(
         F.sum("avg_review_score").alias("rs"), F.count("avg_review_score").alias("rn")
     )
@@ -212,13 +271,14 @@ def build_marts(
     params: Params = Params(),
     mart: DataFrame | None = None,
     gold: Mapping[str, DataFrame] | None = None,
+    lifetime: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All eleven marts; pass a stored ``sales_mart`` and the gold facts to derive the
-    rest from them."""
+    """All eleven marts; pass a stored ``sales_mart`` (with its marks or without), the gold
+    facts and the lifetime values to derive the rest from them."""
     mart = sales_mart(silver) if mart is None else mart
     facts = gold or G.build_facts(silver)
     return {
-        "sales_mart": mart,
+        "sales_mart": mart.drop(*MARKS),
         "dashboard_cube": dashboard_cube(mart, params),
         "sales_summary": sales_summary(mart),
         "revenue_by_state": revenue_by_state(mart),
@@ -229,6 +289,6 @@ def build_marts(
         "payment_mix": payment_mix(silver["payments"]),
         "delivery_performance": delivery_performance(silver["orders"], silver["customers"]),
         "customer_segments": customer_segments(
-            facts["fact_sales"], facts["fact_orders"], silver["customers"], params
+            facts["fact_sales"], facts["fact_orders"], silver["customers"], params, lifetime
         ),
     }

@@ -330,10 +330,9 @@ def _quality_silver(spark, d):
 
 def _quality_gold(spark, d):
     from lakemart.operators.quality import validate_gold
-    from lakemart.plans.marts import build_marts
+    from lakemart.plans.build import gold_and_marts
 
-    lk = lake(spark, d)
-    return validate_gold({**lk.gold, **build_marts(lk.silver, P)})
+    return validate_gold(gold_and_marts(spark, lake(spark, d).raw, scratch_root(spark, "quality_gold", d), P))
 
 
 def _quality_sql():
