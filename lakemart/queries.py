@@ -16,7 +16,7 @@ from lakemart import oracle as O
 from lakemart.params import DRIVER_PARAMS as P
 from lakemart.plans import dashboard as D
 from lakemart.plans.lake import Lake
-from lakemart.session import scratch_root
+from lakemart.session import scratch_root, shuffles_dropped
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -630,6 +630,7 @@ register("live_region_distribution", O.with_base(REGION_SQL))(_live_region)
 # wrong prices, states and further items, which later waves correct, take back and repeat.
 
 def _kept_cube(spark, d, name):
+    from lakemart.sources.files import delete_path
     from lakemart.streaming.deltas import compact, keep_cube, read_kept
 
     root = scratch_root(spark, name, d)
@@ -639,7 +640,8 @@ def _kept_cube(spark, d, name):
         "order_id", *item, "price", "freight_value", "customer_state", "year", "month",
         _F.lit(2).cast("long").alias("seq"), _F.lit(False).alias("removed"), status.alias("status"),
     )
-    rows.write.parquet(f"{root}/source")
+    with shuffles_dropped(spark):
+        rows.write.option("compression", "zstd").parquet(f"{root}/source")
     rows = spark.read.parquet(f"{root}/source")
     odd, moved = _F.col("order_id") % 7 == 0, _F.col("order_id") % 5 == 0
     first = rows.where(status_is(rows, "F")).withColumns({
@@ -656,8 +658,11 @@ def _kept_cube(spark, d, name):
     ]
     schema = rows.drop("status").schema
     for n, wave in enumerate(waves):
-        wave.drop("status").write.mode("append").parquet(f"{root}/incoming")
-        stream = spark.readStream.schema(schema).parquet(f"{root}/incoming")
+        wave.drop("status").write.mode("append").option("compression", "zstd").parquet(f"{root}/incoming")
+        if n == len(waves) - 1:
+            delete_path(spark, f"{root}/source")
+        # files of the feed go once a batch after theirs begins
+        stream = spark.readStream.schema(schema).option("cleanSource", "delete").parquet(f"{root}/incoming")
         keep_cube(spark, stream, f"{root}/cube", f"{root}/ck", item_keys=item).awaitTermination()
         if n == 1:
             compact(spark, f"{root}/cube")

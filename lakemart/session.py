@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +29,10 @@ LOCAL_DEFAULTS = {
 }
 
 
+#: Whether a query's shuffle files go when it ends, not when the driver collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def local_session(master: str | None = None, app: str = "lakemart", **conf: str) -> SparkSession:
     """A local session for tests and bench (UI off, AQE on, UTC)."""
     master = master or os.environ.get("LAKEMART_MASTER", "local[8]")
@@ -70,6 +76,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is planned and written within go as soon as it is written."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def scratch_root(spark: SparkSession, name: str, source: str) -> str:
     """The folder in the shared checkpoint folder for a query's tables between steps.
 

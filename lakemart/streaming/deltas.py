@@ -10,9 +10,10 @@ State is the version that holds of each item. What a row replaces is taken back
 from its first item there to its last. Out go changes of (revenue, items, orders) a cell.
 
 Without a watermark state is kept for ever, in tables beside the cube: a micro-batch writes
-the versions that came to hold, in a folder named by the batch. The next ones read those of
-the orders they touch, and compare before and after by joins and sums (``_merged``), so
-that no item costs a call to a state store. With one, state is kept per order
+the versions that came to hold, in a folder named by the batch. The next ones lay theirs and
+the held ones out by order, once, and compare before and after by sums there (``_merged``),
+so that no item costs a call to a state store. A batch's shuffle files go when it is
+written. With a watermark, state is kept per order
 (``transformWithState``) and goes when the watermark passes the order's latest event time
 (``event_time``); rows that come later than that are dropped by Spark. There the versions
 and the counts of cells are map states: a row touches its item and two cells, however many
@@ -32,11 +33,12 @@ from collections.abc import Iterator, Sequence
 from decimal import Decimal
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from lakemart.session import DROP_SHUFFLES, shuffles_dropped
 from lakemart.sources.files import delete_path, path_exists
 from lakemart.sources.versions import _names, build, retire, snapshot
 from lakemart.streaming.live import CUBE_KEYS
@@ -125,13 +127,13 @@ class OrderCells(StatefulProcessor):
         pass
 
 
-def _versions(items: DataFrame, item_keys: Sequence[str]) -> list[Column]:
+def _versions(items: DataFrame, item: Column) -> list[Column]:
     """The columns of an item's version."""
     money = (F.col("price") + F.col("freight_value")).cast(MONEY)
     removed = F.coalesce(F.col("removed"), F.lit(False)) if "removed" in items.columns else F.lit(False)
     return [
         F.col("order_id"),
-        F.to_json(F.struct(*item_keys)).alias("item"),
+        item.alias("item"),
         F.col("seq").cast("long").alias("seq"),
         removed.alias("removed"),
         F.coalesce(money, F.lit(0).cast(MONEY)).alias("revenue"),
@@ -145,7 +147,7 @@ def changes(items: DataFrame, watermark: str, item_keys: Sequence[str] = ("order
     """A stream of cells' changes from a stream of item versions with a watermark."""
     items = items.withWatermark("event_time", watermark)
     at = [F.col("event_time"), F.unix_millis("event_time").alias("at")]
-    return items.select(*_versions(items, item_keys), *at).groupBy("order_id").transformWithState(
+    return items.select(*_versions(items, F.to_json(F.struct(*item_keys))), *at).groupBy("order_id").transformWithState(
         OrderCells(True), CHANGES, "Update", "EventTime"
     )
 
@@ -155,16 +157,16 @@ _VERSION = ("seq", "removed", "revenue", *CUBE_KEYS)
 
 def _merged(arrived: DataFrame, held: DataFrame | None) -> DataFrame:
     """order_id, item, and the versions that hold ``before`` and ``after`` the rows that
-    arrived, of every item of the orders they touch. NULL before: an item not seen yet."""
-    came = arrived.select("order_id", "item", F.struct(*_VERSION).alias("new"))
+    arrived, of every item. NULL before: an item not seen yet. Rows lie by order, so that
+    neither this nor the sums by order shuffle them again."""
+    came = arrived.withColumn("came", F.lit(True))
     if held is not None:
-        ids = arrived.select(F.col("order_id").alias("touched")).distinct()
-        held = held.join(ids, F.col("order_id").eqNullSafe(F.col("touched")), "left_semi")
-        came = came.unionByName(held.select("order_id", "item", F.struct(*_VERSION).alias("old")), allowMissingColumns=True)
-    else:
-        came = came.withColumn("old", F.lit(None).cast(came.schema["new"].dataType))
+        came = came.unionByName(held.withColumn("came", F.lit(False)))
+    version = F.struct(*_VERSION)
     # of the versions written of an item, the one with the largest seq holds
-    both = came.groupBy("order_id", "item").agg(F.max("new").alias("new"), F.max("old").alias("before"))
+    both = came.repartition("order_id").groupBy("order_id", "item").agg(
+        F.max(F.when(F.col("came"), version)).alias("new"), F.max(F.when(~F.col("came"), version)).alias("before")
+    )
     newer = F.col("new").isNotNull() & (
         F.col("before").isNull() | F.coalesce(F.col("new.seq") > F.col("before.seq"), F.lit(False))
     )
@@ -173,31 +175,35 @@ def _merged(arrived: DataFrame, held: DataFrame | None) -> DataFrame:
 
 def _cell_changes(merged: DataFrame) -> DataFrame:
     """What the cells gain and lose: an order counts once in a cell that holds items of it."""
-    def side(name: str, sign: int) -> DataFrame:
-        there = merged.where(f"{name} IS NOT NULL AND NOT {name}.removed")
-        return there.select(
-            "order_id", *[F.col(f"{name}.{c}").alias(c) for c in CUBE_KEYS],
-            (F.col(f"{name}.revenue") * sign).cast(MONEY).alias("revenue"),
-            F.lit(sign).cast("long").alias("items"), F.lit(int(sign < 0)).alias("was"), F.lit(int(sign > 0)).alias("now"),
-        )
-
-    per_order = side("before", -1).unionByName(side("after", 1)).groupBy("order_id", *CUBE_KEYS).agg(
-        F.sum("revenue").alias("revenue"), F.sum("items").alias("items"),
-        (F.max("now") - F.max("was")).cast("long").alias("orders"),
+    sides = F.array(*[F.struct(F.col(side).alias("v"), F.lit(sign).alias("sign")) for side, sign in (("before", -1), ("after", 1))])
+    there = merged.select("order_id", F.explode(sides).alias("side")).where("side.v IS NOT NULL AND NOT side.v.removed")
+    sign = F.col("side.sign")
+    per_order = there.select("order_id", *[F.col(f"side.v.{c}").alias(c) for c in (*CUBE_KEYS, "revenue")], sign.alias("sign")).groupBy("order_id", *CUBE_KEYS).agg(
+        F.sum((F.col("revenue") * F.col("sign")).cast(MONEY)).alias("revenue"), F.sum("sign").alias("items"),
+        (F.max((F.col("sign") > 0).cast("long")) - F.max((F.col("sign") < 0).cast("long"))).alias("orders"),
     )
     changed = per_order.where("revenue <> 0 OR items <> 0 OR orders <> 0")
     summed = changed.groupBy(*CUBE_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS])
     return summed.withColumn("revenue", F.col("revenue").cast(MONEY))
 
 
-def _held(spark: SparkSession, cube: str, below: int | None = None) -> DataFrame | None:
-    """Versions of items that the batches numbered ``below`` (all, if None) brought."""
+def _held(spark: SparkSession, cube: str, below: int | None = None, item: T.DataType | None = None) -> DataFrame | None:
+    """Versions of items that the batches numbered ``below`` (all, if None) brought.
+    ``item``: the type of what names an item, if known."""
     base = snapshot(spark, f"{cube}/base")
     through = int(base.note["through"]) if base else -1
-    folders = [n for n in _written(spark, cube, "items") if n > through and (below is None or n < below)]
-    parts = [spark.read.parquet(*[f"{cube}/items/batch={n:09d}" for n in folders])] if folders else []
-    if base is not None and "cube/items" in base.tables:
-        parts.append(base.read("cube", "items"))
+    parts = []
+    for folder, table in (("merged", "versions"), ("items", "items")):  # the latter: written before, items named by JSON
+        since = [n for n in _written(spark, cube, folder) if n > through and (below is None or n < below)]
+        if since:
+            parts.append(spark.read.parquet(*[f"{cube}/{folder}/batch={n:09d}" for n in since]))
+        if base is not None and f"cube/{table}" in base.tables:
+            parts.append(base.read("cube", table))
+    # the rows that have counts are changes of cells
+    parts = [(p.where("items IS NULL") if "items" in p.columns else p).select("order_id", "item", *_VERSION) for p in parts]
+    item = item or next((p.schema["item"].dataType for p in parts if p.schema["item"].dataType != T.StringType()), None)
+    if item is not None:
+        parts = [p.withColumn("item", F.from_json("item", item)) if p.schema["item"].dataType == T.StringType() else p for p in parts]
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
@@ -219,14 +225,16 @@ def keep_cube(
         summed.write.mode("overwrite").parquet(f"{cube}/changes/batch={batch_id:09d}")
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        merged = _merged(batch.select(*_versions(batch, item_keys)), _held(spark, cube, batch_id))
-        merged = merged.persist(StorageLevel.DISK_ONLY)  # written twice: what holds now, and the change
-        try:
-            newer = merged.where("newer").select("order_id", "item", "after.*")
-            newer.write.mode("overwrite").parquet(f"{cube}/items/batch={batch_id:09d}")
-            _cell_changes(merged).write.mode("overwrite").parquet(f"{cube}/changes/batch={batch_id:09d}")
-        finally:
-            merged.unpersist()
+        batch.sparkSession.conf.set(DROP_SHUFFLES, "true")  # the stream's own session
+        arrived = batch.select(*_versions(batch, F.struct(*item_keys)))
+        merged = _merged(arrived, _held(spark, cube, batch_id, arrived.schema["item"].dataType))
+        newer = merged.where("newer").select("order_id", "item", "after.*")
+        # one write of what holds now and, as rows that have counts, of the change: both
+        # come from one shuffle
+        both = newer.unionByName(_cell_changes(merged), allowMissingColumns=True)
+        both.write.mode("overwrite").option("compression", "zstd").parquet(f"{cube}/merged/batch={batch_id:09d}")
+        change = batch.sparkSession.read.parquet(f"{cube}/merged/batch={batch_id:09d}").where("items IS NOT NULL")
+        change.select(*CUBE_KEYS, *_SUMS).write.mode("overwrite").parquet(f"{cube}/changes/batch={batch_id:09d}")
 
     if watermark is None:
         writer = items.writeStream.foreachBatch(merge_batch)
@@ -267,14 +275,18 @@ def compact(spark: SparkSession, cube: str) -> int:
         return -1
     kept = read_kept(spark, cube).withColumn("revenue", F.col("revenue").cast(MONEY))
     held = _held(spark, cube, done[-1] + 1)
-    with build(spark, f"{cube}/base") as stage:
+    with build(spark, f"{cube}/base") as stage, shuffles_dropped(spark):
         kept.write.parquet(f"{stage.base}/cube/cells")
         if held is not None:
-            latest = held.groupBy("order_id", "item").agg(F.max(F.struct(*_VERSION)).alias("v"))
-            latest.select("order_id", "item", "v.*").write.parquet(f"{stage.base}/cube/items")
+            # by order, as merges lay rows out: an order's rows stay together and pack well
+            latest = held.repartition("order_id").groupBy("order_id", "item").agg(F.max(F.struct(*_VERSION)).alias("v"))
+            latest.select("order_id", "item", "v.*").write.option("compression", "zstd").parquet(f"{stage.base}/cube/versions")
+            stage.dropped.add("cube/items")
         stage.note["through"] = done[-1]
     retire(spark, f"{cube}/base")
     for batch in done[:-1]:  # the last one may be replayed
         delete_path(spark, f"{cube}/changes/batch={batch:09d}")
-        delete_path(spark, f"{cube}/items/batch={batch:09d}")
+    for batch in done:  # a replay writes its own anew
+        for folder in ("merged", "items"):
+            delete_path(spark, f"{cube}/{folder}/batch={batch:09d}")
     return done[-1]

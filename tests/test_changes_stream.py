@@ -124,3 +124,67 @@ def test_the_last_batch_replayed_after_compaction(spark, scratch):
     delete_path(spark, f"{scratch}/ck/commits/1")
     delete_path(spark, f"{scratch}/ck/commits/.1.crc")
     assert run(spark, scratch, [rows[:5]]) == expected(rows)
+
+
+def test_a_merge_shuffles_items_once(spark, scratch):
+    """Five shuffles and a stored copy of what was merged filled the disks at 6 GB."""
+    from pyspark.sql import functions as F
+
+    from lakemart.streaming import deltas
+
+    columns = "order_id long, item struct<n: int>, seq long, removed boolean, revenue decimal(20,2), year int, month int, customer_state string"
+    for name, rows in (("held", [(1, (1,), 1, False, Decimal(3), 2020, 1, "A")]), ("came", [(1, (1,), 2, False, Decimal(5), 2020, 2, "A"), (2, (1,), 1, False, Decimal(7), 2020, 2, "A")])):
+        spark.createDataFrame(rows, columns).write.parquet(f"{scratch}/{name}")
+    merged = deltas._merged(spark.read.parquet(f"{scratch}/came"), spark.read.parquet(f"{scratch}/held"))
+    both = merged.where("newer").select("order_id", "item", "after.*").unionByName(deltas._cell_changes(merged), allowMissingColumns=True)
+    got = both.where(F.col("items").isNotNull()).select(*deltas.CUBE_KEYS, *deltas._SUMS).collect()
+    assert sorted(map(tuple, got)) == [(2020, 1, "A", Decimal("-3.00"), -1, -1), (2020, 2, "A", Decimal("12.00"), 2, 2)]
+    both.write.parquet(f"{scratch}/both")
+    plan = deltas._cell_changes(merged)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(order_id") == 1  # items, then sums by order on the same rows
+    assert plan.count("Exchange hashpartitioning") == 2  # and the cells' sums
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in blocks.getAllFiles().mkString("\n").split("\n") if name.endswith(".data")}
+
+
+def test_shuffle_files_go_with_their_batch(spark, scratch, monkeypatch):
+    """They lay there until the driver happened to collect its garbage; nothing is cached."""
+    import time
+
+    def refused(self, *level):
+        raise AssertionError("a batch is written, not cached")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", refused)
+    rows = versions(300, 5)
+    before, kind = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_to = spark.conf.get(kind)
+    run(spark, scratch, [rows[:150], rows[150:]], lambda n: compact(spark, f"{scratch}/cube"))
+    assert spark.conf.get(kind) == set_to
+    read = shuffle_files(spark) - before
+    for _ in range(50):
+        if not (read := shuffle_files(spark) & read):
+            break
+        time.sleep(0.1)
+    assert len(read) <= 1  # of the sums that the test itself collects
+
+
+def test_versions_written_before_with_items_named_by_json(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from lakemart.sources.files import delete_path
+
+    rows = versions(300, 6)
+
+    def as_before(n):
+        if n == 0:
+            kept_now = spark.read.parquet(f"{scratch}/cube/merged/batch=000000000").where("items IS NULL").drop("items", "orders")
+            kept_now.withColumn("item", F.to_json("item")).write.parquet(f"{scratch}/cube/items/batch=000000000")
+            delete_path(spark, f"{scratch}/cube/merged")
+            compact(spark, f"{scratch}/cube")
+
+    assert run(spark, scratch, [rows[:150], rows[150:] + rows[:50]], as_before) == expected(rows)
+    compact(spark, f"{scratch}/cube")
+    assert run(spark, scratch, [rows[:20]]) == expected(rows)
